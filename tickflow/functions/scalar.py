@@ -7,15 +7,23 @@ from pyspark.sql import Column, functions as F
 # From here on every double is a whole number already.
 _WHOLE_FROM = float(2**53)
 
+# Timestamps count microseconds in 64 bits.
+_MAX_MILLIS = (2**63 - 1) // 1000
 
-def event_time(millis: Column | str) -> Column:
-    """Epoch milliseconds to a zoned timestamp."""
-    return F.timestamp_millis(millis)
 
+def event_time(millis: str) -> Column:
+    """Epoch milliseconds to a zoned timestamp.
 
-def notional(price: Column | str, volume: Column | str) -> Column:
+    A number that no timestamp can hold gives null; failing on it would let one bad
+    message stop a continuous job for good.
+    """
+    fits = F.col(millis).between(-_MAX_MILLIS, _MAX_MILLIS)
+    return F.when(fits, F.timestamp_millis(F.col(millis)))
+
+
+def notional(price: str, volume: str) -> Column:
     """Traded value of one tick; null when either side is null."""
-    return F.col(price) * F.col(volume) if isinstance(price, str) else price * volume
+    return F.col(price) * F.col(volume)
 
 
 def floor_double(value: Column) -> Column:

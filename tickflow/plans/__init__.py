@@ -1,0 +1 @@
+"""Whole queries built from the operators."""

@@ -6,49 +6,59 @@ from dataclasses import dataclass
 
 from pyspark.sql.types import StructType
 
+
+def struct(columns: str) -> StructType:
+    """A schema from ``name type`` pairs; needs no running session, unlike a DDL text."""
+    schema = StructType()
+    for column in columns.split(","):
+        name, kind = column.split()
+        schema.add(name, kind)
+    return schema
+
+
 # Field names, order and types of the messages and of the result.
 
-TICKS_A = StructType.fromDDL(
-    "market STRING, trade_date STRING, trade_time STRING, trade_date_kst STRING, "
-    "trade_time_kst STRING, trade_timestamp BIGINT, opening_price DOUBLE, "
-    "high_price DOUBLE, low_price DOUBLE, trade_price DOUBLE, "
-    "prev_closing_price DOUBLE, change STRING, change_price DOUBLE, "
-    "change_rate DOUBLE, signed_change_price DOUBLE, signed_change_rate DOUBLE, "
-    "trade_volume DOUBLE, acc_trade_price DOUBLE, acc_trade_price_24h DOUBLE, "
-    "acc_trade_volume DOUBLE, acc_trade_volume_24h DOUBLE, "
-    "highest_52_week_price DOUBLE, highest_52_week_date STRING, "
-    "lowest_52_week_price DOUBLE, lowest_52_week_date STRING, "
-    "timestamp BIGINT, name STRING"
+TICKS_A = struct(
+    "market string, trade_date string, trade_time string, trade_date_kst string, "
+    "trade_time_kst string, trade_timestamp long, opening_price double, "
+    "high_price double, low_price double, trade_price double, "
+    "prev_closing_price double, change string, change_price double, "
+    "change_rate double, signed_change_price double, signed_change_rate double, "
+    "trade_volume double, acc_trade_price double, acc_trade_price_24h double, "
+    "acc_trade_volume double, acc_trade_volume_24h double, "
+    "highest_52_week_price double, highest_52_week_date string, "
+    "lowest_52_week_price double, lowest_52_week_date string, "
+    "timestamp long, name string"
 )
 
-TICKS_B = StructType.fromDDL(
-    "type STRING, code STRING, opening_price DOUBLE, high_price DOUBLE, "
-    "low_price DOUBLE, trade_price DOUBLE, prev_closing_price DOUBLE, "
-    "acc_trade_price DOUBLE, change STRING, change_price DOUBLE, "
-    "signed_change_price DOUBLE, change_rate DOUBLE, signed_change_rate DOUBLE, "
-    "ask_bid STRING, trade_volume DOUBLE, acc_trade_volume DOUBLE, "
-    "trade_date STRING, trade_time STRING, trade_timestamp BIGINT, "
-    "acc_ask_volume DOUBLE, acc_bid_volume DOUBLE, highest_52_week_price DOUBLE, "
-    "highest_52_week_date STRING, lowest_52_week_price DOUBLE, "
-    "lowest_52_week_date STRING, market_state STRING, "
-    "is_trading_suspended BOOLEAN, delisting_date STRING, market_warning STRING, "
-    "timestamp BIGINT, acc_trade_price_24h DOUBLE, acc_trade_volume_24h DOUBLE, "
-    "stream_type STRING, name STRING"
+TICKS_B = struct(
+    "type string, code string, opening_price double, high_price double, "
+    "low_price double, trade_price double, prev_closing_price double, "
+    "acc_trade_price double, change string, change_price double, "
+    "signed_change_price double, change_rate double, signed_change_rate double, "
+    "ask_bid string, trade_volume double, acc_trade_volume double, "
+    "trade_date string, trade_time string, trade_timestamp long, "
+    "acc_ask_volume double, acc_bid_volume double, highest_52_week_price double, "
+    "highest_52_week_date string, lowest_52_week_price double, "
+    "lowest_52_week_date string, market_state string, "
+    "is_trading_suspended boolean, delisting_date string, market_warning string, "
+    "timestamp long, acc_trade_price_24h double, acc_trade_volume_24h double, "
+    "stream_type string, name string"
 )
 
-LISTING = StructType.fromDDL("market STRING, korean_name STRING, english_name STRING")
+LISTING = struct("market string, korean_name string, english_name string")
 
-RESULT = StructType.fromDDL(
-    "name STRING, market STRING, window_start TIMESTAMP_NTZ, "
-    "window_end TIMESTAMP_NTZ, one_m_trade_volume DOUBLE, row_num BIGINT"
+RESULT = struct(
+    "name string, market string, window_start timestamp_ntz, "
+    "window_end timestamp_ntz, one_m_trade_volume double, row_num long"
 )
 
-PARTITIONS = StructType.fromDDL("year STRING, month STRING, day STRING")
+PARTITIONS = struct("year string, month string, day string")
 
 # End of fixed values.
 
 # Lowest directory level of the published layout: one per committed write.
-BATCH = StructType.fromDDL("batch STRING")
+BATCH = struct("batch string")
 
 PUBLISHED = StructType(RESULT.fields + PARTITIONS.fields)
 

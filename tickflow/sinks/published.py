@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from tickflow.functions.scalar import date_keys
 from tickflow.schemas import PARTITIONS, RESULT
@@ -44,21 +44,50 @@ def write_published(result: DataFrame, root: str, batch: str) -> None:
     )
 
 
-def mark_partitions(spark: SparkSession, root: str, days: DataFrame) -> int:
-    """Put an empty marker into every day of ``days``; returns how many.
+def touched_days(result: DataFrame) -> list[Row]:
+    """The distinct year, month and day of a result: one entry per day, never rows."""
+    return result.select(*PARTITIONS.names).distinct().collect()
 
-    Run after the write was committed. Repeating it changes nothing. The driver
-    holds one entry per day, never rows.
+
+def mark_partitions(spark: SparkSession, root: str, days: list[Row]) -> None:
+    """Put an empty marker into each of ``days``.
+
+    Run after the write was committed; repeating it changes nothing.
     """
-    keys = days.select(*PARTITIONS.names).distinct().collect()
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
     conf = spark._jsc.hadoopConfiguration()
 
-    def touch(row) -> None:
+    def touch(row: Row) -> None:
         folder = "/".join(f"{name}={row[name]}" for name in PARTITIONS.names)
-        path = hadoop(f"{root}/{folder}/{MARKER}")
+        path = path_of(f"{root}/{folder}/{MARKER}")
         path.getFileSystem(conf).create(path, True).close()
 
     with ThreadPoolExecutor(max_workers=16) as pool:
-        list(pool.map(touch, keys))
-    return len(keys)
+        list(pool.map(touch, days))
+
+
+def marked_days(spark: SparkSession, root: str) -> DataFrame:
+    """The year, month and day of every partition that carries a marker.
+
+    Spark's readers hide marker files, so they are looked up by path.
+    """
+    levels = "/".join(f"{name}=*" for name in PARTITIONS.names)
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{levels}/{MARKER}")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    keys = [
+        tuple(part.split("=", 1)[1] for part in str(status.getPath()).split("/")[-4:-1])
+        for status in found
+    ]
+    return spark.createDataFrame(keys, PARTITIONS)
+
+
+def publish_result(result: DataFrame, root: str, batch: str) -> None:
+    """Write ``batch`` and mark the days it touched."""
+    result = result.persist()
+    try:
+        days = touched_days(result)
+        if days:
+            write_published(result, root, batch)
+            mark_partitions(result.sparkSession, root, days)
+    finally:
+        result.unpersist()

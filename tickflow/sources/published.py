@@ -81,16 +81,3 @@ def published_days(spark: SparkSession, root: str) -> DataFrame:
         F.regexp_extract("path", rf"/{name}=([^/]+)/", 1).alias(name) for name in PARTITIONS.names
     ]
     return published_files(spark, root).select(*keys).distinct()
-
-
-def marked_days(spark: SparkSession, root: str) -> DataFrame:
-    """The distinct year, month and day that carry a success marker."""
-    keys = [
-        F.regexp_extract("path", rf"/{name}=([^/]+)/", 1).alias(name) for name in PARTITIONS.names
-    ]
-    return (
-        spark.read.format("binaryFile")
-        .load(f"{root}/year=*/month=*/day=*/_SUCCESS")
-        .select(*keys)
-        .distinct()
-    )
