@@ -4,7 +4,8 @@ from __future__ import annotations
 
 K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
 
-MILLIS = "epoch_ms(ts)"
+# epoch_ms would round up; milliseconds are cut off here.
+MILLIS = "epoch_us(ts) // 1000"
 
 SUPPLIER_DAYS = """
 SELECT l_suppkey AS market,
@@ -46,15 +47,13 @@ FROM ({rows})
 """
 
 
-SUPPLIER_RESULT = published(f"""
-SELECT 'Supplier#' || market AS name, CAST(market AS VARCHAR) AS market,
-       window_start, window_end, one_m_trade_volume, row_num
-FROM ({top5(SUPPLIER_DAYS, 'market')})
+EVENT_RESULT = published(f"""
+SELECT * REPLACE (CAST(market AS VARCHAR) AS market) FROM ({top5(event_windows('minute'))})
 """)
 
 LAST_DAY = f"""
-SELECT * FROM ({SUPPLIER_RESULT})
-WHERE window_start = (SELECT date_trunc('day', max(l_shipdate)) FROM lineitem)
+SELECT * FROM ({EVENT_RESULT})
+WHERE date_trunc('day', window_start) = (SELECT date_trunc('day', max(ts)) FROM events)
 """
 
 QUOTES = f"""
@@ -160,21 +159,19 @@ ORACLES: dict[str, str] = {
                date_trunc('minute', ts) + INTERVAL 1 MINUTE AS window_end,
                floor(sum(value * {K})) AS one_m_trade_volume
         FROM events LEFT JOIN ({BUILDERS}) ON user_id = c_custkey GROUP BY ALL""")),
-    "sink_roundtrip": SUPPLIER_RESULT,
-    "sink_rewrite": SUPPLIER_RESULT,
+    "sink_roundtrip": EVENT_RESULT,
+    "sink_rewrite": EVENT_RESULT,
     "day_scan": LAST_DAY,
     "newest_window": f"""
-        SELECT * FROM ({published(f'''
-            SELECT * REPLACE (CAST(market AS VARCHAR) AS market)
-            FROM ({top5(event_windows("minute"))})''')})
+        SELECT * FROM ({EVENT_RESULT})
         WHERE window_end = (SELECT date_trunc('minute', max(ts)) + INTERVAL 1 MINUTE FROM events)""",
     "newest_file": f"""
         SELECT name, market, window_start, window_end, one_m_trade_volume, row_num
         FROM ({LAST_DAY})""",
     "success_markers": """
-        SELECT DISTINCT strftime(l_shipdate, '%Y') AS year, strftime(l_shipdate, '%m') AS month,
-               strftime(l_shipdate, '%d') AS day
-        FROM lineitem""",
+        SELECT DISTINCT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month,
+               strftime(ts, '%d') AS day
+        FROM events""",
     "stream_top5_day": closed("day"),
     "stream_resumed_top5_minute": closed("minute"),
 }

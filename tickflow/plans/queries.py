@@ -100,19 +100,10 @@ def supplier_days(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def supplier_result(spark: SparkSession, folder: str) -> DataFrame:
-    """The published form of the five top suppliers of every day."""
-    top = top_n(supplier_days(spark, folder), ties=["market"])
-    return result_columns(
-        top.select(
-            F.concat(F.lit("Supplier#"), F.col("market").cast("string")).alias("name"),
-            F.col("market").cast("string").alias("market"),
-            "window_start",
-            "window_end",
-            "one_m_trade_volume",
-            "row_num",
-        )
-    )
+def event_result(spark: SparkSession, folder: str) -> DataFrame:
+    """The published form of the five top users of every minute of ``events``."""
+    top = top5_minute(spark, folder)
+    return result_columns(top.withColumn("market", F.col("market").cast("string")))
 
 
 def _last_day(result: DataFrame) -> tuple[str, str, str]:
@@ -386,14 +377,14 @@ def pushed_top5_minute(spark: SparkSession, folder: str) -> DataFrame:
 
 def sink_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     root = new_folder(spark, "published")
-    publish_result(supplier_result(spark, folder), root, "first")
+    publish_result(event_result(spark, folder), root, "first")
     return read_published(spark, root)
 
 
 def sink_rewrite(spark: SparkSession, folder: str) -> DataFrame:
     """A batch that is written twice counts once."""
     root = new_folder(spark, "published")
-    result = supplier_result(spark, folder)
+    result = event_result(spark, folder)
     write_published(result, root, "first")
     write_published(result, root, "first")
     return read_published(spark, root)
@@ -401,15 +392,14 @@ def sink_rewrite(spark: SparkSession, folder: str) -> DataFrame:
 
 def day_scan(spark: SparkSession, folder: str) -> DataFrame:
     root = new_folder(spark, "published")
-    result = supplier_result(spark, folder)
+    result = event_result(spark, folder)
     publish_result(result, root, "first")
     return read_day(spark, root, *_last_day(result))
 
 
 def newest_window_rows(spark: SparkSession, folder: str) -> DataFrame:
     root = new_folder(spark, "published")
-    ticks = top5_minute(spark, folder).withColumn("market", F.col("market").cast("string"))
-    result = result_columns(ticks)
+    result = event_result(spark, folder)
     publish_result(result, root, "first")
     return newest_window(spark, root, _last_day(result))
 
@@ -417,7 +407,7 @@ def newest_window_rows(spark: SparkSession, folder: str) -> DataFrame:
 def newest_file_rows(spark: SparkSession, folder: str) -> DataFrame:
     """The last day is published again, alone: its new file is the newest."""
     root = new_folder(spark, "published")
-    result = supplier_result(spark, folder)
+    result = event_result(spark, folder)
     publish_result(result, root, "first")
     day = _last_day(result)
     publish_result(read_day(spark, root, *day), root, "second")
@@ -426,7 +416,7 @@ def newest_file_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def success_markers(spark: SparkSession, folder: str) -> DataFrame:
     root = new_folder(spark, "published")
-    publish_result(supplier_result(spark, folder), root, "first")
+    publish_result(event_result(spark, folder), root, "first")
     return marked_days(spark, root)
 
 

@@ -25,14 +25,17 @@ def result_columns(ranked: DataFrame) -> DataFrame:
     return ranked.select(*RESULT.names, *date_keys("window_start"))
 
 
-def write_published(result: DataFrame, root: str, batch: str) -> None:
+def write_published(result: DataFrame, root: str, batch: str, tasks: int | None = None) -> None:
     """Write a result as ``batch``, replacing an earlier attempt of that batch.
 
-    Rows are gathered by day first: otherwise each task would leave a small file
-    in every day. The rebalance splits a day that is too large for one file.
+    Each day is gathered into one of ``tasks`` tasks first: otherwise every task
+    would leave a small file in every day. A day has only the top rows of its
+    windows, so it fits. The number is given and not left to Spark, which would
+    merge small days into one task that then creates all their files in turn.
     """
+    tasks = tasks or int(result.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        result.hint("rebalance", *PARTITIONS.names)
+        result.repartition(tasks, *PARTITIONS.names)
         .withColumn("batch", F.lit(batch))
         .write.format("json")
         .mode("overwrite")
@@ -87,7 +90,8 @@ def publish_result(result: DataFrame, root: str, batch: str) -> None:
     try:
         days = touched_days(result)
         if days:
-            write_published(result, root, batch)
+            most = int(result.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            write_published(result, root, batch, min(len(days), most))
             mark_partitions(result.sparkSession, root, days)
     finally:
         result.unpersist()
