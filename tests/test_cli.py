@@ -1,0 +1,54 @@
+from __future__ import annotations
+
+import json
+
+from helpers import land, rows, tick
+from tickflow.__main__ import main
+from tickflow.sources.published import read_published
+
+
+def test_polled_job_backfill_and_newest(spark, seoul, tmp_path, capsys):
+    listing = [{"market": f"KRW-{c}", "korean_name": f"name {c}", "english_name": c} for c in "ABCDEFG"]
+    land(str(tmp_path / "listing"), 0, [json.dumps(listing)])
+    for n, c in enumerate("ABCDEF"):
+        for minute in range(2):
+            quote = {**tick(f"KRW-{c}", n + 1, at=minute * 60_000 + 5_000), "name": None}
+            land(str(tmp_path / "quotes"), n * 2 + minute, [json.dumps([quote])])
+    path = {name: str(tmp_path / name) for name in
+            ("listing", "quotes", "messages", "out", "check", "out2")}
+
+    main(["polled", "--listing", path["listing"], "--quotes", path["quotes"],
+          "--to-folder", path["messages"]])
+    assert "KRW-G" in capsys.readouterr().out
+
+    common = ["--exchange", "a", "--folder", path["messages"]]
+    main(["--shuffle-partitions", "2", "job", *common, "--output", path["out"],
+          "--checkpoint", path["check"], "--once"])
+    first_minute = read_published(seoul, path["out"])
+    assert rows(first_minute, "market", "name", "row_num") == {
+        (f"KRW-{c}", f"name {c}", 5 - n): 1 for n, c in enumerate("BCDEF")
+    }
+
+    main(["backfill", *common, "--output", path["out2"], "--batch", "x", "--top", "2"])
+    assert read_published(seoul, path["out2"]).count() == 4
+
+    capsys.readouterr()
+    main(["newest", "--output", path["out2"], "--day", "2025-05-10", "--window"])
+    shown = capsys.readouterr().out
+    assert "KRW-F" in shown and "2025-05-10 14:15:00" in shown and "14:14:00" not in shown
+
+
+def test_pushed_once(spark, tmp_path, monkeypatch):
+    import tickflow.__main__ as cli
+
+    for name, market in (("b", "b name"), ("a", "a name")):
+        land(str(tmp_path / name), 0, [json.dumps([{"market": "KRW-A", "korean_name": market}])])
+    land(str(tmp_path / "frames"), 0, [{"code": "KRW-A", "trade_price": 2}])
+    once = lambda *args, **kw: cli_stream(*args, **kw, trigger={"availableNow": True})
+    cli_stream = cli.stream_to_folder
+    monkeypatch.setattr(cli, "stream_to_folder", once)
+    main(["pushed", "--folder", str(tmp_path / "frames"), "--listing", str(tmp_path / "b"),
+          "--other-listing", str(tmp_path / "a"), "--checkpoint", str(tmp_path / "check"),
+          "--to-folder", str(tmp_path / "messages")])
+    got = spark.read.json(str(tmp_path / "messages"), schema="code string, name string, trade_price double")
+    assert rows(got) == {("KRW-A", "b name", 2.0): 1}

@@ -1,0 +1,137 @@
+from __future__ import annotations
+
+import json
+import os
+
+import pytest
+
+from helpers import SAMPLE_QUOTE, rows, table_of
+from tickflow.functions.codec import decode_json, encode_json
+from tickflow.operators.markets import (
+    attach_name,
+    common_markets,
+    join_quotes,
+    krw_markets,
+    last_by_key,
+    missing_quotes,
+)
+from tickflow.plans.producers import polled_messages, pushed_messages, shared_names
+from tickflow.schemas import LISTING, TICKS_A
+from tickflow.sources.payloads import read_markets, read_payloads
+
+# The same joins by broadcast, shuffled, and shuffled with split keys.
+LIMITS = [{}, {"max_rows": 0}, {"max_rows": 0, "hot_rows": 1}]
+paths = pytest.mark.parametrize("limits", LIMITS, ids=["broadcast", "shuffled", "split"])
+
+
+def names(spark, *pairs):
+    return spark.createDataFrame(list(pairs), "market string, name string")
+
+
+def test_only_won_markets(spark):
+    listing = spark.createDataFrame(
+        [("KRW-BTC", "비트", "B"), ("BTC-ETH", "이더", "E"), (None, "x", "x"), ("krw-X", "x", "x")],
+        LISTING,
+    )
+    assert rows(krw_markets(listing)) == {("KRW-BTC", "비트"): 1}
+
+
+@paths
+def test_common_markets_keep_their_own_names(spark, limits):
+    b = names(spark, ("KRW-A", "b-name"), ("KRW-B", "only b"), (None, "none"))
+    a = names(spark, ("KRW-A", "a-name"), ("KRW-A", "a-again"), ("KRW-C", "only a"), (None, "none"))
+    assert rows(common_markets(b, a, **limits), "market", "name") == {("KRW-A", "b-name"): 1}
+
+
+@paths
+def test_attach_name_keeps_misses_and_repeats(spark, limits):
+    ticks = spark.createDataFrame(
+        [("KRW-A", 1), ("KRW-A", 1), ("KRW-A", 2), ("KRW-Z", 3), (None, 4), (None, 4)],
+        "code string, n int",
+    )
+    named = attach_name(ticks, names(spark, ("KRW-A", "a"), ("KRW-B", "b")), "code", **limits)
+    assert rows(named, "code", "n", "name") == {
+        ("KRW-A", 1, "a"): 2,
+        ("KRW-A", 2, "a"): 1,
+        ("KRW-Z", 3, None): 1,
+        (None, 4, None): 2,
+    }
+
+
+def test_attach_name_replaces_a_name(spark):
+    ticks = spark.createDataFrame([("KRW-A", "old")], "market string, name string")
+    assert rows(attach_name(ticks, names(spark, ("KRW-A", "new")))) == {("KRW-A", "new"): 1}
+
+
+@paths
+def test_quotes_join_and_missing(spark, limits):
+    listing = names(spark, ("KRW-A", "a"), ("KRW-B", "b"), ("KRW-C", "c"))
+    quotes = spark.createDataFrame(
+        [("KRW-A", 1.0), ("KRW-A", 1.0), ("KRW-C", 2.0), ("KRW-X", 3.0), (None, 4.0)],
+        "market string, trade_price double",
+    )
+    assert rows(join_quotes(listing, quotes, **limits), "market", "trade_price", "name") == {
+        ("KRW-A", 1.0, "a"): 2,
+        ("KRW-C", 2.0, "c"): 1,
+    }
+    assert rows(missing_quotes(listing, quotes, **limits), "market", "name") == {("KRW-B", "b"): 1}
+
+
+def test_last_by_key(spark):
+    frame = spark.createDataFrame(
+        [("a", 1, "x"), ("a", 3, None), ("a", 2, "z"), ("b", 1, "only"), (None, 1, "n")],
+        "market string, at int, name string",
+    )
+    assert rows(last_by_key(frame, "market", ["at"])) == {
+        ("a", 3, None): 1,
+        ("b", 1, "only"): 1,
+        (None, 1, "n"): 1,
+    }
+
+
+def _entry(market, name):
+    return {"market": market, "korean_name": name, "english_name": name}
+
+
+def _payload(folder, file, content, at):
+    os.makedirs(folder, exist_ok=True)
+    path = folder / file
+    path.write_text(json.dumps(content, ensure_ascii=False, indent=1), encoding="utf-8")
+    os.utime(path, (at, at))
+
+
+def test_read_markets_takes_the_last_name(spark, tmp_path):
+    folder = tmp_path / "listing"
+    _payload(folder, "z.json", [_entry("KRW-A", "old"), _entry("KRW-B", "b")], 1_700_000_000)
+    _payload(
+        folder,
+        "a.json",
+        [_entry("KRW-A", "first"), _entry("BTC-A", "x"), _entry("KRW-A", "last")],
+        1_700_000_100,
+    )
+    assert rows(read_markets(spark, str(folder))) == {("KRW-A", "last"): 1, ("KRW-B", "b"): 1}
+
+
+def test_polled_round(spark, tmp_path):
+    _payload(tmp_path / "listing", "1", [_entry("KRW-BTC", "비트코인"), _entry("KRW-X", "x")], 1)
+    _payload(tmp_path / "quotes", "1", [SAMPLE_QUOTE], 1)
+    _payload(tmp_path / "quotes", "2", [], 1)
+    _payload(tmp_path / "quotes", "3", {"error": {"name": 404}}, 1)
+    markets = read_markets(spark, str(tmp_path / "listing"))
+    messages = polled_messages(markets, read_payloads(spark, str(tmp_path / "quotes")))
+    sent = json.loads(encode_json(messages).first().value)
+    assert messages.count() == 1
+    assert sent["name"] == "비트코인" and sent["timestamp"] == SAMPLE_QUOTE["timestamp"]
+    assert decode_json(encode_json(messages), TICKS_A).first().trade_volume == 4.204e-05
+    assert rows(missing_quotes(markets, messages), "market") == {("KRW-X",): 1}
+
+
+def test_pushed_frames_are_named_from_the_shared_listing(spark):
+    b = names(spark, ("KRW-A", "b-a"), ("KRW-B", "b-b"))
+    a = names(spark, ("KRW-A", "a-a"))
+    frames = table_of(spark, [{"code": "KRW-A", "trade_price": 1}, {"code": "KRW-B"}, "junk"])
+    messages = pushed_messages(frames, shared_names(b, a))
+    assert rows(messages, "code", "name", "trade_price") == {
+        ("KRW-A", "b-a", 1.0): 1,
+        ("KRW-B", None, None): 1,
+    }

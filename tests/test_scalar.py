@@ -1,0 +1,43 @@
+from __future__ import annotations
+
+import math
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from tickflow.functions.scalar import date_keys, event_time, floor_double, notional, wall_clock
+
+
+def test_event_time_is_millis_in_the_session_zone(seoul):
+    frame = seoul.createDataFrame([(1746854065313,)], "timestamp long")
+    time = frame.select(wall_clock(event_time("timestamp")).alias("t")).first().t
+    assert time == datetime(2025, 5, 10, 14, 14, 25, 313000)
+
+
+def test_event_time_out_of_range_is_null(spark):
+    frame = spark.createDataFrame([(2**63 - 1,), (-(2**63),), (None,), (0,)], "timestamp long")
+    valid = [r.ok for r in frame.select(event_time("timestamp").isNotNull().alias("ok")).collect()]
+    assert valid == [False, False, False, True]
+
+
+def test_floor_stays_double(spark):
+    values = [6062.5884, -0.5, 1e300, -1e300, float("inf"), float("nan"), None, 2.0**53 + 2]
+    frame = spark.createDataFrame([(v,) for v in values], "v double").select(
+        floor_double(F.col("v")).alias("f")
+    )
+    assert frame.schema["f"].dataType.simpleString() == "double"
+    got = [r.f for r in frame.collect()]
+    assert got[:5] == [6062.0, -1.0, 1e300, -1e300, float("inf")]
+    assert math.isnan(got[5]) and got[6] is None and got[7] == 2.0**53 + 2
+
+
+def test_notional_is_null_with_a_null_side(spark):
+    frame = spark.createDataFrame([(2.0, 3.0), (None, 3.0), (2.0, None)], "p double, v double")
+    assert [r[0] for r in frame.select(notional("p", "v")).collect()] == [6.0, None, None]
+
+
+def test_date_keys_are_padded_text(spark):
+    frame = spark.createDataFrame([(datetime(2025, 7, 5, 23, 59),)], "t timestamp_ntz")
+    keys = frame.select(*date_keys("t"))
+    assert tuple(keys.first()) == ("2025", "07", "05")
+    assert {f.dataType.simpleString() for f in keys.schema} == {"string"}

@@ -32,8 +32,9 @@ from tickflow.operators.markets import (
 from tickflow.operators.notional import undated, windowed_notional
 from tickflow.operators.rank import rank_all, top_n
 from tickflow.plans.newest import newest_file, newest_window
-from tickflow.plans.ticks import decode_ticks, name_frames, top_markets
-from tickflow.schemas import LISTING, POLLED, PUSHED, TICKS_A, struct
+from tickflow.plans.producers import polled_messages, pushed_messages
+from tickflow.plans.ticks import decode_ticks, top_markets
+from tickflow.schemas import LISTING, POLLED, TICKS_A, struct
 from tickflow.scratch import new_folder
 from tickflow.session import tick_session
 from tickflow.sinks.messages import publish_to_folder
@@ -359,8 +360,8 @@ def polled_top5_minute(spark: SparkSession, folder: str) -> DataFrame:
     rows = decode_listing(payloads, LISTING)
     listing = last_by_key(krw_markets(rows, keep=["position"]), "market", ["position"])
 
-    quotes = decode_first(_quote_payloads(event_quotes(spark, folder)), TICKS_A)
-    messages = encode_json(join_quotes(listing, quotes))
+    payloads = _quote_payloads(event_quotes(spark, folder))
+    messages = encode_json(polled_messages(listing, payloads))
     return top_markets(messages, exchange_a("", ""))
 
 
@@ -368,7 +369,7 @@ def pushed_top5_minute(spark: SparkSession, folder: str) -> DataFrame:
     """Frames of the pushing exchange, named from the listing, decoded and ranked."""
     frames = encode_json(event_quotes(spark, folder).withColumnRenamed("market", "code"))
     names = _builders(spark, folder).select(_krw("market").alias("market"), "name")
-    messages = encode_json(name_frames(frames, PUSHED, names))
+    messages = encode_json(pushed_messages(frames, names))
     return top_markets(messages, exchange_b("", ""))
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 
 from tickflow.config import JobConfig
 from tickflow.functions.codec import decode_json
-from tickflow.operators.markets import attach_name
 from tickflow.operators.notional import windowed_notional, with_event_time
 from tickflow.operators.rank import top_n
 from tickflow.schemas import TickFormat
@@ -42,9 +41,3 @@ def backfill(messages: DataFrame, config: JobConfig, batch: str) -> None:
     Running it again under the same ``batch`` name replaces its earlier output.
     """
     publish_result(top_markets(messages, config), config.output, batch)
-
-
-def name_frames(frames: DataFrame, format: TickFormat, names: DataFrame, **limits) -> DataFrame:
-    """Pushed frames (a table or a stream of JSON text) with the market's name added."""
-    ticks = decode_json(frames, format.schema).drop("name")
-    return attach_name(ticks, names, format.market, **limits)

@@ -4,25 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickflow.functions.codec import decode_first, decode_listing
+from tickflow.functions.codec import decode_listing
 from tickflow.operators.markets import krw_markets, last_by_key
-from tickflow.schemas import LISTING, TICKS_A
+from tickflow.schemas import LISTING
 
 
-def read_payloads(spark: SparkSession, folder: str) -> DataFrame:
-    """``value`` and ``captured_at`` (the file's time) of every payload file."""
-    return spark.read.option("wholetext", True).text(folder).select(
+def _captured(files: DataFrame) -> DataFrame:
+    return files.select(
         "value", F.col("_metadata.file_modification_time").alias("captured_at")
     )
 
 
+def read_payloads(spark: SparkSession, folder: str) -> DataFrame:
+    """``value`` and ``captured_at`` (the file's time) of every payload file."""
+    return _captured(spark.read.text(folder, wholetext=True))
+
+
+def stream_payloads(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
+    """The same for files that keep landing."""
+    reader = spark.readStream
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return _captured(reader.text(folder, wholetext=True))
+
+
 def read_markets(spark: SparkSession, folder: str) -> DataFrame:
     """``(market, name)`` of the won markets, the latest listing of each winning."""
     rows = decode_listing(read_payloads(spark, folder), LISTING, keep=["captured_at"])
     listed = krw_markets(rows, keep=["captured_at", "position"])
     return last_by_key(listed, "market", ["captured_at", "position"]).select("market", "name")
-
-
-def read_quotes(spark: SparkSession, folder: str) -> DataFrame:
-    """The first quote of every landed quote payload."""
-    return decode_first(read_payloads(spark, folder), TICKS_A).drop("name")
