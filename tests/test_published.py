@@ -110,6 +110,7 @@ def test_empty_result_publishes_nothing(result, tmp_path):
     root = str(tmp_path / "out")
     publish_result(result.where("false"), root, "b1")
     assert not os.path.exists(root)
+    assert read_published(result.sparkSession, root).count() == 0
 
 
 def test_newest_window_in_rank_order(seoul, result, tmp_path):

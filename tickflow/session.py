@@ -15,10 +15,11 @@ BATCH_SETTINGS = {
 }
 
 STREAM_SETTINGS = {
-    # State lives on the executors' disks, not on the heap; only changes are
-    # uploaded at each commit.
+    # State lives on the executors' disks, not on the heap. Only changes are uploaded
+    # at each commit, and all state partitions of an executor share one memory limit.
     "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
 }
 
 

@@ -31,28 +31,28 @@ def today(spark: SparkSession) -> tuple[str, str, str]:
     return tuple(row)
 
 
-def _reader(spark: SparkSession, root: str):
-    return (
+def _read(spark: SparkSession, root: str, folder: str) -> DataFrame:
+    reader = (
         spark.read.schema(_LAYOUT)
         .option("basePath", root)
         .option("timestampNTZFormat", LOCAL_TIME)
     )
+    try:
+        return reader.json(folder).select(*PUBLISHED.names)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], PUBLISHED)
 
 
 def read_published(spark: SparkSession, root: str) -> DataFrame:
     """All published rows. Filters on year, month and day prune the files read."""
-    return _reader(spark, root).json(root).select(*PUBLISHED.names)
+    return _read(spark, root, root)
 
 
 def read_day(spark: SparkSession, root: str, year: str, month: str, day: str) -> DataFrame:
     """The published rows of one day; no rows if nothing was published for it."""
-    try:
-        rows = _reader(spark, root).json(day_folder(root, year, month, day))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], PUBLISHED)
-    return rows.select(*PUBLISHED.names)
+    return _read(spark, root, day_folder(root, year, month, day))
 
 
 def read_file(spark: SparkSession, path: str) -> DataFrame:
