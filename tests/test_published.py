@@ -149,3 +149,22 @@ def test_backfill_is_repeatable(seoul, tmp_path):
         ("KRW-B", 1): 1, ("KRW-A", 2): 1,
     }
     assert rows(marked_days(seoul, config.output)) == {("2025", "05", "10"): 1}
+
+
+def test_rerun_with_other_input_leaves_nothing_behind(seoul, tmp_path):
+    config = exchange_a(str(tmp_path / "out"), "")
+    first = [tick("KRW-A", 1), tick("KRW-B", 2, at=DAY)]
+    backfill(table_of(seoul, first), config, "one")
+    backfill(table_of(seoul, first), config, "two")
+    backfill(table_of(seoul, [tick("KRW-C", 3, at=DAY)]), config, "one")
+    assert rows(read_published(seoul, config.output), "market", "day") == {
+        ("KRW-A", "10"): 1, ("KRW-B", "11"): 1, ("KRW-C", "11"): 1,
+    }
+    backfill(table_of(seoul, ["x"]), config, "one")
+    assert read_published(seoul, config.output).count() == 2
+
+
+@pytest.mark.parametrize("name", ["", "a/b", "*", "a b"])
+def test_batch_names_are_plain(result, tmp_path, name):
+    with pytest.raises(ValueError, match="batch names"):
+        publish_result(result, str(tmp_path / "out"), name)

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import os
 import random
+import subprocess
+import sys
 
 import pytest
 
@@ -210,3 +213,52 @@ def test_stream_needs_no_python_worker(seoul, place):
     plan = notional_per_window(landed_messages(seoul, folder), config)
     text = plan._jdf.queryExecution().analyzed().toString()
     assert "Python" not in text and "EventTimeWatermark" in text
+
+
+CRASH = """
+import os, signal, sys
+from pyspark.sql import SparkSession
+import tickflow.streaming.job as job
+from tickflow.config import exchange_a
+from tickflow.session import tick_session
+from tickflow.sources.ticks import landed_messages
+
+out, check, folder, checkpoints = sys.argv[1:]
+spark = (
+    SparkSession.builder.master("local[4]")
+    .config("spark.ui.enabled", "false")
+    .config("spark.checkpoint.dir", checkpoints)
+    .getOrCreate()
+)
+jvm = spark._jvm.java.lang.ProcessHandle.current().pid()
+publish, calls = job.publish_result, []
+
+def crash(*args):
+    calls.append(publish(*args))
+    if len(calls) == 3:
+        os.kill(jvm, signal.SIGKILL)
+        os._exit(9)
+
+job.publish_result = crash
+session = tick_session(spark, shuffle_partitions=4)
+config = exchange_a(out, check, shuffle_partitions=4)
+job.run_available(landed_messages(session, folder, max_files=1), config)
+"""
+
+
+def test_killed_process_is_taken_over(seoul, place, tmp_path):
+    config, folder = place
+    batches = list(random_minutes(5, 6))
+    for number, batch in enumerate(batches):
+        land(folder, number, batch)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(job.__file__)))
+    done = subprocess.run(
+        [sys.executable, "-c", CRASH, config.output, config.checkpoint, folder, str(tmp_path / "c")],
+        env={**os.environ, "PYTHONPATH": os.path.dirname(root)},
+        capture_output=True,
+        timeout=300,
+    )
+    assert done.returncode == 9, done.stderr.decode()[-2000:]
+    job.run_available(landed_messages(seoul, folder, max_files=1), config)
+    want = closed(seoul, folder, config, newest_time(batches))
+    assert rows(read_published(seoul, config.output), *KEYS) == rows(want, *KEYS)

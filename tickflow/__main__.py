@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from tickflow.config import JobConfig, exchange_a, exchange_b
 from tickflow.operators.markets import missing_quotes
@@ -12,9 +13,13 @@ from tickflow.plans.newest import newest_file, newest_window
 from tickflow.plans.producers import polled_messages, pushed_messages, shared_names
 from tickflow.plans.ticks import backfill
 from tickflow.session import SEOUL, tick_session
-from tickflow.sinks.messages import publish_to_folder, publish_to_topic
-from tickflow.sinks.messages import stream_to_folder, stream_to_topic
-from tickflow.sources.payloads import read_markets, read_payloads
+from tickflow.sinks.messages import (
+    publish_to_folder,
+    publish_to_topic,
+    stream_to_folder,
+    stream_to_topic,
+)
+from tickflow.sources.payloads import read_markets, read_payloads, stream_payloads
 from tickflow.sources.ticks import (
     kafka_messages,
     kafka_options,
@@ -67,6 +72,7 @@ def _parser() -> argparse.ArgumentParser:
     polled = commands.add_parser("polled", help="messages from landed quote responses")
     polled.add_argument("--listing", required=True)
     polled.add_argument("--quotes", required=True)
+    polled.add_argument("--checkpoint", help="keep following the quotes folder")
     target(polled)
 
     pushed = commands.add_parser("pushed", help="messages from pushed frames")
@@ -83,7 +89,7 @@ def _parser() -> argparse.ArgumentParser:
     return parser
 
 
-def _stream(spark: SparkSession, args: argparse.Namespace):
+def _stream(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.folder:
         return landed_messages(spark, args.folder)
     options = kafka_options(
@@ -109,8 +115,19 @@ def _config(args: argparse.Namespace) -> JobConfig:
     )
 
 
+def _send(messages: DataFrame, args: argparse.Namespace) -> StreamingQuery:
+    if args.to_folder:
+        return stream_to_folder(messages, args.to_folder, args.checkpoint)
+    return stream_to_topic(messages, args.to_servers, args.to_topic, args.checkpoint)
+
+
 def _polled(spark: SparkSession, args: argparse.Namespace) -> None:
+    # The listing is read once; a new one counts from the next start.
     markets = read_markets(spark, args.listing)
+    if args.checkpoint:
+        messages = polled_messages(markets, stream_payloads(spark, args.quotes))
+        _send(messages, args).awaitTermination()
+        return
     messages = polled_messages(markets, read_payloads(spark, args.quotes))
     if args.to_folder:
         publish_to_folder(messages, args.to_folder)
@@ -124,12 +141,7 @@ def _pushed(spark: SparkSession, args: argparse.Namespace) -> None:
     names = shared_names(
         read_markets(spark, args.listing), read_markets(spark, args.other_listing)
     )
-    messages = pushed_messages(_stream(spark, args), names)
-    if args.to_folder:
-        query = stream_to_folder(messages, args.to_folder, args.checkpoint)
-    else:
-        query = stream_to_topic(messages, args.to_servers, args.to_topic, args.checkpoint)
-    query.awaitTermination()
+    _send(pushed_messages(_stream(spark, args), names), args).awaitTermination()
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -7,6 +7,7 @@ doubles rows, and readers never see files of an unfinished write.
 
 from __future__ import annotations
 
+import re
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
@@ -19,6 +20,8 @@ LOCAL_TIME = "yyyy-MM-dd HH:mm:ss"
 
 MARKER = "_SUCCESS"
 
+_BATCH_NAME = re.compile(r"[A-Za-z0-9._-]+")
+
 
 def result_columns(ranked: DataFrame) -> DataFrame:
     """The published columns in their order, with the partition keys."""
@@ -52,46 +55,73 @@ def touched_days(result: DataFrame) -> list[Row]:
     return result.select(*PARTITIONS.names).distinct().collect()
 
 
-def mark_partitions(spark: SparkSession, root: str, days: list[Row]) -> None:
-    """Put an empty marker into each of ``days``.
+def _folder(root: str, day: Row) -> str:
+    return "/".join([root, *(f"{name}={day[name]}" for name in PARTITIONS.names)])
 
-    Run after the write was committed; repeating it changes nothing.
-    """
+
+def _each(spark: SparkSession, paths: list[str], action) -> None:
+    """Call ``action(file_system, path)`` on the output store, several at a time."""
     path_of = spark._jvm.org.apache.hadoop.fs.Path
     conf = spark._jsc.hadoopConfiguration()
 
-    def touch(row: Row) -> None:
-        folder = "/".join(f"{name}={row[name]}" for name in PARTITIONS.names)
-        path = path_of(f"{root}/{folder}/{MARKER}")
-        path.getFileSystem(conf).create(path, True).close()
+    def call(text: str) -> None:
+        path = path_of(text)
+        action(path.getFileSystem(conf), path)
 
     with ThreadPoolExecutor(max_workers=16) as pool:
-        list(pool.map(touch, days))
+        list(pool.map(call, paths))
+
+
+def _found(spark: SparkSession, root: str, name: str) -> list[str]:
+    """Paths of ``name`` in all days. Spark's readers hide markers, so it is looked up."""
+    levels = "/".join(f"{key}=*" for key in PARTITIONS.names)
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{levels}/{name}")
+    store = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [str(status.getPath()) for status in store.globStatus(pattern) or []]
+
+
+def _keys(path: str) -> tuple[str, ...]:
+    return tuple(part.split("=", 1)[1] for part in path.split("/")[-4:-1])
+
+
+def mark_partitions(spark: SparkSession, root: str, days: list[Row]) -> None:
+    """Put an empty marker into each of ``days``.
+
+    Run after the write was committed; repeating it changes nothing.
+    """
+    markers = [f"{_folder(root, day)}/{MARKER}" for day in days]
+    _each(spark, markers, lambda store, path: store.create(path, True).close())
 
 
 def marked_days(spark: SparkSession, root: str) -> DataFrame:
-    """The year, month and day of every partition that carries a marker.
+    """The year, month and day of every partition that carries a marker."""
+    return spark.createDataFrame([_keys(path) for path in _found(spark, root, MARKER)], PARTITIONS)
+
+
+def drop_other_days(spark: SparkSession, root: str, batch: str, days: list[Row]) -> None:
+    """Remove what an earlier run of ``batch`` left in days that it no longer has."""
+    kept = {tuple(day) for day in days}
+    stale = [path for path in _found(spark, root, f"batch={batch}") if _keys(path) not in kept]
+    _each(spark, stale, lambda store, path: store.delete(path, True))
+
+
+def publish_result(result: DataFrame, root: str, batch: str, rerun: bool = False) -> None:
+    """Write ``batch`` and mark the days it touched.
 
-    Spark's readers hide marker files, so they are looked up by path.
+    Repeating it with the same rows changes nothing. With ``rerun`` the rows may
+    differ from an earlier run: then that run's folders in other days are removed.
     """
-    levels = "/".join(f"{name}=*" for name in PARTITIONS.names)
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{levels}/{MARKER}")
-    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
-    keys = [
-        tuple(part.split("=", 1)[1] for part in str(status.getPath()).split("/")[-4:-1])
-        for status in found
-    ]
-    return spark.createDataFrame(keys, PARTITIONS)
-
-
-def publish_result(result: DataFrame, root: str, batch: str) -> None:
-    """Write ``batch`` and mark the days it touched."""
+    if not _BATCH_NAME.fullmatch(batch):
+        raise ValueError(f"batch names are made of letters, digits, '.', '_' and '-': {batch!r}")
     result = result.persist()
     try:
+        spark = result.sparkSession
         days = touched_days(result)
         if days:
-            most = int(result.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            most = int(spark.conf.get("spark.sql.shuffle.partitions"))
             write_published(result, root, batch, min(len(days), most))
-            mark_partitions(result.sparkSession, root, days)
+            mark_partitions(spark, root, days)
+        if rerun:
+            drop_other_days(spark, root, batch, days)
     finally:
         result.unpersist()
