@@ -100,7 +100,7 @@ def _payload(folder, file, content, at):
     os.utime(path, (at, at))
 
 
-def test_read_markets_takes_the_last_name(spark, tmp_path):
+def test_read_markets_takes_the_newest_listing_and_its_last_name(spark, tmp_path):
     folder = tmp_path / "listing"
     _payload(folder, "z.json", [_entry("KRW-A", "old"), _entry("KRW-B", "b")], 1_700_000_000)
     _payload(
@@ -109,7 +109,7 @@ def test_read_markets_takes_the_last_name(spark, tmp_path):
         [_entry("KRW-A", "first"), _entry("BTC-A", "x"), _entry("KRW-A", "last")],
         1_700_000_100,
     )
-    assert rows(read_markets(spark, str(folder))) == {("KRW-A", "last"): 1, ("KRW-B", "b"): 1}
+    assert rows(read_markets(spark, str(folder))) == {("KRW-A", "last"): 1}
 
 
 def test_polled_round(spark, tmp_path):

@@ -29,7 +29,11 @@ def stream_payloads(spark: SparkSession, folder: str, max_files: int | None = No
 
 
 def read_markets(spark: SparkSession, folder: str) -> DataFrame:
-    """``(market, name)`` of the won markets, the latest listing of each winning."""
-    rows = decode_listing(read_payloads(spark, folder), LISTING, keep=["captured_at"])
-    listed = krw_markets(rows, keep=["captured_at", "position"])
-    return last_by_key(listed, "market", ["captured_at", "position"]).select("market", "name")
+    """``(market, name)`` of the won markets of the newest listing in ``folder``.
+
+    A market that is listed twice has the name that comes last; one that is no longer
+    listed is gone.
+    """
+    newest = read_payloads(spark, folder).agg(F.max_by("value", "captured_at").alias("value"))
+    listed = krw_markets(decode_listing(newest, LISTING), keep=["position"])
+    return last_by_key(listed, "market", ["position"]).select("market", "name")
