@@ -10,8 +10,12 @@ from tickflow.schemas import LISTING, POLLED, PUSHED, TICKS_A, TICKS_B
 
 
 @pytest.mark.parametrize(
-    "message", ["not json", '{"market":"KRW-A"', "[]", "null", "", "   ", "\t", "5", '"text"']
-)
+    "message",
+    [
+        "not json", '{"market":"KRW-A"', "[]", "null", "", "   ", "\t", "5", '"text"',
+        "{'market':'KRW-A'}", '{"market":"KRW-A","trade_price":NaN}', "{market:1}",
+    ],
+)
 def test_message_that_is_no_object_is_skipped(spark, message):
     good = {"market": "KRW-A"}
     decoded = decode_json(table_of(spark, [message, good]), TICKS_A, POLLED.needed)

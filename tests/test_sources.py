@@ -1,11 +1,12 @@
 from __future__ import annotations
 
 import json
+import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
 
-from helpers import rows, tick
 from tickflow.scratch import ensure_checkpoint_dir, new_folder, shared_root
 from tickflow.session import SEOUL, STATE_STORE, tick_session
 from tickflow.sinks.messages import publish_to_folder
@@ -58,6 +59,17 @@ def test_scratch_is_the_folder_the_cluster_names(spark):
     assert spark.sparkContext.getCheckpointDir() is not None
 
 
-def test_tick_builder(spark):
-    frame = spark.read.json(spark.sparkContext.parallelize([json.dumps(tick("KRW-A", 1))]), schema="market string")
-    assert rows(frame) == {("KRW-A",): 1}
+class Session:
+    """A session without the setting, on the given master."""
+
+    def __init__(self, master):
+        self.conf = {}
+        self.sparkContext = SimpleNamespace(master=master)
+
+
+def test_only_a_local_session_may_use_a_temporary_folder():
+    root = shared_root(Session("local[4]"))
+    assert os.path.isdir(root) and shared_root(Session("local[*]")) == root
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_root(Session("yarn"))
+

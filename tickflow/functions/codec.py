@@ -18,7 +18,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 _CORRUPT = "_corrupt"
-_LENIENT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+# Lenient about fields, strict about what JSON is.
+_LENIENT = {
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": _CORRUPT,
+    "allowSingleQuotes": "false",
+    "allowNonNumericNumbers": "false",
+}
 
 
 def _as_text(fields: Iterable[StructField]) -> list[StructField]:

@@ -1 +1 @@
-"""DataFrame-to-DataFrame steps; none of them runs an action on unbounded data."""
+"""DataFrame-to-DataFrame steps; none of them brings unbounded data to the driver."""

@@ -8,12 +8,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="tickflow-")
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -25,9 +31,7 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"{SETTING} must name a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="tickflow-")
-    spark.conf.set(SETTING, root)
-    return root
+    return _local_root()
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
