@@ -43,5 +43,8 @@ def compare(frame, con, sql: str) -> tuple[int, str]:
     extra, lacking = got - want, want - got
     problem = ""
     if extra or lacking:
-        problem = f"{sum(extra.values())} extra, {sum(lacking.values())} lacking: {list(extra)[:3]} / {list(lacking)[:3]}"
+        problem = (
+            f"{sum(extra.values())} extra, {sum(lacking.values())} lacking: "
+            f"{list(extra)[:3]} / {list(lacking)[:3]}"
+        )
     return sum(got.values()), problem

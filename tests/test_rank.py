@@ -8,7 +8,10 @@ from helpers import rows
 from tickflow.operators.rank import rank_all, top_n
 
 START = datetime(2025, 1, 1)
-COLUMNS = "name string, market string, window_start timestamp_ntz, window_end timestamp_ntz, one_m_trade_volume double"
+COLUMNS = (
+    "name string, market string, window_start timestamp_ntz, window_end timestamp_ntz, "
+    "one_m_trade_volume double"
+)
 
 
 def groups(spark, *entries, tasks=1):

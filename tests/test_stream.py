@@ -155,16 +155,26 @@ def test_undated_and_broken_messages_do_not_stop_the_job(seoul, place):
     }
 
 
-def test_two_exchanges_run_apart(seoul, tmp_path):
+def test_session_in_another_zone_is_refused(spark, place):
+    config, folder = place
+    land(folder, 0, [tick("KRW-A", 1)])
+    with pytest.raises(ValueError, match="zone"):
+        job.start_job(landed_messages(spark, folder), config)
+
+
+def test_two_exchanges_run_apart(spark, seoul, tmp_path):
     jobs = []
     for name, make, column in (("a", exchange_a, "market"), ("b", exchange_b, "code")):
-        config = make(str(tmp_path / name / "out"), str(tmp_path / name / "check"), shuffle_partitions=2)
+        config = make(
+            str(tmp_path / name / "out"), str(tmp_path / name / "check"), shuffle_partitions=2
+        )
         folder = str(tmp_path / name / "land")
         messages = [tick("KRW-A", 1), tick("KRW-A", 1, at=120_000)]
         for message in messages:
             message[column] = message.pop("market") + name
         land(folder, 0, messages)
-        query = job.start_job(landed_messages(seoul, folder), config, {"availableNow": True})
+        session = config.session(spark)
+        query = job.start_job(landed_messages(session, folder), config, {"availableNow": True})
         jobs.append((query, config, name))
     for query, config, name in jobs:
         query.awaitTermination()
@@ -178,7 +188,8 @@ def test_pushed_frames_as_a_stream(seoul, tmp_path, limits):
     land(folder, 0, [{"code": "KRW-A", "trade_price": 1}, {"code": "KRW-Z"}, "junk", {"code": None}])
     messages = pushed_messages(landed_messages(seoul, folder), names, **limits)
     out = str(tmp_path / "messages")
-    stream_to_folder(messages, out, str(tmp_path / "check"), trigger={"availableNow": True}).awaitTermination()
+    check, once = str(tmp_path / "check"), {"availableNow": True}
+    stream_to_folder(messages, out, check, trigger=once).awaitTermination()
     frame = seoul.read.json(out, schema="code string, name string, trade_price double")
     assert rows(frame) == {("KRW-A", "a", 1.0): 1, ("KRW-Z", None, None): 1, (None, None, None): 1}
 
@@ -190,7 +201,8 @@ def test_polled_payloads_as_a_stream(seoul, tmp_path):
     land(folder, 1, ['[{"market": "KRW-X"}]'])
     messages = polled_messages(markets, stream_payloads(seoul, folder, max_files=1))
     out = str(tmp_path / "messages")
-    stream_to_folder(messages, out, str(tmp_path / "check"), trigger={"availableNow": True}).awaitTermination()
+    check, once = str(tmp_path / "check"), {"availableNow": True}
+    stream_to_folder(messages, out, check, trigger=once).awaitTermination()
     frame = seoul.read.json(out, schema="market string, name string, trade_price double")
     assert rows(frame) == {("KRW-A", "a", 2.0): 1}
 
@@ -220,7 +232,6 @@ import os, signal, sys
 from pyspark.sql import SparkSession
 import tickflow.streaming.job as job
 from tickflow.config import exchange_a
-from tickflow.session import tick_session
 from tickflow.sources.ticks import landed_messages
 
 out, check, folder, checkpoints = sys.argv[1:]
@@ -240,8 +251,8 @@ def crash(*args):
         os._exit(9)
 
 job.publish_result = crash
-session = tick_session(spark, shuffle_partitions=4)
 config = exchange_a(out, check, shuffle_partitions=4)
+session = config.session(spark)
 job.run_available(landed_messages(session, folder, max_files=1), config)
 """
 

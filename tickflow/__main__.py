@@ -39,6 +39,7 @@ def _parser() -> argparse.ArgumentParser:
 
     def source(command: argparse.ArgumentParser) -> None:
         command.add_argument("--folder", help="landing folder of the messages")
+        command.add_argument("--max-files", type=int, help="files per micro-batch")
         command.add_argument("--servers", help="brokers, if messages come from a topic")
         command.add_argument("--topic")
         command.add_argument("--group")
@@ -91,7 +92,7 @@ def _parser() -> argparse.ArgumentParser:
 
 def _stream(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.folder:
-        return landed_messages(spark, args.folder)
+        return landed_messages(spark, args.folder, args.max_files)
     options = kafka_options(
         args.servers,
         args.topic,

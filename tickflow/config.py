@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql import SparkSession
+
 from tickflow.schemas import POLLED, PUSHED, TickFormat
-from tickflow.session import SEOUL
+from tickflow.session import SEOUL, tick_session
 
 
 @dataclass(frozen=True)
@@ -24,8 +26,19 @@ class JobConfig:
     top: int = 5
     trigger: str = "1 minute"
     # Fixed for the life of a checkpoint: it is the number of state partitions.
+    # By default that of the session.
     shuffle_partitions: int | None = None
 
+    def session(self, spark: SparkSession) -> SparkSession:
+        """A session for this job; its messages must be read with it."""
+        return tick_session(spark, self.zone, self.shuffle_partitions)
+
+    def check(self, spark: SparkSession) -> None:
+        """Refuse a session in another zone: it would publish under the wrong days."""
+        zone = spark.conf.get("spark.sql.session.timeZone")
+        if zone != self.zone:
+            raise ValueError(f"job {self.name} is in zone {self.zone}, its session in {zone}")
+
 
 def exchange_a(output: str, checkpoint: str, **changes) -> JobConfig:
     """The job for the polled exchange."""

@@ -36,7 +36,6 @@ from tickflow.plans.producers import polled_messages, pushed_messages
 from tickflow.plans.ticks import decode_ticks, top_markets
 from tickflow.schemas import LISTING, POLLED, TICKS_A, struct
 from tickflow.scratch import new_folder
-from tickflow.session import tick_session
 from tickflow.sinks.messages import publish_to_folder
 from tickflow.sinks.published import (
     marked_days,
@@ -426,14 +425,18 @@ def success_markers(spark: SparkSession, folder: str) -> DataFrame:
 
 def _stream_config(spark: SparkSession, duration: str) -> JobConfig:
     return exchange_a(
-        new_folder(spark, "published"), new_folder(spark, "checkpoint"), duration=duration, zone="UTC"
+        new_folder(spark, "published"),
+        new_folder(spark, "checkpoint"),
+        zone="UTC",
+        duration=duration,
+        shuffle_partitions=spark.sparkContext.defaultParallelism,
     )
 
 
 def stream_top5_day(spark: SparkSession, folder: str) -> DataFrame:
     """The continuous job over all events, in one run; the open day is not published."""
-    session = tick_session(spark, "UTC")
     config = _stream_config(spark, "1 day")
+    session = config.session(spark)
     landing = new_folder(spark, "landing")
     publish_to_folder(event_quotes(session, folder), landing, POLLED.needed)
     run_available(landed_messages(session, landing), config)
@@ -442,8 +445,8 @@ def stream_top5_day(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_resumed_top5_minute(spark: SparkSession, folder: str) -> DataFrame:
     """The same job in minutes, stopped half-way and resumed from its checkpoint."""
-    session = tick_session(spark, "UTC")
     config = _stream_config(spark, "1 minute")
+    session = config.session(spark)
     landing = new_folder(spark, "landing")
     quotes = event_quotes(session, folder)
     middle = table(session, folder, "events").select(

@@ -40,4 +40,5 @@ def backfill(messages: DataFrame, config: JobConfig, batch: str) -> None:
 
     Running it again under the same ``batch`` name replaces its earlier output.
     """
+    config.check(messages.sparkSession)
     publish_result(top_markets(messages, config), config.output, batch, rerun=True)

@@ -42,6 +42,7 @@ def start_job(messages: DataFrame, config: JobConfig, trigger: dict | None = Non
     ``trigger`` overrides the configured interval, e.g. ``{"availableNow": True}``
     to work off what is there and stop.
     """
+    config.check(messages.sparkSession)
     return (
         notional_per_window(messages, config)
         .writeStream.queryName(config.name)
