@@ -145,6 +145,23 @@ def test_rows_within_the_delay_count(seoul, tmp_path):
     assert rows(read_published(seoul, config.output), "one_m_trade_volume")[(6.0,)] == 1
 
 
+def test_disorder_within_the_delay_changes_nothing(seoul, tmp_path):
+    config = exchange_a(
+        str(tmp_path / "out"), str(tmp_path / "check"), delay="30 seconds", shuffle_partitions=4
+    )
+    folder, rng = str(tmp_path / "land"), random.Random(7)
+    ticks = [m for batch in random_minutes(6, 6) for m in batch if isinstance(m, dict)]
+    ticks.sort(key=lambda t: t["timestamp"] + rng.randrange(30_000))
+    for number in range(8):
+        land(folder, number, ticks[number * 30 : (number + 1) * 30])
+    query = job.run_available(landed_messages(seoul, folder, max_files=1), config)
+    assert job.late_rows(query) == 0
+    want = top_markets(stored_messages(seoul, folder), config).where(
+        f"window_end <= cast(timestamp_millis({newest_time([ticks]) - 30_000}) as timestamp_ntz)"
+    )
+    assert rows(read_published(seoul, config.output), *KEYS) == rows(want, *KEYS)
+
+
 def test_undated_and_broken_messages_do_not_stop_the_job(seoul, place):
     config, folder = place
     odd = ["junk", "[]", {"market": "KRW-A"}, {**tick("KRW-A", 1), "timestamp": 2**63 - 1}]

@@ -8,7 +8,7 @@ lookup row for each part. Every plan gives the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BinaryType, StringType
 
 from tickflow.scratch import ensure_checkpoint_dir
@@ -58,19 +58,20 @@ def hot_keys(facts: DataFrame, key: str, hot_rows: int, limit: int = HOT_KEYS) -
     )
 
 
-def _split(facts: DataFrame, key: str, parts) -> DataFrame:
+def _split(facts: DataFrame, key: str, parts: Column) -> DataFrame:
     # The part depends on the row and on the task that reads it: both stay the
-    # same when a lost task is run again, and equal rows still spread out.
+    # same when a lost task is run again, and equal rows still spread out. Rows of
+    # keys that are not split are not hashed.
     spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in facts.columns])
-    return facts.withColumn(
-        "_part",
+    part = (
         F.when(F.col(key).isNull(), F.pmod(spread, F.lit(NULL_PARTS)))
-        .otherwise(F.pmod(spread, parts))
-        .cast("int"),
+        .when(parts > 1, F.pmod(spread, parts))
+        .otherwise(F.lit(0))
     )
+    return facts.withColumn("_part", part.cast("int"))
 
 
-def _copies(names: DataFrame, parts) -> DataFrame:
+def _copies(names: DataFrame, parts: Column) -> DataFrame:
     return names.withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
 
 
