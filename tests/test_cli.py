@@ -2,6 +2,9 @@ from __future__ import annotations
 
 import json
 
+import pytest
+
+import tickflow.__main__ as cli
 from helpers import land, rows, tick
 from tickflow.__main__ import main
 from tickflow.sources.published import read_published
@@ -38,17 +41,38 @@ def test_polled_job_backfill_and_newest(spark, seoul, tmp_path, capsys):
     assert "KRW-F" in shown and "2025-05-10 14:15:00" in shown and "14:14:00" not in shown
 
 
-def test_pushed_once(spark, tmp_path, monkeypatch):
-    import tickflow.__main__ as cli
+@pytest.fixture
+def once(monkeypatch):
+    """Continuous commands work off what is there and stop."""
+    stream = cli.stream_to_folder
+    monkeypatch.setattr(
+        cli, "stream_to_folder", lambda *args: stream(*args, trigger={"availableNow": True})
+    )
+
 
+def test_pushed_once(spark, tmp_path, once):
     for name, market in (("b", "b name"), ("a", "a name")):
         land(str(tmp_path / name), 0, [json.dumps([{"market": "KRW-A", "korean_name": market}])])
     land(str(tmp_path / "frames"), 0, [{"code": "KRW-A", "trade_price": 2}])
-    once = lambda *args, **kw: cli_stream(*args, **kw, trigger={"availableNow": True})
-    cli_stream = cli.stream_to_folder
-    monkeypatch.setattr(cli, "stream_to_folder", once)
     main(["pushed", "--folder", str(tmp_path / "frames"), "--listing", str(tmp_path / "b"),
           "--other-listing", str(tmp_path / "a"), "--checkpoint", str(tmp_path / "check"),
           "--to-folder", str(tmp_path / "messages")])
     got = spark.read.json(str(tmp_path / "messages"), schema="code string, name string, trade_price double")
     assert rows(got) == {("KRW-A", "b name", 2.0): 1}
+
+
+def test_polled_quotes_are_followed(spark, tmp_path, once):
+    land(str(tmp_path / "listing"), 0, [json.dumps([{"market": "KRW-A", "korean_name": "a"}])])
+    command = ["polled", "--listing", str(tmp_path / "listing"), "--quotes", str(tmp_path / "quotes"),
+               "--checkpoint", str(tmp_path / "check"), "--to-folder", str(tmp_path / "messages")]
+    for number in range(2):
+        land(str(tmp_path / "quotes"), number, [json.dumps([tick("KRW-A", number + 1)])])
+        main(command)
+    got = spark.read.json(str(tmp_path / "messages"), schema="market string, name string, trade_price double")
+    assert rows(got) == {("KRW-A", "a", 1.0): 1, ("KRW-A", "a", 2.0): 1}
+
+
+def test_a_folder_has_no_partitions(tmp_path):
+    with pytest.raises(SystemExit, match="partitions"):
+        main(["job", "--exchange", "a", "--folder", "x", "--partitions", "3",
+              "--output", "o", "--checkpoint", "c"])

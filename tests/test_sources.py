@@ -23,6 +23,8 @@ def test_topic_options():
     more = kafka_options("h:1", "t", max_offsets=1000, min_partitions=64)
     assert more["maxOffsetsPerTrigger"] == "1000" and more["minPartitions"] == "64"
     assert "kafka.group.id" not in more
+    one = kafka_options("h:1", "t", partition=2)
+    assert one["assign"] == '{"t": [2]}' and "subscribe" not in one
 
 
 def test_topic_needs_the_connector(spark):

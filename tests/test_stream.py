@@ -145,6 +145,25 @@ def test_rows_within_the_delay_count(seoul, tmp_path):
     assert rows(read_published(seoul, config.output), "one_m_trade_volume")[(6.0,)] == 1
 
 
+@pytest.mark.parametrize("apart", [True, False])
+def test_slowest_of_several_streams_closes_a_window(seoul, place, apart):
+    config, folder = place
+    fast, slow = folder + "/fast", folder + "/slow"
+    for number in range(6):
+        land(fast, number, [tick("KRW-F", 1, at=(number + 5) * 60_000 + 5_000)])
+        land(slow, number, [tick("KRW-S", 1, at=number * 60_000 + 5_000)])
+    streams = [landed_messages(seoul, path, max_files=1) for path in (fast, slow)]
+    if not apart:
+        streams = streams[0].unionByName(streams[1])
+    query = job.run_available(streams, config)
+    published = rows(read_published(seoul, config.output), "market")
+    if apart:
+        # Own watermarks: nothing of the slow stream is late, the fast one waits.
+        assert job.late_rows(query) == 0 and published == {("KRW-S",): 5}
+    else:
+        assert job.late_rows(query) > 0 and published[("KRW-S",)] < 5
+
+
 def test_disorder_within_the_delay_changes_nothing(seoul, tmp_path):
     config = exchange_a(
         str(tmp_path / "out"), str(tmp_path / "check"), delay="30 seconds", shuffle_partitions=4

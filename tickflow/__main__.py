@@ -46,6 +46,11 @@ def _parser() -> argparse.ArgumentParser:
         command.add_argument("--max-offsets", type=int, help="messages per micro-batch")
         command.add_argument("--min-partitions", type=int, help="tasks that read the topic")
 
+    def apart(command: argparse.ArgumentParser) -> None:
+        command.add_argument(
+            "--partitions", type=int, help="follow so many topic partitions with own watermarks"
+        )
+
     def target(command: argparse.ArgumentParser) -> None:
         command.add_argument("--to-folder")
         command.add_argument("--to-servers")
@@ -59,6 +64,7 @@ def _parser() -> argparse.ArgumentParser:
 
     job = commands.add_parser("job", help="rank the markets of every closed window")
     source(job)
+    apart(job)
     windows(job)
     job.add_argument("--checkpoint", required=True)
     job.add_argument("--delay", default="1 second")
@@ -90,7 +96,9 @@ def _parser() -> argparse.ArgumentParser:
     return parser
 
 
-def _stream(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+def _stream(
+    spark: SparkSession, args: argparse.Namespace, partition: int | None = None
+) -> DataFrame:
     if args.folder:
         return landed_messages(spark, args.folder, args.max_files)
     options = kafka_options(
@@ -99,10 +107,24 @@ def _stream(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         args.group,
         max_offsets=args.max_offsets,
         min_partitions=args.min_partitions,
+        partition=partition,
     )
     return kafka_messages(spark, options)
 
 
+def _job(spark: SparkSession, args: argparse.Namespace) -> None:
+    if args.partitions and args.folder:
+        raise SystemExit("--partitions is for topics: a folder would be read once for each")
+    if args.partitions:
+        messages = [_stream(spark, args, number) for number in range(args.partitions)]
+    else:
+        messages = _stream(spark, args)
+    if args.once:
+        run_available(messages, _config(args))
+    else:
+        start_job(messages, _config(args)).awaitTermination()
+
+
 def _config(args: argparse.Namespace) -> JobConfig:
     return EXCHANGES[args.exchange](
         args.output,
@@ -150,11 +172,7 @@ def main(argv: list[str] | None = None) -> None:
     base = SparkSession.builder.appName(f"tickflow-{args.command}").getOrCreate()
     spark = tick_session(base, args.zone, args.shuffle_partitions)
     if args.command == "job":
-        config = _config(args)
-        if args.once:
-            run_available(_stream(spark, args), config)
-        else:
-            start_job(_stream(spark, args), config).awaitTermination()
+        _job(spark, args)
     elif args.command == "backfill":
         backfill(stored_messages(spark, args.folder), _config(args), args.batch)
     elif args.command == "polled":

@@ -28,17 +28,14 @@ def windowed_notional(
     volume: str = "trade_volume",
     keys: Iterable[str | Column] = ("market", "name"),
     duration: str = "1 minute",
-    delay: str | None = None,
 ) -> DataFrame:
     """Floor of the summed notional per window and key.
 
-    Works on tables and streams; a stream needs the watermark ``delay``. Repeated
+    Works on tables and on streams that have a watermark on ``time``. Repeated
     snapshots of a quote all count, null products are skipped, and a null key is a
     group like any other. The sum is combined before the shuffle, so what is
     shuffled grows with the groups, not with the ticks.
     """
-    if delay is not None:
-        ticks = ticks.withWatermark(time, delay)
     window = F.window(time, duration).alias("window")
     total = F.sum(notional(price, volume))
     grouped = ticks.groupBy(*keys, window).agg(floor_double(total).alias(VALUE))

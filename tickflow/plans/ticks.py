@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 
 from tickflow.config import JobConfig
@@ -21,13 +23,16 @@ def decode_ticks(messages: DataFrame, format: TickFormat, all_columns: bool = Fa
     return with_event_time(ticks).withColumnRenamed(format.market, "market")
 
 
-def notional_per_window(messages: DataFrame, config: JobConfig) -> DataFrame:
-    """Notional per market and window of a table or a stream of messages."""
-    return windowed_notional(
-        decode_ticks(messages, config.format),
-        duration=config.duration,
-        delay=config.delay if messages.isStreaming else None,
-    )
+def notional_per_window(messages: DataFrame | list[DataFrame], config: JobConfig) -> DataFrame:
+    """Notional per market and window of a table or a stream of messages.
+
+    Several streams, e.g. one per topic partition, each have their own watermark, and
+    a window closes when the slowest of them has passed it.
+    """
+    parts = [messages] if isinstance(messages, DataFrame) else messages
+    ticks = [decode_ticks(part, config.format) for part in parts]
+    timed = [t.withWatermark("event_time", config.delay) if t.isStreaming else t for t in ticks]
+    return windowed_notional(reduce(DataFrame.unionByName, timed), duration=config.duration)
 
 
 def top_markets(messages: DataFrame, config: JobConfig) -> DataFrame:

@@ -20,6 +20,8 @@ STREAM_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    # Of several streams the slowest decides which windows are closed.
+    "spark.sql.streaming.multipleWatermarkPolicy": "min",
 }
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 
 KAFKA = "kafka"
@@ -14,17 +16,21 @@ def kafka_options(
     starting: str = "latest",
     max_offsets: int | None = None,
     min_partitions: int | None = None,
+    partition: int | None = None,
 ) -> dict[str, str]:
-    """Options of the topic scan.
+    """Options of the topic scan, or of the scan of one ``partition`` of the topic.
 
     ``max_offsets`` bounds one micro-batch. ``min_partitions`` reads a crowded
     topic partition with several tasks; nothing downstream needs its order.
     """
     options = {
         "kafka.bootstrap.servers": servers,
-        "subscribe": topic,
         "startingOffsets": starting,
     }
+    if partition is None:
+        options["subscribe"] = topic
+    else:
+        options["assign"] = json.dumps({topic: [partition]})
     if group is not None:
         options["kafka.group.id"] = group
     if max_offsets is not None:

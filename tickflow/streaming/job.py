@@ -36,16 +36,19 @@ def _publisher(config: JobConfig):
     return publish
 
 
-def start_job(messages: DataFrame, config: JobConfig, trigger: dict | None = None) -> StreamingQuery:
+def start_job(
+    messages: DataFrame | list[DataFrame], config: JobConfig, trigger: dict | None = None
+) -> StreamingQuery:
     """Start the job on a stream of messages and return the running query.
 
+    Several streams keep their own watermarks (see ``notional_per_window``).
     ``trigger`` overrides the configured interval, e.g. ``{"availableNow": True}``
     to work off what is there and stop.
     """
-    config.check(messages.sparkSession)
+    notional = notional_per_window(messages, config)
+    config.check(notional.sparkSession)
     return (
-        notional_per_window(messages, config)
-        .writeStream.queryName(config.name)
+        notional.writeStream.queryName(config.name)
         .outputMode("append")
         .foreachBatch(_publisher(config))
         .option("checkpointLocation", config.checkpoint)
@@ -54,7 +57,7 @@ def start_job(messages: DataFrame, config: JobConfig, trigger: dict | None = Non
     )
 
 
-def run_available(messages: DataFrame, config: JobConfig) -> StreamingQuery:
+def run_available(messages: DataFrame | list[DataFrame], config: JobConfig) -> StreamingQuery:
     """Work off all messages that are there, then stop; failures are raised."""
     query = start_job(messages, config, {"availableNow": True})
     query.awaitTermination()
