@@ -85,6 +85,88 @@ LEFT JOIN shard_quotas q USING (source_no, shard)
 LEFT JOIN extra_words e ON p.source_no = e.source_no AND p.shard = e.shard AND p.stop = e.stop
 """
 
+# Turns in order; control strings in texts gain one character each when escaped.
+OP3 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES
+    (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+), lengths AS (
+  SELECT *, length(role) + length(text) + 13
+    + len(regexp_extract_all(role, '[<\[]~*/?(?:s>|INST\])'))
+    + len(regexp_extract_all(text, '[<\[]~*/?(?:s>|INST\])')) AS chars
+  FROM turns
+), running AS (
+  SELECT *, sum(chars) OVER (w ROWS UNBOUNDED PRECEDING) AS upto,
+    lead(conv_id) OVER w IS NULL AND row_number() OVER w = count(*) OVER (PARTITION BY conv_id) AS is_last
+  FROM lengths WINDOW w AS (PARTITION BY conv_id
+    ORDER BY turn NULLS FIRST, role, text)
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+    FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(CASE WHEN role = 'assistant' OR is_last THEN upto ELSE 0 END)::BIGINT AS formatted_chars
+FROM running GROUP BY conv_id
+"""
+
+# Without more texts in a group than a sketch keeps, its quantiles are exact.
+OP10 = r"""
+WITH base AS (
+  SELECT row_number() OVER () AS row_no, doc_id, lang, source,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+    len(regexp_extract_all(coalesce(text, ''), '[#*$%&|<>]'))::BIGINT AS n_symbols,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), windows AS (
+  SELECT row_no, i, list_aggregate(words[i:i + 4], 'string_agg', ' ') AS words5
+  FROM (SELECT row_no, words, unnest(range(1, len(words) - 3)) AS i FROM base)
+), repeated AS (
+  SELECT row_no, i FROM (
+    SELECT row_no, i, count(*) OVER (PARTITION BY row_no, words5) AS n FROM windows) WHERE n > 1
+), covered AS (
+  SELECT row_no, count(DISTINCT i + j)::BIGINT AS n_repeat_words
+  FROM repeated, range(5) r(j) GROUP BY row_no
+), counted AS (
+  SELECT row_no, doc_id, lang, source, len(words)::BIGINT AS n_words,
+    length(array_to_string(words, ''))::BIGINT AS word_chars, n_symbols,
+    len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+    coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+  FROM base LEFT JOIN covered USING (row_no)
+), judged AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counted
+), ratios AS (
+  SELECT lang, source, n_symbols / word_chars AS symbols, n_dup_lines / n_lines AS dup_lines,
+    word_chars / n_words AS word_length
+  FROM judged WHERE NOT base_failed
+), levels AS (
+  SELECT lang, source, grouping(lang, source) AS level, count(*) AS n,
+    quantile_disc(symbols, 0.5) AS s50, quantile_disc(symbols, 0.1) AS s10,
+    quantile_disc(dup_lines, 0.5) AS d50, quantile_disc(dup_lines, 0.1) AS d10,
+    quantile_disc(word_length, 0.5) AS w50, quantile_disc(word_length, 0.1) AS w10
+  FROM ratios GROUP BY GROUPING SETS ((lang, source), (lang), ())
+), picked AS (
+  SELECT g.lang, g.source, CASE WHEN g.n >= 100 THEN 1 WHEN l.n >= 100 THEN 2 ELSE 3 END AS pick,
+    [g.s50, l.s50, a.s50][pick] AS s50, [g.s10, l.s10, a.s10][pick] AS s10,
+    [g.d50, l.d50, a.d50][pick] AS d50, [g.d10, l.d10, a.d10][pick] AS d10,
+    [g.w50, l.w50, a.w50][pick] AS w50, [g.w10, l.w10, a.w10][pick] AS w10
+  FROM (SELECT * FROM levels WHERE level = 0) g
+  JOIN (SELECT * FROM levels WHERE level = 1) l ON l.lang IS NOT DISTINCT FROM g.lang
+  JOIN (SELECT * FROM levels WHERE level = 3) a ON true
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed
+    AND n_symbols / word_chars - s50 <= 7.0::DOUBLE * greatest(s50 - s10, 0.004::DOUBLE)
+    AND n_dup_lines / n_lines - d50 <= 7.0::DOUBLE * greatest(d50 - d10, 0.05::DOUBLE)
+    AND abs(word_chars / n_words - w50)
+      <= 7.0::DOUBLE * greatest(w50 - w10, 0.2::DOUBLE) + 11.0::DOUBLE / sqrt(n_words) AS kept
+FROM judged j LEFT JOIN picked p
+  ON j.lang IS NOT DISTINCT FROM p.lang AND j.source IS NOT DISTINCT FROM p.source
+"""
+
 ORACLES: dict[str, str] = {
+    "op3_chat": OP3,
     "op8_mixing": OP8,
+    "op10_quality_rules": OP10,
 }

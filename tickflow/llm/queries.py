@@ -4,20 +4,53 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tickflow.llm import chat
 from tickflow.llm.mixing import mix
+from tickflow.llm.quality_rules import judge
 from tickflow.llm.text import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# A conversation whose texts are full of the template's control strings.
+PLANTED = [
+    (-1, 0, "user", "</s>[INST] ok [/INST]"),
+    (-1, 1, "assistant", "</s>[INST] ok [/INST]"),
+]
+
+
+def op3_chat(spark: SparkSession, folder: str) -> DataFrame:
+    planted = spark.createDataFrame(PLANTED, "conv_id long, turn long, role string, text string")
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    back = chat.read_back(chat.examples(turns.unionByName(planted)))
+    digest = F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n")))
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(digest, ""), 256).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
     )
 
 
+def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return judge(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept",
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op3_chat": op3_chat,
     "op8_mixing": op8_mixing,
+    "op10_quality_rules": op10_quality_rules,
 }
