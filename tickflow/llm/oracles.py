@@ -111,6 +111,27 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM running GROUP BY conv_id
 """
 
+OP9 = r"""
+WITH lines AS (
+  SELECT row_no, doc_id, i, line,
+    translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT row_no, doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS i
+    FROM (SELECT row_number() OVER () AS row_no, doc_id,
+      string_split(coalesce(text, ''), chr(10)) AS parts FROM documents))
+), repeated AS (
+  SELECT key, max(doc_id) AS holder FROM lines WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), marked AS (
+  SELECT lines.*, holder IS NOT NULL AND holder <> doc_id AS dropped
+  FROM lines LEFT JOIN repeated USING (key)
+)
+SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines,
+  count(*) FILTER (dropped)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY row_no
+"""
+
 # Without more texts in a group than a sketch keeps, its quantiles are exact.
 OP10 = r"""
 WITH base AS (
@@ -168,5 +189,6 @@ FROM judged j LEFT JOIN picked p
 ORACLES: dict[str, str] = {
     "op3_chat": OP3,
     "op8_mixing": OP8,
+    "op9_line_dedup": OP9,
     "op10_quality_rules": OP10,
 }

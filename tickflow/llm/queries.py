@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickflow.llm import chat
+from tickflow.llm.line_dedup import clean
 from tickflow.llm.mixing import mix
 from tickflow.llm.quality_rules import judge
 from tickflow.llm.text import table
@@ -42,6 +43,12 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return clean(table(spark, folder, "documents")).select(
+        "doc.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judge(table(spark, folder, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -52,5 +59,6 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op3_chat": op3_chat,
     "op8_mixing": op8_mixing,
+    "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
