@@ -111,6 +111,43 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM running GROUP BY conv_id
 """
 
+# Windows as texts of words joined by a space.
+OP4 = r"""
+WITH doc_words AS (
+  SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), item_words AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark
+), item_windows AS (
+  SELECT DISTINCT item_id, size, array_to_string(words[i:i + size - 1], ' ') AS win
+  FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS i
+    FROM (SELECT *, least(10, len(words)) AS size FROM item_words WHERE len(words) > 0))
+), sizes AS (
+  SELECT DISTINCT size FROM item_windows
+), found AS (
+  SELECT row_no, i, size, array_to_string(words[i:i + size - 1], ' ') AS win
+  FROM (SELECT row_no, words, size, unnest(range(1, len(words) - size + 2)) AS i
+    FROM doc_words, sizes WHERE len(words) >= size)
+  WHERE array_to_string(words[i:i + size - 1], ' ') IN (SELECT win FROM item_windows)
+), hits AS (
+  SELECT row_no, count(DISTINCT i + j)::BIGINT AS n_hit
+  FROM (SELECT row_no, i, unnest(range(size)) AS j FROM found) GROUP BY row_no
+), items AS (
+  SELECT row_no, count(*)::BIGINT AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT row_no, item_id::VARCHAR AS item
+    FROM found JOIN item_windows USING (size, win)) GROUP BY row_no
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN hits USING (row_no) LEFT JOIN items USING (row_no)
+"""
+
 OP9 = r"""
 WITH lines AS (
   SELECT row_no, doc_id, i, line,
@@ -188,6 +225,7 @@ FROM judged j LEFT JOIN picked p
 
 ORACLES: dict[str, str] = {
     "op3_chat": OP3,
+    "op4_decontaminate": OP4,
     "op8_mixing": OP8,
     "op9_line_dedup": OP9,
     "op10_quality_rules": OP10,

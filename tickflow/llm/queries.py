@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickflow.llm import chat
+from tickflow.llm.decontaminate import scan
 from tickflow.llm.line_dedup import clean
 from tickflow.llm.mixing import mix
 from tickflow.llm.quality_rules import judge
@@ -37,6 +38,18 @@ def op3_chat(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    documents, benchmark = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return scan(documents, benchmark, columns=("doc_id",)).select(
+        "doc.doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
@@ -58,6 +71,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_chat": op3_chat,
+    "op4_decontaminate": op4_decontaminate,
     "op8_mixing": op8_mixing,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
