@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tickflow.llm import chat
+from tickflow.llm import chat, quality_classifier
 from tickflow.llm.decontaminate import scan
+from tickflow.llm.labels import held_out
 from tickflow.llm.line_dedup import clean
 from tickflow.llm.mixing import mix
 from tickflow.llm.quality_rules import judge
@@ -50,6 +51,22 @@ def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _scored(scores: DataFrame, kept_out: Column, threshold: float) -> DataFrame:
+    return scores.select(
+        "doc.doc_id",
+        kept_out.alias("held_out"),
+        "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
+    )
+
+
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = quality_classifier.train(documents, labels, held_out(F.col("doc_id"), 4, 2))
+    scores = quality_classifier.score(documents, model, ("doc_id",))
+    return _scored(scores, held_out(F.col("doc.doc_id"), 4, 2), 0.7)
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
@@ -72,6 +89,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op3_chat": op3_chat,
     "op4_decontaminate": op4_decontaminate,
+    "op6_quality": op6_quality,
     "op8_mixing": op8_mixing,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,

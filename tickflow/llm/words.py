@@ -148,13 +148,16 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets, np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)
 
 
-def chunks(texts: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Consecutive rows of about ``size`` bytes: first row, bytes, offsets from 0."""
+def chunks(
+    texts: pa.Array, size: int = CHUNK, rows: int = CHUNK
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """At most ``rows`` consecutive rows of about ``size`` bytes: first row, bytes, offsets
+    from 0."""
     offsets, data = buffers(texts)
     row, n = 0, len(texts)
     while row < n:
         upto = int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1
-        upto = min(max(upto, row + 1), n)
+        upto = min(max(upto, row + 1), row + rows, n)
         yield row, data[offsets[row] : offsets[upto]], offsets[row : upto + 1] - offsets[row]
         row = upto
 
