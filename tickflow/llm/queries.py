@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tickflow.llm import chat, quality_classifier
+from tickflow.llm import chat, quality_classifier, toxicity
 from tickflow.llm.decontaminate import scan
 from tickflow.llm.labels import held_out
 from tickflow.llm.line_dedup import clean
@@ -67,6 +67,13 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     return _scored(scores, held_out(F.col("doc.doc_id"), 4, 2), 0.7)
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = toxicity.train(documents, labels, held_out(F.col("doc_id"), 3, 1))
+    scores = toxicity.score(documents, model, ("doc_id",))
+    return _scored(scores, held_out(F.col("doc.doc_id"), 3, 1), 0.7)
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
@@ -90,6 +97,7 @@ QUERIES: dict[str, Query] = {
     "op3_chat": op3_chat,
     "op4_decontaminate": op4_decontaminate,
     "op6_quality": op6_quality,
+    "op7_toxicity": op7_toxicity,
     "op8_mixing": op8_mixing,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
