@@ -145,9 +145,11 @@ def clean(
     runs = LineRuns(spark, fanout)
     for number in range(batches):
         runs.add(keys.where(F.col("batch") == number).select("key", "doc"))
-    repeated = runs.totals().where(F.col("n_docs") >= min_docs).select("key", "holder")
+    # Written plainly: a join of two shuffled sides can split a key of many lines.
+    path = new_folder(spark, "line-repeated")
+    runs.totals().where(F.col("n_docs") >= min_docs).select("key", "holder").write.parquet(path)
     dropped = (
-        keys.join(repeated, "key")
+        keys.join(spark.read.parquet(path), "key")
         .where("doc != holder")
         .groupBy(F.col("doc").alias("_doc"), F.col("print").alias("_print"))
         .agg(F.collect_set("pos").alias("_dropped"))
