@@ -152,8 +152,9 @@ def limits(counted: DataFrame, k: int, min_group: int) -> DataFrame:
     )
     # Three levels of sketches; the coarser ones are a few rows.
     by_lang = renamed(groups.groupBy("lang").agg(*merged), "lang").withColumnRenamed("lang", "_lang")
-    total = renamed(groups.agg(*merged), "all")
-    levels = groups.join(by_lang, F.col("lang").eqNullSafe(F.col("_lang"))).join(total)
+    total = renamed(groups.agg(*merged), "all").withColumn("_one", F.lit(1))
+    levels = groups.join(by_lang, F.col("lang").eqNullSafe(F.col("_lang")))
+    levels = levels.withColumn("_one", F.lit(1)).join(total, "_one")
     chosen = lambda name: (
         F.when(F.col("n") >= min_group, F.col(name))
         .when(F.col("lang_n") >= min_group, F.col(f"lang_{name}"))
