@@ -8,17 +8,17 @@ over all labelled texts that continue the stem. A stem rare in both classes then
 next to nothing; one that a single class uses often says much. Words are counted per task
 and class before the shuffle, and all counts cover all labelled texts to learn from.
 
-A text is compared by length-normalised sums of its words' log-likelihood ratios (toxic
-over ordinary): the mean per word, and the excess over ``CLEAR`` nats per word and per
-root of words, for texts that are toxic in a few places only. A logistic curve over those
-makes a probability; it is fitted on about ``sample_rows`` labelled texts, chosen by a
-hash of their ids.
+A text is compared by a length-normalised sum of its words' log-likelihood ratios (toxic
+over ordinary), of what exceeds ``CLEAR`` nats per word: chance adds little to it, and it
+is divided by the root of the number of words, as texts may be toxic in a few places only.
+A logistic curve over its root makes a probability; it is fitted on about ``sample_rows``
+labelled texts, chosen by a hash of their ids.
 
 Workers hold the ratios of ``SLOTS`` stems (12 MB); of stems that share a slot the most
 frequent one has it, the others count as equally likely, as stems never seen do. Scoring
 is one pass over the documents, without a shuffle.
 
-Null and empty texts have no words: all figures are 0. If one class has no labelled text,
+Null and empty texts have no words: their sum is 0. If one class has no labelled text,
 scores are constant: 1 or 0 for the class there is, and 0.5 without labels. Repeated rows
 are scored alike; an empty table gives no rows. All columns pass through, whatever their
 names.
@@ -39,7 +39,7 @@ from tickflow.llm.words import LETTERS, Tokens, over_batches, packed, token_chun
 from tickflow.scratch import new_folder
 
 STEM = 5
-DISCOUNT = 5.0
+DISCOUNT = 2.0
 # Ratios up to this, in nats, come from chance.
 CLEAR = 2.0
 # A prime.
@@ -113,30 +113,26 @@ def ratios(counted: DataFrame) -> DataFrame:
 
 @dataclass
 class Model:
-    """Stems and ratios by slot, and the logistic curve over a text's figures."""
+    """Stems and ratios by slot, and the logistic curve over a text's figure."""
 
     stem: np.ndarray
     ratio: np.ndarray
     curve: np.ndarray
 
     def figures(self, texts: pa.Array) -> np.ndarray:
-        """Mean ratio, excess per word, excess per root of words."""
-        out = np.zeros((len(texts), 3))
+        """The root of the excess per root of words."""
+        out = np.zeros(len(texts))
         for row, found in token_chunks(texts, LETTERS):
             n = len(found.counts)
             stem = stems(found)
             slot = stem % SLOTS
             ratio = np.where(self.stem[slot] == stem, self.ratio[slot], 0.0)
-            of = found.rows()
-            words = np.maximum(found.counts, 1)
-            excess = np.bincount(of, weights=np.maximum(ratio - CLEAR, 0), minlength=n)
-            out[row : row + n, 0] = np.bincount(of, weights=ratio, minlength=n) / words
-            out[row : row + n, 1] = excess / words
-            out[row : row + n, 2] = excess / np.sqrt(words)
+            excess = np.bincount(found.rows(), weights=np.maximum(ratio - CLEAR, 0), minlength=n)
+            out[row : row + n] = np.sqrt(excess / np.sqrt(np.maximum(found.counts, 1)))
         return out
 
     def scores(self, texts: pa.Array) -> np.ndarray:
-        return logistic.probability(self.figures(texts), self.curve)
+        return logistic.probability(self.figures(texts)[:, None], self.curve)
 
 
 def _table(learned: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -175,24 +171,20 @@ def train(
     both = counted.agg(F.sum("toxic"), F.sum("ordinary")).first()
     if not (both[0] and both[1]):
         prior = 30.0 if both[0] else -30.0 if both[1] else 0.0
-        return Model(np.full(SLOTS, -1, np.int64), np.zeros(SLOTS, np.float32), np.array([0, 0, 0, prior]))
-    model = Model(*_table(ratios(counted)), np.zeros(4))
+        return Model(np.full(SLOTS, -1, np.int64), np.zeros(SLOTS, np.float32), np.array([0.0, prior]))
+    model = Model(*_table(ratios(counted)), np.zeros(2))
 
     shared = spark.sparkContext.broadcast(model)
-    figures = over_batches(
+    held = over_batches(
         sample(rows, n, sample_rows),
-        lambda: lambda batch: [
-            pa.array(shared.value.figures(batch.column("text")).tolist(), pa.list_(pa.float64()))
-        ],
-        ["doc_id", "label"], "figures array<double>",
+        lambda: lambda batch: [pa.array(shared.value.figures(batch.column("text")))],
+        ["doc_id", "label"], "figure double",
     ).toArrow()
-    x = np.array(figures.column("figures").to_pylist()).reshape(-1, 3)
-    y = (figures.column("label").to_numpy() > 0).astype(float)
-    order = np.lexsort((*x.T, figures.column("doc_id").to_numpy()))
-    x, y = x[order], y[order]
-    centre, spread = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
-    w = logistic.fit((x - centre) / spread, y, ridge=0.1)
-    model.curve = np.concatenate([w[:-1] / spread, [w[-1] - (w[:-1] * centre / spread).sum()]])
+    held = held.sort_by([("doc_id", "ascending"), ("figure", "ascending")])
+    x = held.column("figure").to_numpy()
+    spread = max(x.std(), 1e-9)
+    w = logistic.fit(x[:, None] / spread, (held.column("label").to_numpy() > 0).astype(float), ridge=3e-3)
+    model.curve = np.array([w[0] / spread, w[1]])
     return model
 
 
