@@ -11,12 +11,18 @@ from tickflow.llm.decontaminate import scan
 from tickflow.llm.labels import held_out
 from tickflow.llm.line_dedup import clean
 from tickflow.llm.mixing import mix
+from tickflow.llm.near_dups import group
 from tickflow.llm.quality_rules import judge
 from tickflow.llm.text import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_near_dups(spark: SparkSession, folder: str) -> DataFrame:
+    found = group(table(spark, folder, "documents"), size=3, percent=85)
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
 # A conversation whose texts are full of the template's control strings.
 PLANTED = [
     (-1, 0, "user", "</s>[INST] ok [/INST]"),
@@ -94,6 +100,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_near_dups": op1_near_dups,
     "op3_chat": op3_chat,
     "op4_decontaminate": op4_decontaminate,
     "op6_quality": op6_quality,
