@@ -85,6 +85,30 @@ LEFT JOIN shard_quotas q USING (source_no, shard)
 LEFT JOIN extra_words e ON p.source_no = e.source_no AND p.shard = e.shard AND p.stop = e.stop
 """
 
+# Base32 from the bits of the digest, five at a time.
+OP2 = r"""
+WITH digests AS (
+  SELECT page_id, url, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS digest FROM pages
+), ranked AS (
+  SELECT *, max(page_id) OVER (PARTITION BY digest) AS winner,
+    row_number() OVER (PARTITION BY digest ORDER BY page_id DESC NULLS LAST, url NULLS FIRST) = 1 AS first
+  FROM digests
+), bits AS (
+  SELECT *, array_to_string(list_transform(string_split(digest, ''),
+    lambda c: ['0000', '0001', '0010', '0011', '0100', '0101', '0110', '0111', '1000', '1001',
+      '1010', '1011', '1100', '1101', '1110', '1111'][strpos('0123456789abcdef', c)]), '') AS bin
+  FROM ranked
+)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i:
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[(
+      16 * bin[5 * i + 1]::INT + 8 * bin[5 * i + 2]::INT + 4 * bin[5 * i + 3]::INT
+      + 2 * bin[5 * i + 4]::INT + bin[5 * i + 5]::INT + 1)::INT]), '') AS payload_digest,
+  CASE WHEN first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first THEN NULL ELSE winner END AS refers_to
+FROM bits
+"""
+
 # Turns in order; control strings in texts gain one character each when escaped.
 OP3 = r"""
 WITH turns AS (
@@ -224,6 +248,7 @@ FROM judged j LEFT JOIN picked p
 """
 
 ORACLES: dict[str, str] = {
+    "op2_warc": OP2,
     "op3_chat": OP3,
     "op4_decontaminate": OP4,
     "op8_mixing": OP8,
