@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tickflow.llm import chat, quality_classifier, toxicity, warc
+from tickflow.llm import chat, quality_classifier, substrings, toxicity, warc
 from tickflow.llm.decontaminate import scan
 from tickflow.llm.labels import held_out
 from tickflow.llm.line_dedup import clean
@@ -66,6 +66,11 @@ def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.remove(table(spark, folder, "documents"), digest=True, columns=("doc_id",))
+    return found.select("doc.doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
+
+
 def _scored(scores: DataFrame, kept_out: Column, threshold: float) -> DataFrame:
     return scores.select(
         "doc.doc_id",
@@ -113,6 +118,7 @@ QUERIES: dict[str, Query] = {
     "op2_warc": op2_warc,
     "op3_chat": op3_chat,
     "op4_decontaminate": op4_decontaminate,
+    "op5_substrings": op5_substrings,
     "op6_quality": op6_quality,
     "op7_toxicity": op7_toxicity,
     "op8_mixing": op8_mixing,

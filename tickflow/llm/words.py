@@ -78,7 +78,7 @@ class _Powers:
         return self
 
 
-_POWERS = _Powers()
+POWERS = _Powers()
 
 
 @dataclass
@@ -130,7 +130,7 @@ def tokens(data: np.ndarray, offsets: np.ndarray, alphabet: Alphabet) -> Tokens:
         begins &= ~before
         ends &= ~after
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    powers = _POWERS.upto(n)
+    powers = POWERS.upto(n)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(alphabet.value[data] * powers.up[:n], out=sums[1:])
     hashes = mix((sums[end] - sums[start]) * powers.down[start])
