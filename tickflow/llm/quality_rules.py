@@ -51,9 +51,9 @@ class Rule:
 
 
 RULES = (
-    Rule("symbols", "n_symbols / word_chars", least=0.004),
-    Rule("dup_lines", "n_dup_lines / n_lines", least=0.05),
-    Rule("word_length", "word_chars / n_words", least=0.2, noise=11.0, both=True),
+    Rule("symbols", "n_symbols / nullif(word_chars, 0)", least=0.004),
+    Rule("dup_lines", "n_dup_lines / nullif(n_lines, 0)", least=0.05),
+    Rule("word_length", "word_chars / nullif(n_words, 0)", least=0.2, noise=11.0, both=True),
 )
 
 
@@ -171,7 +171,7 @@ def limits(counted: DataFrame, k: int, min_group: int) -> DataFrame:
 def passes(rule: Rule) -> Column:
     allowed = (
         rule.width * F.greatest(F.col(f"{rule.name}_spread"), F.lit(rule.least))
-        + F.lit(rule.noise) / F.sqrt("n_words")
+        + F.lit(rule.noise) / F.sqrt(F.nullif("n_words", F.lit(0)))
     )
     off = F.expr(rule.ratio) - F.col(f"{rule.name}_median")
     return (F.abs(off) if rule.both else off) <= allowed
