@@ -1,0 +1,110 @@
+"""Small tables with the awkward rows, and plain-Python versions of the operators."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+# Columns that share names with what operators use inside.
+CLASHING = (
+    "doc string, size string, node long, key string, n long, score double, region int, copy int, "
+    "batch string, pos int, label string, kept string, spans string, passes int, windows string"
+)
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def prose(seed: int, n: int) -> str:
+    """n words, no two of which repeat in a row of texts, in lines of nine."""
+    words = [f"w{seed}x{i * i % 9973}y{i}" for i in range(n)]
+    return "\n".join(" ".join(words[i : i + 9]) for i in range(0, n, 9))
+
+
+def edge_rows(with_null_ids: bool = True) -> list[tuple]:
+    long = prose(1, 30_000)
+    base = prose(2, 120)
+    near = base.replace("w2x1y1 ", "other ")
+    shared = "a line that many documents have in common"
+    rows = [
+        (1, None, "en", "a"),
+        (2, "", "en", "a"),
+        (3, " \t\n ", None, "a"),
+        (4, "Word", "en", None),
+        (5, "two Words", None, None),
+        (6, long, "en", "b"),
+        (7, base, "de", "b"),
+        (8, base, "de", "b"),
+        (9, near, "de", "c"),
+        (9, near, "de", "c"),
+        (10, f"{prose(3, 40)}\n{shared}\n{prose(4, 5)}", "en", "c"),
+        (11, f"  {shared.upper()}\t\n{prose(5, 60)}\n{shared}", "en", "c"),
+        (12, shared, "en", "c"),
+        (13, "\n".join([shared] * 30), "en", "c"),
+        (14, "é É ñ ÉTÉ été €uro 日本 😀 " * 12, "fr", "d"),
+        (15, base.upper(), "de", "d"),
+        (16, "same same " * 40, "en", "d"),
+        (17, prose(3, 40), "en", ""),
+    ]
+    if with_null_ids:
+        rows += [(None, base, "en", "a"), (None, None, None, None), (None, shared, "en", "c")]
+    return [(*r, len(r[1] or "")) for r in rows]
+
+
+def documents(spark, rows=None, extra: bool = True):
+    frame = spark.createDataFrame(edge_rows() if rows is None else rows, DOCUMENTS)
+    if extra:
+        for field in CLASHING.split(", "):
+            name, kind = field.split(" ")
+            frame = frame.selectExpr("*", f"cast(null as {kind}) as {name}")
+    return frame
+
+
+def words(text: str | None) -> list[str]:
+    return WORD.findall(text or "")
+
+
+def near_components(rows: list[tuple], size: int, percent: int) -> list[tuple]:
+    """(doc_id, set size, smallest doc_id of the component) per row, by all pairs."""
+    sets = []
+    for row in rows:
+        w = words((row[1] or "").translate(LOWER))
+        k = min(size, len(w)) if w else 0
+        sets.append({tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if k else set())
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
+                root[find(i)] = find(j)
+    ids = defaultdict(list)
+    for i, row in enumerate(rows):
+        if row[0] is not None:
+            ids[find(i)].append(row[0])
+    return [(row[0], len(sets[i]), min(ids[find(i)], default=None)) for i, row in enumerate(rows)]
+
+
+def without_repeats(texts: list[str | None], window: int) -> list[tuple]:
+    """(words, words removed, kept words) per text, by counting every window."""
+    every = [words(t) for t in texts]
+    seen = Counter(tuple(w[i : i + window]) for w in every for i in range(len(w) - window + 1))
+    out = []
+    for w in every:
+        gone = set()
+        for i in range(len(w) - window + 1):
+            if seen[tuple(w[i : i + window])] > 1:
+                gone.update(range(i, i + window))
+        out.append((len(w), len(gone), " ".join(x for i, x in enumerate(w) if i not in gone)))
+    return out
+
+
+def sha256(text: str) -> str:
+    return hashlib.sha256(text.encode("utf-8")).hexdigest()
