@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from tickflow.scratch import new_folder
 
+# Edges that one task contracts: 16 bytes each.
+TASK_EDGES = 1_000_000
+
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Edges (node, smallest node of its component) with the components of the edges a-b."""
@@ -34,9 +37,10 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per batch, the edges of its components as stars, with far fewer rows for dense parts."""
-    for batch in batches:
-        a, b = forest(batch.column(0).to_numpy(), batch.column(1).to_numpy())
+    """The edges of a partition's components as stars, far fewer rows for dense parts."""
+    held = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
+    if held:
+        a, b = forest(*(np.concatenate(x) for x in zip(*held, strict=True)))
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
 
@@ -44,10 +48,12 @@ def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root`` (the smallest node of its component) for every node that is
     not a root itself, from edges ``a``, ``b`` (long).
 
-    Large-star and small-star steps alternate until nothing changes, which takes about the
-    logarithm of the longest path. Each step joins nodes with their smallest neighbour, so
-    a node with very many neighbours is split by the skew join and never gathered; edges
-    are written to the shared folder after each round, which cuts the lineage."""
+    Edges are first contracted within partitions of about ``TASK_EDGES``. If there are more
+    than one, large-star and small-star steps alternate until nothing changes, which takes
+    about the logarithm of the longest path. Each step joins nodes with their smallest
+    neighbour, so a node with very many neighbours is split by the skew join and never
+    gathered; edges are written to the shared folder after each round, which cuts the
+    lineage."""
     spark = edges.sparkSession
 
     def written(frame: DataFrame) -> tuple[DataFrame, tuple]:
@@ -57,8 +63,15 @@ def components(edges: DataFrame) -> DataFrame:
         state = back.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         return back, tuple(state)
 
+    raw, state = written(edges.select("a", "b"))
+    parts = -(-state[0] // TASK_EDGES) or 1
+    contracted = raw.coalesce(parts).mapInArrow(_contract, "a long, b long")
+    if parts == 1:
+        stars, _ = written(contracted)
+        return stars.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
     # Edges lead from the larger node to the smaller.
-    stars, state = written(edges.select("a", "b").mapInArrow(_contract, "a long, b long").distinct())
+    stars, state = written(contracted.distinct())
     while state[0]:
         # Large star: larger neighbours go to the smallest of all neighbours.
         both = stars.union(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
