@@ -16,10 +16,12 @@ linked documents, directly or through others, are one component.
    compared and a spanning forest of the likely pairs becomes candidates; in a crowded
    one, each class with the region's smallest.
 4. Candidates are confirmed on full sets, and linked classes become components.
-5. Regions (at ``DEPTH``) that still hold several components are compared once more, all
-   classes of one component with those of others, in blocks of ``CROWDED`` by
-   ``CROWDED`` that are spread over the tasks. All likely pairs are confirmed on full
-   sets. So no region's size drops a pair, and regions of copies cost nothing again.
+5. Regions (at ``DEPTH``) that still hold several components are gone through once more,
+   all classes of one component with those of others, in blocks of ``CROWDED`` by
+   ``CROWDED`` that are spread over the tasks and carry the full sets. Likely pairs are
+   confirmed there, in the first tree that both share, and only links that hold components
+   together come out. So no region's size drops a pair, and what comes out grows with the
+   classes, not with their pairs.
 
 Likely: at least ``LIKELY`` of the hashes agree (at a similarity of 0.85, all but about
 two pairs in a million). No task holds more than two blocks; a class in very many pairs
@@ -38,7 +40,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickflow.llm.components import components, forest
+from tickflow.llm.components import components
 from tickflow.llm.words import LOWER, Tokens, mix, over_batches, token_chunks
 from tickflow.scratch import new_folder
 
@@ -152,7 +154,7 @@ def _agreement(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return same
 
 
-def _spanning(node: np.ndarray, sig: np.ndarray, part: np.ndarray, side: np.ndarray):
+def _spanning(node: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Likely pairs of a region that hold it together, best first."""
     agree = _agreement(sig, sig)
     a, b = np.nonzero(np.triu(agree >= LIKELY, 1))
@@ -170,49 +172,108 @@ def _spanning(node: np.ndarray, sig: np.ndarray, part: np.ndarray, side: np.ndar
     return node[left], node[right]
 
 
-def _across(node: np.ndarray, sig: np.ndarray, part: np.ndarray, side: np.ndarray):
-    """Likely pairs of different components, between the two sides of a pair of blocks or
-    within the one."""
+def _candidates(rows: DataFrame) -> DataFrame:
+    """Distinct pairs a < b that hold the regions of ``rows`` (region, node, sig) together.
+    A region has at most ``CROWDED`` rows."""
+
+    def pairs(region: np.ndarray, node: np.ndarray, sig: np.ndarray) -> pa.RecordBatch:
+        cuts = np.concatenate([[0], np.flatnonzero(region[1:] != region[:-1]) + 1, [len(region)]])
+        found = [_spanning(node[a:b], sig[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        left, right = (np.concatenate(x) for x in zip(*found, strict=True))
+        keys = np.unique(np.column_stack([np.minimum(left, right), np.maximum(left, right)]), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1])], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            here = [batch.column(c).to_numpy() for c in ("region", "node")] + [_signature_rows(batch)]
+            if rest is not None:
+                here = [np.concatenate(x) for x in zip(rest, here, strict=True)]
+            # The last region may go on in the next batch.
+            cut = int(np.searchsorted(here[0], here[0][-1]))
+            if cut:
+                yield pairs(*[x[:cut] for x in here])
+            rest = [x[cut:] for x in here]
+        if rest is not None:
+            yield pairs(*rest)
+
+    laid = rows.select("region", "node", "sig").repartition("region").sortWithinPartitions("region", "node")
+    return laid.mapInArrow(run, "a long, b long").distinct()
+
+
+def _signature_rows(batch: pa.RecordBatch) -> np.ndarray:
+    raw = b"".join(batch.column("sig").to_pylist())
+    return np.frombuffer(raw, np.uint32).reshape(len(batch), HASHES)
+
+
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sets of sorted hashes are similar enough."""
+    both = np.sort(np.concatenate([x, y]))
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(both) - common)
+
+
+def _cross_links(group: pa.RecordBatch, percent: int) -> list[tuple[int, int]]:
+    """Links between different components of a pair of blocks (or within the one), as few
+    as hold them together. Each pair is looked at in the first tree it shares."""
+    node, part, side = (group.column(c).to_numpy() for c in ("node", "part", "side"))
+    if (part == part[0]).all():
+        return []
+    tree, sig = group.column("tree")[0].as_py(), _signature_rows(group)
     x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     if not len(y):
         y = x
-    likely = (_agreement(sig[x], sig[y]) >= LIKELY) & (part[x][:, None] != part[y][None, :])
-    a, b = np.nonzero(likely)
-    return node[x[a]], node[y[b]]
+    agree = _agreement(sig[x], sig[y])
+    a, b = np.nonzero((agree >= LIKELY) & (part[x][:, None] != part[y][None, :]))
+    order = np.argsort(-agree[a, b].astype(np.int16), kind="stable")
+    a, b = x[a[order]], y[b[order]]
+    root = np.unique(part, return_inverse=True)[1]
+    full = [np.frombuffer(v.as_buffer(), np.uint64) for v in group.column("set")]
+    out = []
+    for at in range(0, len(a), 4096):
+        i, j = a[at : at + 4096], b[at : at + 4096]
+        earlier = (sig[i, : DEPTH * tree] == sig[j, : DEPTH * tree]).reshape(len(i), tree, DEPTH).all(axis=2).any(axis=1)
+        for p, q in zip(i[~earlier].tolist(), j[~earlier].tolist(), strict=True):
+            if root[p] != root[q] and _similar(full[p], full[q], percent):
+                root[root == root[p]] = root[q]
+                out.append((int(node[p]), int(node[q])))
+    return out
 
 
-def _pairs(rows: DataFrame, choose) -> DataFrame:
-    """Distinct pairs a < b that ``choose`` finds in each group (``region``) of ``rows``
-    (region, node, sig, part, side). A group has at most two blocks of rows."""
+def _links(rows: DataFrame, percent: int) -> DataFrame:
+    """The links in all groups (``region``) of ``rows`` (region, tree, node, part, side,
+    sig, set). A group has at most two blocks of rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_: list[tuple[np.ndarray, ...]] = []
+        open_: list[pa.RecordBatch] = []
 
-        def pairs(columns: list[np.ndarray]) -> pa.RecordBatch:
-            region, node, sig, part, side = columns
-            cuts = np.concatenate([[0], np.flatnonzero(region[1:] != region[:-1]) + 1, [len(region)]])
-            found = [choose(node[a:b], sig[a:b], part[a:b], side[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-            left, right = (np.concatenate(x) for x in zip(*found, strict=True))
-            keys = np.unique(np.column_stack([np.minimum(left, right), np.maximum(left, right)]), axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1])], ["a", "b"])
+        def links() -> pa.RecordBatch:
+            group = pa.Table.from_batches(open_).combine_chunks().to_batches()[0]
+            found = _cross_links(group, percent)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], ["a", "b"]
+            )
 
         for batch in batches:
             if not len(batch):
                 continue
-            sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint32).reshape(len(batch), HASHES)
-            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("region", "node", "part", "side")]
-            open_.append((columns[0], columns[1], sig, columns[2], columns[3]))
-            merged = [np.concatenate(x) for x in zip(*open_, strict=True)]
-            # The last group may go on in the next batch.
-            cut = int(np.flatnonzero(merged[0] != merged[0][-1])[-1]) + 1 if (merged[0] != merged[0][-1]).any() else 0
-            if cut:
-                yield pairs([m[:cut] for m in merged])
-            open_ = [tuple(m[cut:] for m in merged)]
+            region = batch.column("region").to_numpy()
+            if open_ and open_[0].column("region")[0].as_py() != region[0]:
+                yield links()
+                open_ = []
+            cuts = [0, *(np.flatnonzero(region[1:] != region[:-1]) + 1).tolist(), len(region)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                open_.append(batch.slice(a, b - a))
+                if b < len(region):
+                    yield links()
+                    open_ = []
         if open_:
-            yield pairs([np.concatenate(x) for x in zip(*open_, strict=True)])
+            yield links()
 
-    sorted_ = rows.select("region", "node", "sig", "part", "side").repartition("region").sortWithinPartitions("region", "side", "node")
-    return sorted_.mapInArrow(run, "a long, b long").distinct()
+    laid = rows.repartition("region").sortWithinPartitions("region", "side", "node")
+    return laid.mapInArrow(run, "a long, b long").distinct()
 
 
 # --- confirmation ------------------------------------------------------------------
@@ -225,14 +286,12 @@ def _confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.sort(np.concatenate([x, y]))
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * common >= percent * (len(both) - common))
-            keep = pa.array(keep, pa.bool_())
-            yield batch.select(["a", "b"]).filter(keep)
+            both = zip(batch.column("set_a"), batch.column("set_b"), strict=True)
+            keep = [
+                _similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent)
+                for x, y in both
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
@@ -265,7 +324,6 @@ def _stored(frame: DataFrame, purpose: str) -> DataFrame:
 
 def group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, ``n_shingles`` and ``component_id`` of every row of ``docs``."""
-    spark = docs.sparkSession
     signed = _stored(_signed(docs, size), "near-signatures")
     classes = _stored(
         signed.where("node is not null").groupBy("node").agg(
@@ -294,47 +352,43 @@ def group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
         crowded = sized.where(F.col("size") > CROWDED)
     stars.append(crowded.select(F.col("least").alias("a"), F.col("node").alias("b")))
 
-    def with_signatures(rows: DataFrame) -> DataFrame:
-        return rows.join(classes.select("node", "sig"), "node")
-
     rows = small[0]
     for more in small[1:]:
         rows = rows.union(more)
-    rows = rows.select("region", "node", F.lit(0).cast("long").alias("part"), F.lit(0).alias("side"))
-    candidates = _pairs(with_signatures(rows), _spanning)
+    candidates = _candidates(rows.join(classes.select("node", "sig"), "node"))
     for star in stars:
         candidates = candidates.union(star.where("a != b"))
     candidates = _stored(candidates.distinct(), "near-candidates")
-    linked = _linked(docs, classes, candidates, size, percent)
-    found = _stored(components(linked), "near-components")
+    nodes = candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    full = _named_sets(docs, classes, nodes, size)
+    found = _stored(components(_stored(_confirmed(candidates, full, percent), "near-links")), "near-components")
 
     # Regions with several components, in blocks.
     named = first.join(found, "node", "left").select(
-        "region", "node", "size", F.coalesce("root", "node").alias("part")
+        "region", "tree", "node", "size", F.coalesce("root", "node").alias("part")
     )
-    open_ = (
+    several = (
         named.groupBy("region").agg(F.min("part").alias("low"), F.max("part").alias("high"))
         .where("low != high").select("region")
     )
-    blocks = F.ceil(F.col("size") / F.lit(float(CROWDED))).cast("int")
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    rest = (
-        named.join(open_, "region")
-        .withColumn("blocks", blocks)
-        .withColumn("block", block)
-        .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-        .select(
-            F.xxhash64("region", F.least("block", "other"), F.greatest("block", "other")).alias("region"),
-            "node", "part",
-            (F.col("block") > F.col("other")).cast("int").alias("side"),
-        )
-    )
-    candidates = _pairs(with_signatures(rest), _across).join(candidates, ["a", "b"], "left_anti")
-    candidates = _stored(candidates, "near-candidates")
-    if not candidates.isEmpty():
-        more = _linked(docs, classes, candidates, size, percent)
-        stars_now = found.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        found = components(stars_now.union(more))
+    several = _stored(named.join(several, "region"), "near-several")
+    if not several.isEmpty():
+        blocks = F.ceil(F.col("size") / F.lit(float(CROWDED))).cast("int")
+        block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        rest = (
+            several.withColumn("blocks", blocks)
+            .withColumn("block", block)
+            .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+            .select(
+                F.xxhash64("region", F.least("block", "other"), F.greatest("block", "other")).alias("region"),
+                "tree", "node", "part",
+                (F.col("block") > F.col("other")).cast("int").alias("side"),
+            )
+        )
+        full = _named_sets(docs, classes, several.select("node").distinct(), size)
+        held = full.join(classes.select("node", "sig"), "node")
+        more = _links(rest.join(held, "node"), percent)
+        found = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
 
     # Names: the smallest doc_id of all classes in a component.
     rooted = classes.select("node", "doc").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -347,12 +401,9 @@ def group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     )
 
 
-def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Confirmed pairs, from candidates a, b."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def _named_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     needed = _stored(classes.select("node", "doc").join(nodes, "node"), "near-needed")
-    full = _stored(_full_sets(docs, needed, size), "near-sets")
-    return _stored(_confirmed(pairs, full, percent), "near-links")
+    return _stored(_full_sets(docs, needed, size), "near-sets")
 
 
 def drop_copies(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
