@@ -44,10 +44,12 @@ def test_polled_job_backfill_and_newest(spark, seoul, tmp_path, capsys):
 @pytest.fixture
 def once(monkeypatch):
     """Continuous commands work off what is there and stop."""
-    stream = cli.stream_to_folder
-    monkeypatch.setattr(
-        cli, "stream_to_folder", lambda *args: stream(*args, trigger={"availableNow": True})
-    )
+    follow = cli.follow
+    monkeypatch.setattr(cli, "follow", lambda *args: follow(*args, trigger={"availableNow": True}))
+
+
+def read_back(session, folder, schema):
+    return session.read.option("recursiveFileLookup", "true").json(str(folder), schema=schema)
 
 
 def test_pushed_once(spark, tmp_path, once):
@@ -57,7 +59,7 @@ def test_pushed_once(spark, tmp_path, once):
     main(["pushed", "--folder", str(tmp_path / "frames"), "--listing", str(tmp_path / "b"),
           "--other-listing", str(tmp_path / "a"), "--checkpoint", str(tmp_path / "check"),
           "--to-folder", str(tmp_path / "messages")])
-    got = spark.read.json(str(tmp_path / "messages"), schema="code string, name string, trade_price double")
+    got = read_back(spark, tmp_path / "messages", "code string, name string, trade_price double")
     assert rows(got) == {("KRW-A", "b name", 2.0): 1}
 
 
@@ -68,10 +70,62 @@ def test_polled_quotes_are_followed(spark, tmp_path, once):
     for number in range(2):
         land(str(tmp_path / "quotes"), number, [json.dumps([tick("KRW-A", number + 1)])])
         main(command)
-    got = spark.read.json(str(tmp_path / "messages"), schema="market string, name string, trade_price double")
+    got = read_back(spark, tmp_path / "messages", "market string, name string, trade_price double")
     assert rows(got) == {("KRW-A", "a", 1.0): 1, ("KRW-A", "a", 2.0): 1}
 
 
+def test_a_market_listed_later_joins_without_a_restart(spark, tmp_path, monkeypatch, capsys):
+    """Two payloads in two micro-batches of one query; the listing grows in between."""
+    listing, quotes = tmp_path / "listing", tmp_path / "quotes"
+    land(str(listing), 0, [json.dumps([{"market": "KRW-A", "korean_name": "a"}])])
+    for number in range(2):
+        land(str(quotes), number, [json.dumps([tick("KRW-B", number + 1)])])
+    stream, polled = cli.stream_payloads, cli.polled_messages
+    rounds = []
+
+    def growing(markets, payloads):
+        rounds.append(polled(markets, payloads))
+        if len(rounds) == 1:
+            both = [{"market": f"KRW-{c}", "korean_name": c.lower()} for c in "AB"]
+            land(str(listing), 1, [json.dumps(both)])
+        return rounds[-1]
+
+    monkeypatch.setattr(cli, "polled_messages", growing)
+    monkeypatch.setattr(cli, "stream_payloads", lambda s, f: stream(s, f, max_files=1))
+    follow = cli.follow
+    monkeypatch.setattr(cli, "follow", lambda *args: follow(*args, trigger={"availableNow": True}))
+    main(["polled", "--listing", str(listing), "--quotes", str(quotes),
+          "--checkpoint", str(tmp_path / "check"), "--to-folder", str(tmp_path / "messages")])
+    assert len(rounds) == 2
+    got = read_back(spark, tmp_path / "messages", "market string, name string, trade_price double")
+    assert rows(got) == {("KRW-B", "b", 2.0): 1}
+    # Every round reports the listed markets that it had no quote for.
+    assert capsys.readouterr().out.count("KRW-A\ta") == 2
+
+
+def test_newest_shows_all_rows(spark, tmp_path, capsys):
+    messages = [tick(f"KRW-{n:02d}", n + 1) for n in range(40)]
+    land(str(tmp_path / "land"), 0, messages)
+    out = str(tmp_path / "out")
+    main(["backfill", "--exchange", "a", "--folder", str(tmp_path / "land"), "--output", out,
+          "--batch", "x", "--top", "40"])
+    capsys.readouterr()
+    for extra in ([], ["--window"]):
+        main(["newest", "--output", out, "--day", "2025-05-10", *extra])
+        shown = capsys.readouterr().out
+        assert all(f"KRW-{n:02d}" in shown for n in range(40))
+    main(["compact", "--output", out, "--day", "2025-05-10"])
+    assert read_published(spark, out).count() == 40
+    assert [p.name for p in (tmp_path / "out").glob("year=*/month=*/day=*/batch=*")] == ["batch=day-2025-05-10"]
+
+
+def test_partitions_must_be_those_of_the_topic(spark, monkeypatch):
+    monkeypatch.setattr(cli, "topic_partitions", lambda *_: 4)
+    with pytest.raises(SystemExit, match="has 4"):
+        main(["job", "--exchange", "a", "--servers", "h:1", "--topic", "t", "--partitions", "3",
+              "--output", "o", "--checkpoint", "c"])
+
+
 def test_a_folder_has_no_partitions(tmp_path):
     with pytest.raises(SystemExit, match="partitions"):
         main(["job", "--exchange", "a", "--folder", "x", "--partitions", "3",

@@ -1,12 +1,10 @@
 from __future__ import annotations
 
-from collections import Counter
-
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
-from tickflow.operators.lookup import fits_broadcast, hot_keys, lookup_join
+from tickflow.operators.lookup import fits_broadcast, lookup_join
 
 
 @pytest.fixture(scope="module")
@@ -28,9 +26,9 @@ def names(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("hot_rows", [50, 10**6])
-def test_split_join_equals_plain_join(facts, names, how, hot_rows):
-    got = lookup_join(facts, names, "k", how, max_rows=0, hot_rows=hot_rows)
+@pytest.mark.parametrize("limits", [{}, {"max_rows": 0}], ids=["broadcast", "shuffled"])
+def test_lookup_equals_plain_join(facts, names, how, limits):
+    got = lookup_join(facts, names, "k", how, **limits)
     want = facts.join(names, "k", how)
     assert sorted(got.columns) == sorted(want.columns)
     assert rows(got) == rows(want, *got.columns)
@@ -48,32 +46,47 @@ def test_only_a_measured_side_is_broadcast(facts, names):
         return frame._jdf.queryExecution().optimizedPlan().toString()
 
     assert "strategy=broadcast" in plan(lookup_join(facts, names, "k", "left"))
-    split = plan(lookup_join(facts, names, "k", "left", max_rows=0))
-    # The one hint left is on the list of hot keys, on either side.
-    assert split.count("strategy=broadcast") == 2
+    assert "strategy=broadcast" not in plan(lookup_join(facts, names, "k", "left", max_rows=0))
 
 
-def test_hot_keys_get_parts_by_their_size(facts):
-    assert rows(hot_keys(facts, "k", 500)) == {(7, 5): 1}
-    assert hot_keys(facts, "k", 10, limit=3).count() == 3
+def test_the_lookup_side_is_computed_once(spark, facts, names):
+    seen = spark.sparkContext.accumulator(0)
 
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    counted = names.mapInArrow(count, names.schema)
+    lookup_join(facts, counted, "k", "left").collect()
+    assert seen.value == 30
 
-def test_hot_rows_reach_many_tasks(spark, facts, names):
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.shuffle.partitions", "16")
-    try:
-        joined = lookup_join(facts, names, "k", "left", max_rows=0, hot_rows=100)
-        spread = joined.select("k", F.spark_partition_id().alias("task")).distinct()
-        tasks = Counter(r.k for r in spread.collect())
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
-    assert tasks[7] > 8 and tasks[None] > 8
 
+def test_several_names_of_a_key_are_refused(facts, names):
+    twice = names.union(names.where("k = 7"))
+    with pytest.raises(ValueError, match="several rows"):
+        lookup_join(facts, twice, "k", "left")
+    assert rows(lookup_join(facts, twice, "k", "left_semi")) == rows(facts.join(names, "k", "left_semi"))
 
-def test_equal_rows_are_split_too(spark, names):
-    copies = spark.range(0, 4000, 1, 64).select(F.lit(7).cast("long").alias("k"), F.lit(1).alias("x"))
-    got = lookup_join(copies, names, "k", "inner", max_rows=0, hot_rows=100)
-    assert rows(got) == {(7, 1, "n7"): 4000}
+
+def test_a_crowded_key_is_split_over_tasks(spark, names, tmp_path):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        n = F.col("id")
+        facts = spark.range(0, 200_000, 1, 32).select(
+            F.when(n % 3 == 0, F.lit(7)).otherwise(n % 30).cast("long").alias("k"), F.xxhash64("id").alias("x")
+        )
+        lookup_join(facts, names, "k", "left", max_rows=0).write.parquet(str(tmp_path / "out"))
+        out = spark.read.parquet(str(tmp_path / "out"))
+        tasks = out.where("k = 7").select(F.input_file_name()).distinct().count()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert tasks > 1

@@ -6,7 +6,7 @@ import os
 import pytest
 
 from helpers import SAMPLE_QUOTE, rows, table_of
-from tickflow.functions.codec import decode_json, encode_json
+from tickflow.functions.codec import decode_json
 from tickflow.operators.markets import (
     attach_name,
     common_markets,
@@ -20,8 +20,8 @@ from tickflow.schemas import LISTING, TICKS_A
 from tickflow.sources.payloads import read_markets, read_payloads
 
 # The same joins by broadcast, shuffled, and shuffled with split keys.
-LIMITS = [{}, {"max_rows": 0}, {"max_rows": 0, "hot_rows": 1}]
-paths = pytest.mark.parametrize("limits", LIMITS, ids=["broadcast", "shuffled", "split"])
+LIMITS = [{}, {"max_rows": 0}]
+paths = pytest.mark.parametrize("limits", LIMITS, ids=["broadcast", "shuffled"])
 
 
 def names(spark, *pairs):
@@ -119,19 +119,22 @@ def test_polled_round(spark, tmp_path):
     _payload(tmp_path / "quotes", "3", {"error": {"name": 404}}, 1)
     markets = read_markets(spark, str(tmp_path / "listing"))
     messages = polled_messages(markets, read_payloads(spark, str(tmp_path / "quotes")))
-    sent = json.loads(encode_json(messages).first().value)
+    sent = json.loads(messages.first().value)
     assert messages.count() == 1
     assert sent["name"] == "비트코인" and sent["timestamp"] == SAMPLE_QUOTE["timestamp"]
-    assert decode_json(encode_json(messages), TICKS_A).first().trade_volume == 4.204e-05
+    assert decode_json(messages, TICKS_A).first().trade_volume == 4.204e-05
+    assert sent == {**SAMPLE_QUOTE, "name": "비트코인"}
     assert rows(missing_quotes(markets, messages), "market") == {("KRW-X",): 1}
 
 
 def test_pushed_frames_are_named_from_the_shared_listing(spark):
     b = names(spark, ("KRW-A", "b-a"), ("KRW-B", "b-b"))
     a = names(spark, ("KRW-A", "a-a"))
-    frames = table_of(spark, [{"code": "KRW-A", "trade_price": 1}, {"code": "KRW-B"}, "junk"])
+    first = {"code": "KRW-A", "trade_price": 1, "high_price": "n/a", "more": {"x": [1, None]}, "name": "old"}
+    frames = table_of(spark, [first, {"code": "KRW-B"}, "junk", "[]", "3"])
     messages = pushed_messages(frames, shared_names(b, a))
-    assert rows(messages, "code", "name", "trade_price") == {
-        ("KRW-A", "b-a", 1.0): 1,
-        ("KRW-B", None, None): 1,
+    sent = {r.market: json.loads(r.value) for r in messages.collect()}
+    assert sent == {
+        "KRW-A": {**first, "name": "b-a"},
+        "KRW-B": {"code": "KRW-B", "name": None},
     }

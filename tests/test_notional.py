@@ -2,11 +2,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from helpers import MINUTE, SAMPLE_QUOTE, rows, table_of, tick
 from tickflow.config import exchange_a, exchange_b
-from tickflow.operators.notional import undated, windowed_notional
+from tickflow.operators.notional import undated, window_start, windowed_notional
 from tickflow.plans.ticks import decode_ticks, notional_per_window, top_markets
 from tickflow.schemas import POLLED
 
@@ -114,3 +116,15 @@ def test_zoneless_times_do_not_depend_on_the_session_zone(seoul):
     )
     day = windowed_notional(frame, "t", "p", "v", [F.col("market")], "1 day").first()
     assert (day.window_start, day.window_end) == (datetime(2024, 1, 1), datetime(2024, 1, 2))
+
+
+def test_long_windows_follow_the_session_zone(spark):
+    assert window_start("1 minute", "Asia/Seoul") == "0 seconds"
+    assert window_start("1 day", "Asia/Seoul") == f"{15 * 3600} seconds"
+    assert window_start("1 day", "UTC") == "0 seconds"
+    assert window_start("1 hour", "Europe/Berlin") == "0 seconds"
+    for duration in ("1 day", "2 hours"):
+        with pytest.raises(ValueError, match="offset"):
+            window_start(duration, "Europe/Berlin")
+    with pytest.raises(ValueError, match="duration"):
+        window_start("a while", "UTC")

@@ -6,9 +6,8 @@ import pytest
 
 import __spark_entry__ as entry_module
 from oracle import compare, connect
-
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
+from tickflow.plans.oracles import ORACLES
+from tickflow.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +17,8 @@ def other(tables):
 
 def test_every_query_has_an_oracle():
     assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= entry_module.queries().keys()
+    assert ORACLES.keys() <= entry_module.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -67,3 +67,14 @@ def test_top_n_is_the_head_of_rank_all(spark):
     frame = groups(spark, *[(i % 3, f"m{i}", "n", float((i * 37) % 11)) for i in range(60)], tasks=3)
     head = rank_all(frame).where("row_num <= 5")
     assert rows(head) == rows(top_n(frame), *head.columns)
+
+
+def test_many_rows_per_window_are_ranked_without_one_task_per_window(spark):
+    frame = spark.range(3000).selectExpr(
+        "'a' as name", "concat('m', id) as market", "id % 2 as window_start", "0 as window_end",
+        "cast(id as double) as one_m_trade_volume",
+    )
+    for n in (1000, 1001):
+        got = top_n(frame, n).select("window_start", "one_m_trade_volume", "row_num").collect()
+        assert len(got) == 2 * n
+        assert all(r.one_m_trade_volume == 2998 + r.window_start - 2 * (r.row_num - 1) for r in got)

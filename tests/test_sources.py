@@ -7,10 +7,12 @@ from types import SimpleNamespace
 import pytest
 from pyspark.errors import AnalysisException
 
-from tickflow.scratch import ensure_checkpoint_dir, new_folder, shared_root
+from helpers import rows
+from tickflow.scratch import ensure_checkpoint_dir, new_folder, remove_folders, shared_root
 from tickflow.session import SEOUL, STATE_STORE, tick_session
-from tickflow.sinks.messages import publish_to_folder
-from tickflow.sources.ticks import kafka_messages, kafka_options, stored_messages
+from tickflow.sinks.messages import publish_to_folder, stream_to_folder
+from tickflow.sources.payloads import newest_payload, read_markets
+from tickflow.sources.ticks import kafka_messages, kafka_options, landed_messages, stored_messages
 
 
 def test_topic_options():
@@ -75,3 +77,48 @@ def test_only_a_local_session_may_use_a_temporary_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_root(Session("yarn"))
 
+
+
+def _values(spark, folder):
+    return sorted(r.value for r in stored_messages(spark, folder).collect())
+
+
+def test_landing_folder_takes_batch_and_continuous_writes(spark, tmp_path):
+    source, folder, once = str(tmp_path / "in"), str(tmp_path / "land"), {"availableNow": True}
+    numbers = lambda a, b: spark.range(a, b).selectExpr("cast(id as string) as value")
+    numbers(0, 3).write.text(source)
+
+    def stream(checkpoint):
+        messages = landed_messages(spark, source)
+        stream_to_folder(messages, folder, str(tmp_path / checkpoint), trigger=once, text="value").awaitTermination()
+
+    stream("one")
+    publish_to_folder(numbers(3, 8), folder, text="value")
+    assert _values(spark, folder) == [str(n) for n in range(8)]
+    stream("one")  # nothing new
+    assert len(_values(spark, folder)) == 8
+    stream("two")  # a new checkpoint sends again
+    assert len(_values(spark, folder)) == 11
+    for _ in range(2):  # the same batch again
+        publish_to_folder(numbers(20, 22), folder, text="value", batch="again")
+    assert len(_values(spark, folder)) == 13
+
+
+def test_newest_listing_is_found_without_opening_others(spark, tmp_path):
+    folder = tmp_path / "listing"
+    folder.mkdir()
+    for name, second in (("a", 5), ("b", 9), ("c", 9), ("d", 7)):
+        path = folder / f"{name}.json"
+        path.write_text(f'[{{"market": "KRW-{name}", "korean_name": "{name}"}}]')
+        os.utime(path, (second, second))
+    assert rows(read_markets(spark, str(folder))) == {("KRW-c", "c"): 1}
+    plan = newest_payload(spark, str(folder)).inputFiles()
+    assert len(plan) == 1
+
+
+def test_folders_are_removed(spark, tmp_path):
+    folder = new_folder(spark, "x")
+    spark.range(3).write.parquet(folder)
+    assert os.path.isdir(folder)
+    remove_folders(spark)
+    assert not os.path.exists(folder)

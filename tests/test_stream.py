@@ -7,7 +7,7 @@ import sys
 
 import pytest
 
-import tickflow.streaming.job as job
+import tickflow.jobs.job as job
 from helpers import land, rows, table_of, tick
 from tickflow.config import exchange_a, exchange_b
 from tickflow.plans.producers import polled_messages, pushed_messages
@@ -27,6 +27,10 @@ def place(tmp_path):
     return config, str(tmp_path / "land")
 
 
+def read_back(session, folder, schema):
+    return session.read.option("recursiveFileLookup", "true").json(folder, schema=schema)
+
+
 def random_minutes(seed, minutes, markets=9, per_minute=40):
     rng = random.Random(seed)
     for minute in range(minutes):
@@ -126,11 +130,34 @@ def test_late_rows_are_dropped_and_counted(seoul, place):
     land(folder, 2, [tick("KRW-A", 1, at=201_000)])
     land(folder, 3, [tick("KRW-A", 100, at=10_000), tick("KRW-A", 1, at=300_000)])
     query = job.run_available(landed_messages(seoul, folder, max_files=1), config)
-    assert job.late_rows(query) == 1
+    assert job.late_groups(query) == 1
     published = rows(read_published(seoul, config.output), "window_start", "one_m_trade_volume")
     assert sorted(value for _, value in published) == [1.0, 2.0]
 
 
+def test_late_groups_are_counted_over_the_whole_run(seoul, place):
+    config, folder = place
+    seoul.conf.set("spark.sql.streaming.numRecentProgressUpdates", "5")
+    try:
+        land(folder, 0, [tick("KRW-A", 1)])
+        land(folder, 1, [tick("KRW-A", 1, at=200_000)])
+        for number in range(2, 14):
+            land(folder, number, [tick("KRW-A", 1, at=1000), tick("KRW-A", 1, at=200_000 + number)])
+        query = job.run_available(landed_messages(seoul, folder, max_files=1), config)
+    finally:
+        seoul.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert len(query.recentProgress) <= 5
+    assert job.late_groups(query) == 12 - 1  # the first of them came before the watermark moved
+
+
+def test_state_on_the_heap_is_refused(seoul, place):
+    config, folder = place
+    other = config.session(seoul)
+    other.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    with pytest.raises(ValueError, match="state"):
+        config.check(other)
+
+
 def test_rows_within_the_delay_count(seoul, tmp_path):
     config = exchange_a(
         str(tmp_path / "out"), str(tmp_path / "check"), delay="30 seconds", shuffle_partitions=4
@@ -159,9 +186,9 @@ def test_slowest_of_several_streams_closes_a_window(seoul, place, apart):
     published = rows(read_published(seoul, config.output), "market")
     if apart:
         # Own watermarks: nothing of the slow stream is late, the fast one waits.
-        assert job.late_rows(query) == 0 and published == {("KRW-S",): 5}
+        assert job.late_groups(query) == 0 and published == {("KRW-S",): 5}
     else:
-        assert job.late_rows(query) > 0 and published[("KRW-S",)] < 5
+        assert job.late_groups(query) > 0 and published[("KRW-S",)] < 5
 
 
 def test_disorder_within_the_delay_changes_nothing(seoul, tmp_path):
@@ -174,7 +201,7 @@ def test_disorder_within_the_delay_changes_nothing(seoul, tmp_path):
     for number in range(8):
         land(folder, number, ticks[number * 30 : (number + 1) * 30])
     query = job.run_available(landed_messages(seoul, folder, max_files=1), config)
-    assert job.late_rows(query) == 0
+    assert job.late_groups(query) == 0
     want = top_markets(stored_messages(seoul, folder), config).where(
         f"window_end <= cast(timestamp_millis({newest_time([ticks]) - 30_000}) as timestamp_ntz)"
     )
@@ -217,7 +244,7 @@ def test_two_exchanges_run_apart(spark, seoul, tmp_path):
         assert rows(read_published(seoul, config.output), "market") == {("KRW-A" + name,): 1}
 
 
-@pytest.mark.parametrize("limits", [{}, {"max_rows": 0}], ids=["broadcast", "split"])
+@pytest.mark.parametrize("limits", [{}, {"max_rows": 0}], ids=["broadcast", "shuffled"])
 def test_pushed_frames_as_a_stream(seoul, tmp_path, limits):
     names = seoul.createDataFrame([("KRW-A", "a"), ("KRW-B", "b")], "market string, name string")
     folder = str(tmp_path / "frames")
@@ -225,8 +252,8 @@ def test_pushed_frames_as_a_stream(seoul, tmp_path, limits):
     messages = pushed_messages(landed_messages(seoul, folder), names, **limits)
     out = str(tmp_path / "messages")
     check, once = str(tmp_path / "check"), {"availableNow": True}
-    stream_to_folder(messages, out, check, trigger=once).awaitTermination()
-    frame = seoul.read.json(out, schema="code string, name string, trade_price double")
+    stream_to_folder(messages, out, check, trigger=once, text="value").awaitTermination()
+    frame = read_back(seoul, out, "code string, name string, trade_price double")
     assert rows(frame) == {("KRW-A", "a", 1.0): 1, ("KRW-Z", None, None): 1, (None, None, None): 1}
 
 
@@ -238,8 +265,8 @@ def test_polled_payloads_as_a_stream(seoul, tmp_path):
     messages = polled_messages(markets, stream_payloads(seoul, folder, max_files=1))
     out = str(tmp_path / "messages")
     check, once = str(tmp_path / "check"), {"availableNow": True}
-    stream_to_folder(messages, out, check, trigger=once).awaitTermination()
-    frame = seoul.read.json(out, schema="market string, name string, trade_price double")
+    stream_to_folder(messages, out, check, trigger=once, text="value").awaitTermination()
+    frame = read_back(seoul, out, "market string, name string, trade_price double")
     assert rows(frame) == {("KRW-A", "a", 2.0): 1}
 
 
@@ -266,7 +293,7 @@ def test_stream_needs_no_python_worker(seoul, place):
 CRASH = """
 import os, signal, sys
 from pyspark.sql import SparkSession
-import tickflow.streaming.job as job
+import tickflow.jobs.job as job
 from tickflow.config import exchange_a
 from tickflow.sources.ticks import landed_messages
 

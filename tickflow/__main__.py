@@ -4,29 +4,26 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from tickflow.config import JobConfig, exchange_a, exchange_b
 from tickflow.operators.markets import missing_quotes
 from tickflow.plans.newest import newest_file, newest_window
 from tickflow.plans.producers import polled_messages, pushed_messages, shared_names
 from tickflow.plans.ticks import backfill
+from tickflow.scratch import remove_folders
 from tickflow.session import SEOUL, tick_session
-from tickflow.sinks.messages import (
-    publish_to_folder,
-    publish_to_topic,
-    stream_to_folder,
-    stream_to_topic,
-)
+from tickflow.sinks.messages import follow, publish_to_folder, publish_to_topic
+from tickflow.sinks.published import compact_day
 from tickflow.sources.payloads import read_markets, read_payloads, stream_payloads
 from tickflow.sources.ticks import (
     kafka_messages,
     kafka_options,
     landed_messages,
     stored_messages,
+    topic_partitions,
 )
-from tickflow.streaming.job import run_available, start_job
+from tickflow.jobs.job import run_available, start_job
 
 EXCHANGES = {"a": exchange_a, "b": exchange_b}
 
@@ -48,7 +45,7 @@ def _parser() -> argparse.ArgumentParser:
 
     def apart(command: argparse.ArgumentParser) -> None:
         command.add_argument(
-            "--partitions", type=int, help="follow so many topic partitions with own watermarks"
+            "--partitions", type=int, help="follow all topic partitions, so many, with own watermarks"
         )
 
     def target(command: argparse.ArgumentParser) -> None:
@@ -93,9 +90,20 @@ def _parser() -> argparse.ArgumentParser:
     newest.add_argument("--output", required=True)
     newest.add_argument("--day", help="yyyy-MM-dd; default is today")
     newest.add_argument("--window", action="store_true", help="newest window, not newest file")
+
+    compact = commands.add_parser("compact", help="one file for a finished day")
+    compact.add_argument("--output", required=True)
+    compact.add_argument("--day", required=True, help="yyyy-MM-dd")
     return parser
 
 
+def _print(rows: DataFrame) -> None:
+    """All rows, tab-separated, without holding them all at once."""
+    print("\t".join(rows.columns))
+    for row in rows.toLocalIterator():
+        print("\t".join("" if value is None else str(value) for value in row))
+
+
 def _stream(
     spark: SparkSession, args: argparse.Namespace, partition: int | None = None
 ) -> DataFrame:
@@ -116,6 +124,9 @@ def _job(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.partitions and args.folder:
         raise SystemExit("--partitions is for topics: a folder would be read once for each")
     if args.partitions:
+        there = topic_partitions(spark, args.servers, args.topic)
+        if args.partitions != there:
+            raise SystemExit(f"--partitions is {args.partitions}, but {args.topic} has {there}")
         messages = [_stream(spark, args, number) for number in range(args.partitions)]
     else:
         messages = _stream(spark, args)
@@ -138,38 +149,48 @@ def _config(args: argparse.Namespace) -> JobConfig:
     )
 
 
-def _send(messages: DataFrame, args: argparse.Namespace) -> StreamingQuery:
+def _send(messages: DataFrame, args: argparse.Namespace, batch: str | None = None) -> None:
     if args.to_folder:
-        return stream_to_folder(messages, args.to_folder, args.checkpoint)
-    return stream_to_topic(messages, args.to_servers, args.to_topic, args.checkpoint)
+        publish_to_folder(messages, args.to_folder, text="value", batch=batch)
+    else:
+        publish_to_topic(messages, args.to_servers, args.to_topic, text="value")
 
 
 def _polled(spark: SparkSession, args: argparse.Namespace) -> None:
-    # The listing is read once; a new one counts from the next start.
-    markets = read_markets(spark, args.listing)
+    def one_round(payloads: DataFrame, batch: str | None = None) -> None:
+        # The newest listing counts from the next round on.
+        markets = read_markets(payloads.sparkSession, args.listing).persist()
+        try:
+            messages = polled_messages(markets, payloads)
+            _send(messages, args, batch)
+            print("listed markets without a quote:")
+            _print(missing_quotes(markets, messages))
+        finally:
+            markets.unpersist()
+            remove_folders(spark)
+
     if args.checkpoint:
-        messages = polled_messages(markets, stream_payloads(spark, args.quotes))
-        _send(messages, args).awaitTermination()
-        return
-    messages = polled_messages(markets, read_payloads(spark, args.quotes))
-    if args.to_folder:
-        publish_to_folder(messages, args.to_folder)
+        follow(stream_payloads(spark, args.quotes), one_round, args.checkpoint).awaitTermination()
     else:
-        publish_to_topic(messages, args.to_servers, args.to_topic)
-    print("listed markets without a quote:")
-    missing_quotes(markets, messages).show(truncate=False)
+        one_round(read_payloads(spark, args.quotes))
 
 
 def _pushed(spark: SparkSession, args: argparse.Namespace) -> None:
-    names = shared_names(
-        read_markets(spark, args.listing), read_markets(spark, args.other_listing)
-    )
-    _send(pushed_messages(_stream(spark, args), names), args).awaitTermination()
+    def one_round(frames: DataFrame, batch: str) -> None:
+        session = frames.sparkSession
+        names = shared_names(
+            read_markets(session, args.listing), read_markets(session, args.other_listing)
+        )
+        _send(pushed_messages(frames, names), args, batch)
+        remove_folders(spark)
+
+    follow(_stream(spark, args), one_round, args.checkpoint).awaitTermination()
 
 
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
-    base = SparkSession.builder.appName(f"tickflow-{args.command}").getOrCreate()
+    builder = SparkSession.builder.appName(f"tickflow-{args.command}")
+    base = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").getOrCreate()
     spark = tick_session(base, args.zone, args.shuffle_partitions)
     if args.command == "job":
         _job(spark, args)
@@ -179,10 +200,14 @@ def main(argv: list[str] | None = None) -> None:
         _polled(spark, args)
     elif args.command == "pushed":
         _pushed(spark, args)
+    elif args.command == "compact":
+        year, month, day = args.day.split("-")
+        compact_day(spark, args.output, Row(year=year, month=month, day=day), f"day-{args.day}")
     else:
         day = tuple(args.day.split("-")) if args.day else None
         show = newest_window if args.window else newest_file
-        show(spark, args.output, day).show(truncate=False)
+        _print(show(spark, args.output, day))
+    remove_folders(spark)
 
 
 if __name__ == "__main__":

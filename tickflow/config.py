@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 
 from tickflow.schemas import POLLED, PUSHED, TickFormat
-from tickflow.session import SEOUL, tick_session
+from tickflow.session import SEOUL, STATE_STORE, tick_session
 
 
 @dataclass(frozen=True)
@@ -34,10 +34,14 @@ class JobConfig:
         return tick_session(spark, self.zone, self.shuffle_partitions)
 
     def check(self, spark: SparkSession) -> None:
-        """Refuse a session in another zone: it would publish under the wrong days."""
+        """Refuse a session in another zone, which would publish under the wrong days, or
+        one that keeps its state on the heap."""
         zone = spark.conf.get("spark.sql.session.timeZone")
         if zone != self.zone:
             raise ValueError(f"job {self.name} is in zone {self.zone}, its session in {zone}")
+        store = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+        if store != STATE_STORE:
+            raise ValueError(f"job {self.name} needs its state in {STATE_STORE}, not {store}")
 
 
 def exchange_a(output: str, checkpoint: str, **changes) -> JobConfig:

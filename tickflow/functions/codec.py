@@ -7,7 +7,9 @@ corrupt-record column, then converted with ``try_cast``.
 
 Each parse goes through a generator (``inline``): a filter on the parsed columns
 cannot be pushed below a generator, so a message is parsed once. The same filter
-over a plain projection would be copied below it and parse the text again.
+over a plain projection would be copied below it and parse the text again. The test
+for blank messages stands inside the generator too, where it cannot be pushed below
+the projection that made the message and make it a second time.
 """
 
 from __future__ import annotations
@@ -55,9 +57,8 @@ def decode_json(
     fields = [f for f in schema.fields if wanted is None or f.name in wanted]
     text = StructType(_as_text(fields) + [StructField(_CORRUPT, StringType())])
     keep = list(keep)
-    parsed = messages.where(F.col(value).rlike(r"\S")).select(
-        *keep, F.inline(F.array(F.from_json(value, text, _LENIENT)))
-    )
+    filled = F.when(F.col(value).rlike(r"\S"), F.array(F.from_json(value, text, _LENIENT)))
+    parsed = messages.select(*keep, F.inline(filled))
     return parsed.where(F.col(_CORRUPT).isNull()).select(*keep, *_typed(fields))
 
 
@@ -80,6 +81,30 @@ def decode_first(
     return payloads.select(*keep, F.inline(first)).select(*keep, *_typed(schema.fields))
 
 
+def open_objects(payloads: DataFrame, first: bool, value: str = "value", keep: Iterable[str] = ()) -> DataFrame:
+    """``fields``, the JSON object of each message with all its fields as they came; with
+    ``first`` the first object of each JSON array. What is no such thing is skipped."""
+    keep = list(keep)
+    if first:
+        opened = F.slice(F.from_json(value, "array<map<string, variant>>"), 1, 1)
+    else:
+        opened = F.array(F.from_json(value, "map<string, variant>"))
+    found = payloads.select(*keep, F.explode(opened).alias("fields"))
+    return found.where(F.col("fields").isNotNull())
+
+
+def text_field(fields: str, name: str) -> Column:
+    """A field of an opened object as text; null if it is missing or an object."""
+    return F.try_variant_get(F.try_element_at(F.col(fields), F.lit(name)), "$", "string")
+
+
+def close_object(fields: str, name: str, value: Column) -> Column:
+    """The opened object as a message again, with the text field ``name`` set to ``value``."""
+    others = F.map_filter(F.col(fields), lambda key, _: key != name)
+    added = F.create_map(F.lit(name), value.cast("string").cast("variant"))
+    return F.to_json(F.map_concat(others, added), {"ignoreNullFields": "false"})
+
+
 def encode_json(rows: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """One JSON object per row as the only column ``value``; nulls are written."""
     columns = rows.columns if columns is None else list(columns)

@@ -13,32 +13,33 @@ same rows and replaces the folders of its first attempt.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
 
 from tickflow.config import JobConfig
 from tickflow.operators.rank import top_n
 from tickflow.plans.ticks import notional_per_window
+from tickflow.sinks.messages import batch_name
 from tickflow.sinks.published import publish_result, result_columns
 
-_QUERY_ID = "sql.streaming.queryId"
+# Dropped groups by micro-batch, for every query that this process started.
+_late: dict[str, dict[int, int]] = {}
 
 
-def _publisher(config: JobConfig):
+def _publisher(config: JobConfig, queries: list):
     def publish(closed: DataFrame, batch_id: int) -> None:
-        # The id stays with the checkpoint: a job that starts over with a new
-        # checkpoint does not replace what the old one published.
-        query = closed.sparkSession.sparkContext.getLocalProperty(_QUERY_ID)
-        if query is None:
-            raise RuntimeError("micro-batch without a query id: its output cannot be named")
         result = result_columns(top_n(closed, config.top))
-        publish_result(result, config.output, f"{query}-{batch_id:012d}")
+        publish_result(result, config.output, batch_name(closed, batch_id))
+        for query in queries:
+            before = sum(_late.get(query.id, {}).values())
+            dropped = late_groups(query) - before
+            if dropped:
+                print(f"{config.name}: {dropped} groups came after their window was published")
 
     return publish
 
 
 def start_job(
     messages: DataFrame | list[DataFrame], config: JobConfig, trigger: dict | None = None
-) -> StreamingQuery:
+):
     """Start the job on a stream of messages and return the running query.
 
     Several streams keep their own watermarks (see ``notional_per_window``).
@@ -47,27 +48,36 @@ def start_job(
     """
     notional = notional_per_window(messages, config)
     config.check(notional.sparkSession)
-    return (
+    queries: list = []
+    query = (
         notional.writeStream.queryName(config.name)
         .outputMode("append")
-        .foreachBatch(_publisher(config))
+        .foreachBatch(_publisher(config, queries))
         .option("checkpointLocation", config.checkpoint)
         .trigger(**(trigger or {"processingTime": config.trigger}))
         .start()
     )
+    queries.append(query)
+    return query
 
 
-def run_available(messages: DataFrame | list[DataFrame], config: JobConfig) -> StreamingQuery:
+def run_available(messages: DataFrame | list[DataFrame], config: JobConfig):
     """Work off all messages that are there, then stop; failures are raised."""
     query = start_job(messages, config, {"availableNow": True})
     query.awaitTermination()
     return query
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped so far because their window had closed, over recent progress."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+def late_groups(query) -> int:
+    """What was dropped since the query was started because its window had closed.
+
+    Spark drops after it has summed each task's ticks, so the unit is a market of a window
+    in one task of one micro-batch, not a tick. Spark remembers only the last micro-batches;
+    the job looks after each one, so none is forgotten.
+    """
+    seen = _late.setdefault(query.id, {})
+    for progress in query.recentProgress:
+        seen[progress["batchId"]] = sum(
+            operator["numRowsDroppedByWatermark"] for operator in progress["stateOperators"]
+        )
+    return sum(seen.values())

@@ -1,31 +1,21 @@
 """Equi-joins of many rows (``facts``) with one row per key (``names``).
 
 A listing of markets is small and is broadcast, after its size was measured. A
-lookup side that grows with the data is shuffled instead; then the keys that hold
-too many fact rows for one task are split over several, with one copy of their
-lookup row for each part. Every plan gives the same rows.
+lookup side that grows with the data is shuffled instead; Spark's skew join then
+splits the keys that hold too many fact rows for one task (``BATCH_SETTINGS`` turns
+it on). Both plans give the same rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, StringType
 
-from tickflow.scratch import ensure_checkpoint_dir
+from tickflow.scratch import new_folder
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 32 << 20
 
-# A key with more fact rows than this is split.
-HOT_ROWS = 2_000_000
-# Bounds the list of split keys, which is broadcast. Keys beyond it have fewer
-# rows than any on it and are joined as one group each.
-HOT_KEYS = 50_000
-# A stream cannot be counted first: all its keys are split this many ways.
-STREAM_PARTS = 16
-# Rows without a key match nothing, so they may go anywhere.
-NULL_PARTS = 4096
-
 
 def fits_broadcast(
     names: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
@@ -47,32 +37,12 @@ def fits_broadcast(
     return size.n_rows <= max_rows and size.n_bytes <= max_bytes
 
 
-def hot_keys(facts: DataFrame, key: str, hot_rows: int, limit: int = HOT_KEYS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows and the ``_parts`` to split them into."""
-    counted = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return (
-        counted.where((F.col("_n") > hot_rows) & F.col(key).isNotNull())
-        .orderBy(F.desc("_n"), key)
-        .limit(limit)
-        .select(key, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_parts"))
-    )
-
-
-def _split(facts: DataFrame, key: str, parts: Column) -> DataFrame:
-    # The part depends on the row and on the task that reads it: both stay the
-    # same when a lost task is run again, and equal rows still spread out. Rows of
-    # keys that are not split are not hashed.
-    spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in facts.columns])
-    part = (
-        F.when(F.col(key).isNull(), F.pmod(spread, F.lit(NULL_PARTS)))
-        .when(parts > 1, F.pmod(spread, parts))
-        .otherwise(F.lit(0))
-    )
-    return facts.withColumn("_part", part.cast("int"))
-
-
-def _copies(names: DataFrame, parts: Column) -> DataFrame:
-    return names.withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
+def check_unique(names: DataFrame, key: str) -> None:
+    """Refuse a lookup side with several rows of a key: it would multiply the facts."""
+    twice = names.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    found = twice.where("n > 1").select(key).take(1)
+    if found:
+        raise ValueError(f"{key} {found[0][0]!r} has several rows on the lookup side")
 
 
 def lookup_join(
@@ -82,23 +52,19 @@ def lookup_join(
     how: str,
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join ``facts`` with ``names`` on ``key``; ``names`` has one row per key.
 
-    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
+    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``; for the last two a key
+    may have several rows. ``names`` is written out once and measured, checked and joined
+    from that copy.
     """
+    spark = names.sparkSession
+    folder = new_folder(spark, "names")
+    names.write.parquet(folder)
+    names = spark.read.schema(names.schema).parquet(folder)
+    if how in ("inner", "left"):
+        check_unique(names, key)
     if fits_broadcast(names, max_rows, max_bytes):
-        return facts.join(F.broadcast(names), key, how)
-
-    if facts.isStreaming:
-        split = _split(facts, key, F.lit(STREAM_PARTS))
-        copied = _copies(names, F.lit(STREAM_PARTS))
-    else:
-        # Written out once: the list is used on both sides and must not differ.
-        ensure_checkpoint_dir(facts.sparkSession)
-        hot = F.broadcast(hot_keys(facts, key, hot_rows).checkpoint())
-        parts = F.coalesce(F.col("_parts"), F.lit(1))
-        split = _split(facts.join(hot, key, "left"), key, parts).drop("_parts")
-        copied = _copies(names.join(hot, key, "left"), parts).drop("_parts")
-    return split.join(copied, [key, "_part"], how).drop("_part")
+        names = F.broadcast(names)
+    return facts.join(names, key, how)

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
+from datetime import datetime, timedelta, timezone
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from tickflow.functions.scalar import event_time, floor_double, notional, wall_clock
 
@@ -21,6 +25,33 @@ def undated(ticks: DataFrame, time: str = "event_time") -> DataFrame:
     return ticks.where(F.col(time).isNull())
 
 
+_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+# Offsets before the first tick ever do not matter.
+_YEARS = range(2000, 2051)
+
+
+def window_start(duration: str, zone: str) -> str:
+    """Spark's ``startTime`` for windows that begin with the days of ``zone``.
+
+    Spark counts windows from the epoch in UTC. That is the same where the offset of the
+    zone is a multiple of the duration; else windows are moved by the offset, and a zone
+    that changes its offset is refused. Weeks begin on Thursdays, as the epoch does.
+    """
+    length = sum(
+        int(number) * _SECONDS[unit]
+        for number, unit in re.findall(r"(\d+)\s*(second|minute|hour|day|week)s?\b", duration)
+    )
+    if not length:
+        raise ValueError(f"not a duration of seconds, minutes, hours, days or weeks: {duration!r}")
+    place = ZoneInfo(zone)
+    days = [datetime(y, m, 1, tzinfo=timezone.utc) for y in _YEARS for m in range(1, 13)]
+    offsets = {int((d.astimezone(place).utcoffset() or timedelta()).total_seconds()) for d in days}
+    starts = {-offset % length for offset in offsets}
+    if len(starts) > 1:
+        raise ValueError(f"windows of {duration} have no fixed start in {zone}, whose offset changes")
+    return f"{starts.pop()} seconds"
+
+
 def windowed_notional(
     ticks: DataFrame,
     time: str = "event_time",
@@ -29,14 +60,20 @@ def windowed_notional(
     keys: Iterable[str | Column] = ("market", "name"),
     duration: str = "1 minute",
 ) -> DataFrame:
-    """Floor of the summed notional per window and key.
+    """Floor of the summed notional per window and key. Windows are those of the session
+    zone's clock; times without a zone have windows of their own clock.
 
     Works on tables and on streams that have a watermark on ``time``. Repeated
     snapshots of a quote all count, null products are skipped, and a null key is a
     group like any other. The sum is combined before the shuffle, so what is
     shuffled grows with the groups, not with the ticks.
     """
-    window = F.window(time, duration).alias("window")
+    if isinstance(ticks.select(time).schema[0].dataType, TimestampNTZType):
+        window = F.window(time, duration).alias("window")
+    else:
+        zone = ticks.sparkSession.conf.get("spark.sql.session.timeZone")
+        start = window_start(duration, zone)
+        window = F.window(time, duration, startTime=start).alias("window")
     total = F.sum(notional(price, volume))
     grouped = ticks.groupBy(*keys, window).agg(floor_double(total).alias(VALUE))
     names = [c for c in grouped.columns if c not in ("window", VALUE)]

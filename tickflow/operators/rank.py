@@ -11,6 +11,7 @@ from tickflow.scratch import ensure_checkpoint_dir
 
 WINDOW = ("window_start", "window_end")
 TIES = ("market", "name")
+_CUT_UP_TO = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def top_n(
@@ -23,9 +24,12 @@ def top_n(
     """The ``n`` largest rows of each window with their rank ``row_num``.
 
     The rank filter is what lets Spark cut every task's share of a window to ``n``
-    rows before the shuffle, so a crowded window moves ``n`` rows per task. Equal
-    values are ordered by ``ties``; null values come last.
+    rows before the shuffle, so a crowded window moves ``n`` rows per task. It does so up
+    to a setting of Spark's; for more rows all are ranked by ``rank_all``, which sorts no
+    window in one task. Equal values are ordered by ``ties``; null values come last.
     """
+    if n > int(rows.sparkSession.conf.get(_CUT_UP_TO)):
+        return rank_all(rows, value, ties, group).where(F.col("row_num") <= n)
     order = Window.partitionBy(*group).orderBy(F.desc_nulls_last(value), *ties)
     ranked = rows.select("*", F.row_number().over(order).cast("bigint").alias("row_num"))
     return ranked.where(F.col("row_num") <= n)

@@ -97,6 +97,40 @@ SELECT c_custkey AS market, c_name AS name FROM customer
 WHERE NOT EXISTS (SELECT 1 FROM ({URGENT}) WHERE o_custkey = c_custkey)
 """
 
+DAY_RESULT = published(top5(event_windows("day", market="'KRW-' || user_id")))
+
+
+def seoul_days(market: str) -> str:
+    """Windows of the Seoul clock, nine hours ahead of the tables' clock."""
+    return f"""
+SELECT {market} AS market, event_type AS name,
+       date_trunc('day', ts + INTERVAL 9 HOUR) AS window_start,
+       date_trunc('day', ts + INTERVAL 9 HOUR) + INTERVAL 1 DAY AS window_end,
+       floor(sum(value * {K})) AS one_m_trade_volume
+FROM events GROUP BY ALL
+"""
+
+
+SEOUL_RESULT = published(top5(seoul_days("'KRW-' || user_id")))
+
+
+def named_days(name: str) -> str:
+    return f"""
+SELECT 'KRW-' || user_id AS market, {name} AS name,
+       date_trunc('day', ts) AS window_start,
+       date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,
+       floor(sum(value * {K})) AS one_m_trade_volume
+FROM events LEFT JOIN ({BUILDERS}) ON user_id = c_custkey GROUP BY ALL
+"""
+
+
+def odd_quotes(join: str) -> str:
+    return f"""
+SELECT market, trade_volume, c_name AS name, 'n/a' AS high_price, event_id
+FROM ({QUOTES}) {join} ({BUILDERS}) ON market = 'KRW-' || c_custkey
+"""
+
+
 ORACLES: dict[str, str] = {
     "decode_events": f"SELECT event_id, {K} AS k FROM events",
     "decode_lenient": f"""
@@ -174,4 +208,24 @@ ORACLES: dict[str, str] = {
         FROM events""",
     "stream_top5_day": closed("day"),
     "stream_resumed_top5_minute": closed("minute"),
+    "polled_unchanged": odd_quotes("JOIN"),
+    "pushed_unchanged": odd_quotes("LEFT JOIN"),
+    "newest_listing": """
+        SELECT 'KRW-' || p_partkey AS market, p_name AS name FROM part WHERE p_brand = 'Brand#12'""",
+    "polled_top5_day": published(top5(named_days("'KRW-' || user_id"))),
+    "pushed_top5_day": published(top5(named_days("c_name"))),
+    "top5_day_seoul": SEOUL_RESULT,
+    "sink_top5_day": DAY_RESULT,
+    "sink_compacted": DAY_RESULT,
+    "newest_window_day": f"""
+        SELECT * FROM ({DAY_RESULT})
+        WHERE window_end = (SELECT date_trunc('day', max(ts)) + INTERVAL 1 DAY FROM events)""",
+    "stream_top5_day_seoul": f"""
+        SELECT * FROM ({SEOUL_RESULT})
+        WHERE window_end <= (SELECT max(ts) + INTERVAL 9 HOUR - INTERVAL 1 SECOND FROM events)""",
+    "stream_pushed_top5_day": f"""
+        SELECT * FROM ({published(top5(named_days("c_name")))})
+        WHERE window_end <= (SELECT max(ts) - INTERVAL 1 SECOND FROM events)""",
+    "stream_publish_mixed": f"""
+        SELECT market, name, trade_price, trade_volume, "timestamp" FROM ({QUOTES})""",
 }

@@ -1,22 +1,28 @@
-"""From landed exchange responses to tick messages, for tables and streams."""
+"""From landed exchange responses to tick messages, for tables and streams.
+
+A message keeps all fields of what the exchange sent, also those that no schema
+declares; only ``name`` is set. What is no JSON object is skipped.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
-from tickflow.functions.codec import decode_first, decode_json
+from tickflow.functions.codec import close_object, open_objects, text_field
 from tickflow.operators.markets import attach_name, common_markets, join_quotes
-from tickflow.schemas import PUSHED, TICKS_A
+from tickflow.schemas import POLLED, PUSHED
 
 
 def polled_messages(markets: DataFrame, payloads: DataFrame, **limits) -> DataFrame:
-    """The first quote of each payload, for listed markets, with the listed name.
+    """``market``, ``name`` and the message ``value`` of the first quote of each payload,
+    for listed markets, with the listed name.
 
     ``markets`` is ``(market, name)``. A repeated payload is a repeated message:
     the polled exchange is sampled, and every sample counts.
     """
-    quotes = decode_first(payloads, TICKS_A).drop("name")
-    return join_quotes(markets, quotes, **limits)
+    quotes = open_objects(payloads, first=True)
+    quotes = quotes.withColumn("market", text_field("fields", POLLED.market))
+    return _messages(join_quotes(markets, quotes, **limits))
 
 
 def shared_names(pushed: DataFrame, polled: DataFrame, **limits) -> DataFrame:
@@ -25,6 +31,12 @@ def shared_names(pushed: DataFrame, polled: DataFrame, **limits) -> DataFrame:
 
 
 def pushed_messages(frames: DataFrame, names: DataFrame, **limits) -> DataFrame:
-    """Pushed frames with the market's name, null for a market without one."""
-    ticks = decode_json(frames, PUSHED.schema).drop("name")
-    return attach_name(ticks, names, PUSHED.market, **limits)
+    """``market``, ``name`` and the message ``value`` of pushed frames; the name is null
+    for a market without one."""
+    ticks = open_objects(frames, first=False)
+    ticks = ticks.withColumn("market", text_field("fields", PUSHED.market))
+    return _messages(attach_name(ticks, names, **limits))
+
+
+def _messages(named: DataFrame) -> DataFrame:
+    return named.select("market", "name", close_object("fields", "name", F.col("name")).alias("value"))

@@ -9,7 +9,9 @@ do the results.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -34,25 +36,29 @@ from tickflow.operators.rank import rank_all, top_n
 from tickflow.plans.newest import newest_file, newest_window
 from tickflow.plans.producers import polled_messages, pushed_messages
 from tickflow.plans.ticks import decode_ticks, top_markets
-from tickflow.schemas import LISTING, POLLED, TICKS_A, struct
+from tickflow.schemas import LISTING, POLLED, PUSHED, TICKS_A, struct
 from tickflow.scratch import new_folder
-from tickflow.sinks.messages import publish_to_folder
+from tickflow.session import SEOUL
+from tickflow.sinks.messages import publish_to_folder, stream_to_folder
 from tickflow.sinks.published import (
+    compact_day,
     marked_days,
     publish_result,
     result_columns,
+    touched_days,
     write_published,
 )
+from tickflow.sources.payloads import read_markets
 from tickflow.sources.published import read_day, read_published
 from tickflow.sources.ticks import landed_messages, stored_messages
-from tickflow.streaming.job import run_available
+from tickflow.jobs.job import run_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 PROPS = struct("k long")
 
-# Small enough that even the smallest test tables take the shuffled, split path.
-SPLIT = {"max_rows": 0, "hot_rows": 8}
+# Even the smallest test tables take the shuffled path.
+SPLIT = {"max_rows": 0}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -360,21 +366,125 @@ def polled_top5_minute(spark: SparkSession, folder: str) -> DataFrame:
     listing = last_by_key(krw_markets(rows, keep=["position"]), "market", ["position"])
 
     payloads = _quote_payloads(event_quotes(spark, folder))
-    messages = encode_json(polled_messages(listing, payloads))
-    return top_markets(messages, exchange_a("", ""))
+    return top_markets(polled_messages(listing, payloads), exchange_a("", ""))
 
 
 def pushed_top5_minute(spark: SparkSession, folder: str) -> DataFrame:
     """Frames of the pushing exchange, named from the listing, decoded and ranked."""
     frames = encode_json(event_quotes(spark, folder).withColumnRenamed("market", "code"))
     names = _builders(spark, folder).select(_krw("market").alias("market"), "name")
-    messages = encode_json(pushed_messages(frames, names))
-    return top_markets(messages, exchange_b("", ""))
+    return top_markets(pushed_messages(frames, names), exchange_b("", ""))
+
+
+def _odd_quotes(quotes: DataFrame, code: str) -> Column:
+    """A quote with a field that no schema declares and a price that is no number."""
+    fields = [F.col("market").alias(code), "trade_volume", "timestamp"]
+    odd = [F.lit("n/a").alias("high_price"), F.struct("event_id").alias("origin")]
+    return F.struct(*fields, F.col("name"), *odd)
+
+
+def _message_fields(messages: DataFrame, code: str) -> DataFrame:
+    schema = f"{code} string, trade_volume double, name string, high_price string, origin struct<event_id: long>"
+    parsed = messages.select(F.from_json("value", schema).alias("m")).select("m.*")
+    return parsed.select(
+        F.col(code).alias("market"), "trade_volume", "name", "high_price", "origin.event_id"
+    )
+
+
+def polled_unchanged(spark: SparkSession, folder: str) -> DataFrame:
+    """What a polled message holds besides its name stays as it came."""
+    quotes = event_quotes(spark, folder)
+    payloads = quotes.select(F.to_json(F.array(_odd_quotes(quotes, "market"))).alias("value"))
+    listing = _builders(spark, folder).select(_krw("market").alias("market"), "name")
+    return _message_fields(polled_messages(listing, payloads), "market")
+
+
+def pushed_unchanged(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for a pushed frame; markets without a name lose the one they came with."""
+    quotes = event_quotes(spark, folder)
+    frames = quotes.select(F.to_json(_odd_quotes(quotes, "code")).alias("value"))
+    names = _builders(spark, folder).select(_krw("market").alias("market"), "name")
+    return _message_fields(pushed_messages(frames, names), "code")
+
+
+def newest_listing(spark: SparkSession, folder: str) -> DataFrame:
+    """Of several listings in a folder only the newest counts; it is the one of brand 12."""
+    listings = new_folder(spark, "listings")
+    parts = table(spark, folder, "part")
+    entry = F.struct(_krw("p_partkey").alias("market"), F.col("p_name").alias("korean_name"))
+    for brand in ("Brand#11", "Brand#13", "Brand#12"):
+        chosen = parts.where(F.col("p_brand") == brand)
+        listing = chosen.agg(F.to_json(F.collect_list(entry)).alias("value"))
+        listing.coalesce(1).write.mode("append").text(listings)
+        time.sleep(1.1)  # file times may count in seconds
+    return read_markets(spark, listings)
+
+
+def event_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Notional per user and day: far more than five markets in every window."""
+    return windowed_notional(
+        event_ticks(spark, folder),
+        time="ts",
+        price="value",
+        volume="k",
+        keys=[_krw("user_id").alias("market"), F.col("event_type").alias("name")],
+        duration="1 day",
+    )
+
+
+def polled_top5_day(spark: SparkSession, folder: str) -> DataFrame:
+    """Polled quotes of all markets as messages, ranked by day."""
+    quotes = event_quotes(spark, folder)
+    listing = quotes.select("market").distinct().select("market", F.col("market").alias("name"))
+    messages = polled_messages(listing, _quote_payloads(quotes))
+    return top_markets(messages, exchange_a("", "", duration="1 day"))
+
+
+def pushed_top5_day(spark: SparkSession, folder: str) -> DataFrame:
+    frames = encode_json(event_quotes(spark, folder).withColumnRenamed("market", "code"))
+    names = _builders(spark, folder).select(_krw("market").alias("market"), "name")
+    return top_markets(pushed_messages(frames, names), exchange_b("", "", duration="1 day"))
+
+
+def top5_day_seoul(spark: SparkSession, folder: str) -> DataFrame:
+    """Days of the Seoul clock, from messages."""
+    messages = encode_json(event_quotes(spark, folder), POLLED.needed)
+    landing = new_folder(spark, "landing")
+    publish_to_folder(messages, landing, text="value")
+    config = exchange_a("", "", duration="1 day")
+    session = config.session(spark)
+    return top_markets(stored_messages(session, landing), config)
 
 
 # --- published results ------------------------------------------------------------
 
 
+def sink_top5_day(spark: SparkSession, folder: str) -> DataFrame:
+    """Published days, of whose markets most are cut away."""
+    root = new_folder(spark, "published")
+    publish_result(result_columns(top_n(event_days(spark, folder))), root, "first")
+    return read_published(spark, root)
+
+
+def sink_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """The days published in two batches and then compacted."""
+    root = new_folder(spark, "published")
+    result = result_columns(top_n(event_days(spark, folder)))
+    publish_result(result.where("row_num <= 2"), root, "first")
+    publish_result(result.where("row_num > 2"), root, "second")
+    for day in touched_days(result):
+        compact_day(spark, root, day, "compacted")
+    return read_published(spark, root)
+
+
+def newest_window_day(spark: SparkSession, folder: str) -> DataFrame:
+    root = new_folder(spark, "published")
+    result = result_columns(top_n(event_days(spark, folder)))
+    publish_result(result, root, "first")
+    return newest_window(spark, root, _last_day(result))
+
+
+
 def sink_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     root = new_folder(spark, "published")
     publish_result(event_result(spark, folder), root, "first")
@@ -458,6 +568,43 @@ def stream_resumed_top5_minute(spark: SparkSession, folder: str) -> DataFrame:
     return read_published(spark, config.output)
 
 
+def stream_top5_day_seoul(spark: SparkSession, folder: str) -> DataFrame:
+    """The continuous job in days of the Seoul clock."""
+    config = replace(_stream_config(spark, "1 day"), zone=SEOUL)
+    landing = new_folder(spark, "landing")
+    publish_to_folder(event_quotes(spark, folder), landing, POLLED.needed)
+    run_available(landed_messages(config.session(spark), landing), config)
+    return read_published(spark, config.output)
+
+
+def stream_pushed_top5_day(spark: SparkSession, folder: str) -> DataFrame:
+    """The continuous job of the other exchange over frames that were named on the way."""
+    config = replace(exchange_b("", ""), **vars(_stream_config(spark, "1 day")) | {
+        "name": "exchange-b", "format": PUSHED,
+    })
+    session = config.session(spark)
+    frames = encode_json(event_quotes(spark, folder).withColumnRenamed("market", "code"))
+    names = _builders(spark, folder).select(_krw("market").alias("market"), "name")
+    landing = new_folder(spark, "landing")
+    publish_to_folder(pushed_messages(frames, names), landing, text="value")
+    run_available(landed_messages(session, landing), config)
+    return read_published(spark, config.output)
+
+
+def stream_publish_mixed(spark: SparkSession, folder: str) -> DataFrame:
+    """Half of the messages by batch and half by a running query, into one folder."""
+    quotes = event_quotes(spark, folder)
+    first, landing = new_folder(spark, "landing"), new_folder(spark, "landing")
+    odd = F.col("event_id") % 2 == 1
+    publish_to_folder(quotes.where(odd), first, POLLED.needed)
+    publish_to_folder(quotes.where(~odd), landing, POLLED.needed)
+    once = {"availableNow": True}
+    stream_to_folder(
+        landed_messages(spark, first), landing, new_folder(spark, "checkpoint"), trigger=once, text="value"
+    ).awaitTermination()
+    return decode_json(stored_messages(spark, landing), TICKS_A, POLLED.needed)
+
+
 QUERIES: dict[str, Query] = {
     "decode_events": decode_events,
     "decode_lenient": decode_lenient,
@@ -495,4 +642,16 @@ QUERIES: dict[str, Query] = {
     "success_markers": success_markers,
     "stream_top5_day": stream_top5_day,
     "stream_resumed_top5_minute": stream_resumed_top5_minute,
+    "polled_unchanged": polled_unchanged,
+    "pushed_unchanged": pushed_unchanged,
+    "newest_listing": newest_listing,
+    "polled_top5_day": polled_top5_day,
+    "pushed_top5_day": pushed_top5_day,
+    "top5_day_seoul": top5_day_seoul,
+    "sink_top5_day": sink_top5_day,
+    "sink_compacted": sink_compacted,
+    "newest_window_day": newest_window_day,
+    "stream_top5_day_seoul": stream_top5_day_seoul,
+    "stream_pushed_top5_day": stream_pushed_top5_day,
+    "stream_publish_mixed": stream_publish_mixed,
 }

@@ -34,9 +34,25 @@ def shared_root(spark: SparkSession) -> str:
     return _local_root()
 
 
+_made: set[str] = set()
+
+
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """An unused path below the shared folder."""
-    return f"{shared_root(spark)}/tickflow/{purpose}-{uuid.uuid4().hex}"
+    folder = f"{shared_root(spark)}/tickflow/{purpose}-{uuid.uuid4().hex}"
+    _made.add(folder)
+    return folder
+
+
+def remove_folders(spark: SparkSession) -> None:
+    """Remove all folders that ``new_folder`` named and something was written to. Call it
+    when the frames that read them are done with."""
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+    for folder in sorted(_made):
+        path = path_of(folder)
+        path.getFileSystem(conf).delete(path, True)
+    _made.clear()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

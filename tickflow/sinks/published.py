@@ -105,6 +105,31 @@ def drop_other_days(spark: SparkSession, root: str, batch: str, days: list[Row])
     _each(spark, stale, lambda store, path: store.delete(path, True))
 
 
+def compact_day(spark: SparkSession, root: str, day: Row, batch: str) -> None:
+    """Gather the ``batch=`` folders of a finished day into one named ``batch``.
+
+    The rows are written beside the result first, under a name that readers skip; then the
+    old folders go and the new one takes their place. A run that was cut short can be run
+    again under the same name. Readers of that day may miss rows for a moment, never see
+    them twice.
+    """
+    from tickflow.sources.published import read_day
+
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    folder = _folder(root, day)
+    store = path_of(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    waiting, done = path_of(f"{folder}/_{batch}"), path_of(f"{folder}/batch={batch}")
+    if not store.exists(path_of(f"{folder}/_{batch}/{MARKER}")):
+        rows = read_day(spark, root, *day).select(*RESULT.names).coalesce(1)
+        writer = rows.write.mode("overwrite").option("ignoreNullFields", "false")
+        writer.option("timestampNTZFormat", LOCAL_TIME).json(f"{folder}/_{batch}")
+    old = [status.getPath() for status in store.globStatus(path_of(f"{folder}/batch=*")) or []]
+    for path in old:
+        store.delete(path, True)
+    if not store.rename(waiting, done):
+        raise RuntimeError(f"{folder}: could not put {batch} in its place")
+
+
 def publish_result(result: DataFrame, root: str, batch: str, rerun: bool = False) -> None:
     """Write ``batch`` and mark the days it touched.
 

@@ -28,12 +28,22 @@ def stream_payloads(spark: SparkSession, folder: str, max_files: int | None = No
     return _captured(reader.text(folder, wholetext=True))
 
 
+def newest_payload(spark: SparkSession, folder: str) -> DataFrame:
+    """``value`` of the newest payload file, of equally new ones that with the largest path.
+    It is found from the listing, so no other file is opened."""
+    files = spark.read.format("binaryFile").load(folder).select("path", "modificationTime")
+    newest = files.agg(F.max(F.struct("modificationTime", "path")).alias("newest")).first().newest
+    if newest is None:
+        return spark.createDataFrame([], "value string")
+    return spark.read.text(newest.path, wholetext=True)
+
+
 def read_markets(spark: SparkSession, folder: str) -> DataFrame:
     """``(market, name)`` of the won markets of the newest listing in ``folder``.
 
     A market that is listed twice has the name that comes last; one that is no longer
     listed is gone.
     """
-    newest = read_payloads(spark, folder).agg(F.max_by("value", "captured_at").alias("value"))
-    listed = krw_markets(decode_listing(newest, LISTING), keep=["position"])
+    rows = decode_listing(newest_payload(spark, folder), LISTING)
+    listed = krw_markets(rows, keep=["position"])
     return last_by_key(listed, "market", ["position"]).select("market", "name")

@@ -46,9 +46,22 @@ def kafka_messages(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return stream.selectExpr("CAST(value AS STRING) AS value")
 
 
+def topic_partitions(spark: SparkSession, servers: str, topic: str) -> int:
+    """How many partitions a topic has now, from its brokers. Needs the Kafka connector."""
+    jvm = spark._jvm
+    settings = jvm.java.util.HashMap()
+    settings.put("bootstrap.servers", servers)
+    admin = jvm.org.apache.kafka.clients.admin.AdminClient.create(settings)
+    try:
+        names = jvm.java.util.Collections.singletonList(topic)
+        return admin.describeTopics(names).allTopicNames().get().get(topic).partitions().size()
+    finally:
+        admin.close()
+
+
 def landed_messages(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
-    """Unbounded messages from text files that land in a folder, one per line."""
-    reader = spark.readStream
+    """Unbounded messages from text files that land in a folder or below it, one per line."""
+    reader = spark.readStream.option("recursiveFileLookup", "true")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.text(folder)
@@ -56,4 +69,4 @@ def landed_messages(spark: SparkSession, folder: str, max_files: int | None = No
 
 def stored_messages(spark: SparkSession, folder: str) -> DataFrame:
     """The same files as a bounded table."""
-    return spark.read.text(folder)
+    return spark.read.option("recursiveFileLookup", "true").text(folder)
