@@ -57,3 +57,9 @@ def test_no_cross_join_and_no_python_in_any_plan(spark, tables, name):
     text = plan(QUERIES[name](spark, tables.replace("sf0.01", "sf0.001")))
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "InPandas"):
         assert word not in text
+
+
+def test_a_message_is_encoded_once(spark, tables):
+    for name, times in (("encode_roundtrip", 1), ("pushed_top5_minute", 2)):
+        text = QUERIES[name](spark, tables)._jdf.queryExecution().optimizedPlan().toString()
+        assert text.count("StructsToJsonEvaluator") + text.count("to_json(") == times, text

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import os
 from datetime import datetime, timedelta
 
 import pytest
 
 from helpers import rows
 from tickflow.operators.rank import rank_all, top_n
+from tickflow.scratch import remove_folders, shared_root
 
 START = datetime(2025, 1, 1)
 COLUMNS = (
@@ -78,3 +80,18 @@ def test_many_rows_per_window_are_ranked_without_one_task_per_window(spark):
         got = top_n(frame, n).select("window_start", "one_m_trade_volume", "row_num").collect()
         assert len(got) == 2 * n
         assert all(r.one_m_trade_volume == 2998 + r.window_start - 2 * (r.row_num - 1) for r in got)
+
+
+def test_ranking_leaves_nothing_behind(spark):
+    frame = spark.range(50).selectExpr(
+        "'a' as name", "concat('m', id) as market", "0 as window_start", "0 as window_end",
+        "cast(id as double) as one_m_trade_volume",
+    )
+    remove_folders(spark)
+    root = f"{shared_root(spark)}/tickflow"
+    before = len(os.listdir(root)) if os.path.isdir(root) else 0
+    for _ in range(2):
+        assert rank_all(frame).count() == 50
+    assert len(os.listdir(root)) == before + 2
+    remove_folders(spark)
+    assert len(os.listdir(root)) == before

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tickflow.operators.notional import VALUE
-from tickflow.scratch import ensure_checkpoint_dir
+from tickflow.scratch import new_folder
 
 WINDOW = ("window_start", "window_end")
 TIES = ("market", "name")
@@ -51,9 +51,10 @@ def rank_all(
     """
     group = list(group)
     order = [*group, F.desc_nulls_last(value), *ties]
-    ensure_checkpoint_dir(rows.sparkSession)
+    spark = rows.sparkSession
     # Written out once, because slice bounds are sampled: both uses below must see
     # the same slices, also after an executor was lost.
+    folder = new_folder(spark, "ranked")
     placed = (
         rows.repartitionByRange(*order)
         .sortWithinPartitions(*order)
@@ -62,8 +63,9 @@ def rank_all(
             F.spark_partition_id().alias("_slice"),
             F.monotonically_increasing_id().alias("_at"),
         )
-        .checkpoint()
     )
+    placed.write.parquet(folder)
+    placed = spark.read.schema(placed.schema).parquet(folder)
     earlier = (
         Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     )
