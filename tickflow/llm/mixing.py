@@ -110,6 +110,13 @@ def apportion(parties: DataFrame, group: list[str], party: str, votes: str, seat
     )
 
 
+def _stored(frame: DataFrame) -> DataFrame:
+    """A table of sources or shards, written out once: several steps use it."""
+    path = new_folder(frame.sparkSession, "mix")
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def mix(
     docs: DataFrame,
     cycle: tuple[int, ...] = CYCLE,
@@ -125,20 +132,21 @@ def mix(
     counted, at most ``max_repeat`` times the size). The word counts are written to the
     shared folder once, so the texts are read once.
     """
-    spark = docs.sparkSession
-    path = new_folder(spark, "mix-sizes")
-    docs.select(
-        F.col("doc_id"), F.col("source").cast("string").alias("source"),
-        word_count(F.col("text")).alias("size"),
-    ).write.parquet(path)
-    sizes = spark.read.parquet(path)
+    sizes = _stored(
+        docs.select(
+            "doc_id", F.col("source").cast("string").alias("source"),
+            word_count(F.col("text")).alias("size"),
+        )
+    )
 
-    sources = targets(sizes, cycle, max_repeat)
+    sources = _stored(targets(sizes, cycle, max_repeat))
     blocks = F.ceil(F.col("words") / F.lit(float(block))).cast("long")
-    sources = apportion(
-        sources.withColumn("seats", blocks).withColumn("all", F.lit(0)),
-        ["all"], "source_no", "target", "seats",
-    ).withColumn("shards", F.ceil(F.col("n_docs") / F.lit(float(shard_rows))).cast("long"))
+    sources = _stored(
+        apportion(
+            sources.withColumn("seats", blocks).withColumn("all", F.lit(0)),
+            ["all"], "source_no", "target", "seats",
+        ).withColumn("shards", F.ceil(F.col("n_docs") / F.lit(float(shard_rows))).cast("long"))
+    )
 
     order = _hash(seed, F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("size"))
     rows = sizes.join(
@@ -151,10 +159,12 @@ def mix(
     rows = rows.withColumn("shard", F.pmod(F.col("order"), F.col("shards")))
 
     # The shards' quotas.
-    shards = rows.groupBy("source_no", "shard").agg(
-        F.sum("size").alias("shard_size"), F.max("source_quota").alias("source_quota")
+    shards = _stored(
+        rows.groupBy("source_no", "shard").agg(
+            F.sum("size").alias("shard_size"), F.max("source_quota").alias("source_quota")
+        )
     )
-    shards = (
+    shards = _stored(
         apportion(shards, ["source_no"], "shard", "shard_size", "source_quota")
         .withColumn("n_blocks", F.ceil(F.col("shard_size") / F.lit(float(block))).cast("long"))
         .withColumn("quota", F.least("quota", F.col("n_blocks") * max_repeat))
