@@ -133,8 +133,9 @@ def test_mixing(steps):
             break
         target |= {s: 3 * have[s] for s in full}
         open_ -= full
+    # A source's blocks are whole, and the last of a shard may be short.
     for s, t in target.items():
-        assert abs(taken[s] - t) <= max(100, 0.05 * t)
+        assert abs(taken[s] - t) <= max(200, 0.01 * t)
 
 
 @pytest.mark.parametrize("rows", [[], edge_rows()], ids=["empty", "awkward"])
