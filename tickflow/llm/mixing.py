@@ -228,26 +228,21 @@ def materialise(docs: DataFrame, taken: DataFrame) -> DataFrame:
     """The rows of the mix: one copy of the document per whole pass, and one with the
     words of its spans, joined by one space. Columns as in ``docs``; ``n_chars`` follows
     the text if there is such a column. Rows of ``docs`` that agree in doc_id, source and
-    size share the mix's rows in any order."""
+    size (by a 64-bit hash) share the mix's rows in any order."""
     doc = F.col("_doc")
     here = docs.select(F.struct("*").alias("_doc")).select(
-        "_doc", doc.doc_id.alias("_id"), doc.source.cast("string").alias("_source"),
-        word_count(doc.text).alias("_size"),
-    )
-    same = ["_id", "_source", "_size"]
-    here = here.withColumn(
-        "_no", F.row_number().over(Window.partitionBy(*same).orderBy(F.col("_doc.text")))
+        "_doc",
+        F.xxhash64(doc.doc_id, doc.source.cast("string"), word_count(doc.text)).alias("_key"),
     )
+    numbered = Window.partitionBy("_key")
+    here = here.withColumn("_no", F.row_number().over(numbered.orderBy(F.col("_doc.text"))))
     there = taken.where("taken > 0").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"),
-        F.col("size").alias("_size"), "passes", "spans",
-    )
-    there = there.withColumn(
-        "_no", F.row_number().over(Window.partitionBy(*same).orderBy("passes", "spans"))
+        F.xxhash64("doc_id", "source", "size").alias("_key"), "passes", "spans"
     )
-    match = here["_no"] == there["_no"]
-    for c in same:
-        match &= here[c].eqNullSafe(there[c])
+    there = there.withColumn("_row", F.row_number().over(numbered.orderBy("passes", "spans")))
+    # The numbers are compared as a difference, which leaves the key alone to join by: the
+    # texts stay where numbering has put them and are shuffled once.
+    match = (here["_key"] == there["_key"]) & ((F.col("_no") - F.col("_row")) == 0)
     partial = F.col("_copy") == F.col("passes")
     last = F.col("passes") - F.when(F.size("spans") > 0, 0).otherwise(1)
     cut = F.transform(
