@@ -195,7 +195,8 @@ def mix(
             "source_no", "shard", "start", "end",
             F.explode(F.expr(f"sequence(start div {block}, (end - 1) div {block})")).alias("block"),
         )
-        .join(chosen, ["source_no", "shard", "block"])
+        # Spark takes the chosen blocks for as small as their shards; they are not.
+        .join(chosen.hint("merge"), ["source_no", "shard", "block"])
         .select(
             "source_no", "shard", "start",
             (F.greatest(F.col("block") * block, "start") - F.col("start")).alias("first"),
@@ -212,7 +213,9 @@ def mix(
     return (
         placed.withColumn("_start", key)
         .join(
-            pieces.withColumnRenamed("start", "_start"), ["source_no", "shard", "_start"], "left"
+            pieces.withColumnRenamed("start", "_start").hint("merge"),
+            ["source_no", "shard", "_start"],
+            "left",
         )
         .select(
             "doc_id", "source", "size", "source_size", "target",
