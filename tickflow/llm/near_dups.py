@@ -141,7 +141,8 @@ def _sized(rows: DataFrame) -> DataFrame:
     """Rows (region, node, tree) of regions with two classes or more, with their number
     and the smallest class."""
     crowds = rows.groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("least"))
-    return rows.join(crowds.where("size > 1"), "region")
+    # Written plainly: a join of two shuffled sides can split a region of many classes.
+    return rows.join(_stored(crowds.where("size > 1"), "near-crowds"), "region")
 
 
 def _agreement(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -367,9 +368,10 @@ def group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     named = first.join(found, "node", "left").select(
         "region", "tree", "node", "size", F.coalesce("root", "node").alias("part")
     )
-    several = (
+    several = _stored(
         named.groupBy("region").agg(F.min("part").alias("low"), F.max("part").alias("high"))
-        .where("low != high").select("region")
+        .where("low != high").select("region"),
+        "near-several",
     )
     several = _stored(named.join(several, "region"), "near-several")
     if not several.isEmpty():
