@@ -80,13 +80,15 @@ def components(edges: DataFrame) -> DataFrame:
         # Small star: a node and its smaller neighbours go to the smallest of them.
         large = large.distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
+        own = F.struct("a", F.col("m").alias("b"))
+        other = F.struct(F.col("b").alias("a"), F.col("m").alias("b"))
         small = (
             large.join(least, "a")
-            .select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
+            .select(F.explode(F.array(own, other)).alias("e"))
             .select("e.a", "e.b")
             .where("a != b")
             .distinct()
-        )
+        )
         before = state
         stars, state = written(small)
         if state == before:

@@ -182,12 +182,13 @@ def write(pages: DataFrame, folder: str, shard_bytes: int = 64 << 20, roll_bytes
     count = (shards.agg(F.max("shard")).first()[0] or 0) + 1
 
     # Decisions come before the records they are about.
+    none = F.lit(None).cast("string")
     decided = _decisions(pages).select(
-        binned, "page_id", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), "digest", "winner"
-    )
+        binned, "page_id", F.lit(0).alias("kind"), none.alias("url"), none.alias("html"), "digest", "winner"
+    )
     records = pages.select(
         binned, "page_id", F.lit(1).alias("kind"), "url", "html",
-        F.lit(None).cast("string").alias("digest"), F.lit(None).cast("long").alias("winner"),
+        none.alias("digest"), none.cast("long").alias("winner"),
     )
     rows = records.union(decided).join(F.broadcast(shards), "bin")  # at most BINS + 1 rows
     order = ["shard", "page_id", "kind", "url", "html"]
