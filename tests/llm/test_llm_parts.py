@@ -170,6 +170,34 @@ def test_line_dedup_with_null_ids_and_all_columns(spark):
     assert kept[12].kept == "" and kept[12].n_dropped == 1 and kept[13].n_dropped == 0
 
 
+@pytest.mark.parametrize("ids", [[None, 1, 2], [0, 1, 10**9], [*range(0, 10**9, 10**8), 10**9], [None, -5, 2**62], [3, 3, 4, 9]])
+@pytest.mark.parametrize("batches", [1, 4])
+def test_line_dedup_counts_every_document(spark, ids, batches):
+    """Also those at the ends of wide ranges of ids."""
+    common = "a line that all of the documents have"
+    rows = [(i, f"{common}\nthe line of row {n} and of no other", "en", "a", 0) for n, i in enumerate(ids)]
+    got = clean(documents(spark, rows, extra=False), batches=batches).collect()
+    last = max(i for i in ids if i is not None)
+    drop = len(set(ids)) >= 3
+    assert Counter((r.doc.doc_id, r.n_dropped, common in r.kept) for r in got) == Counter(
+        (i, int(drop and i != last), not drop or i == last) for i in ids
+    )
+
+
+def test_line_dedup_spreads_ids_with_an_outlier(spark, monkeypatch):
+    sizes = []
+    add = LineRuns.add
+
+    def counted(self, batch):
+        sizes.append(batch.select("doc").distinct().count())
+        return add(self, batch)
+
+    monkeypatch.setattr(LineRuns, "add", counted)
+    rows = [(i, f"this is the line of document {i}", "en", "a", 0) for i in [None, *range(400), 1 << 62]]
+    clean(documents(spark, rows, extra=False)).collect()
+    assert sum(sizes) == 402 and max(sizes) < 110
+
+
 def test_apportionment_by_highest_quotients(spark):
     rng = random.Random(5)
     votes = [(g, p, rng.randrange(0, 1000), seats) for g, seats in ((0, 0), (1, 1), (2, 37), (3, 1000)) for p in range(9)]

@@ -131,13 +131,11 @@ def clean(
     ``n_dropped`` and ``kept``: the text without the lines that at least ``min_docs``
     documents have, except in the one with the largest doc_id."""
     spark = docs.sparkSession
-    low, high = docs.agg(
-        F.min(doc_key(F.col("doc_id"))), F.max(doc_key(F.col("doc_id")))
-    ).first() or (None, None)
-    low, high = low or 0, high or 0
-    # Equal ranges of ids, the largest first.
-    width = (high - low) // batches + 1
-    batch = F.floor((F.lit(high).cast("decimal(38,0)") - F.col("doc")) / F.lit(width)).cast("int")
+    # Between quantiles of the ids, the largest first. Only comparisons: no document is
+    # between two batches or beyond the last.
+    shares = [i / batches for i in range(1, batches)]
+    bounds = docs.agg(F.percentile_approx(doc_key(F.col("doc_id")), shares)).first()[0] if shares else []
+    batch = sum((F.when(F.col("doc") < b, 1).otherwise(0) for b in bounds or []), F.lit(0))
     path = new_folder(spark, "line-keys")
     line_keys(docs, min_chars).withColumn("batch", batch).write.partitionBy("batch").parquet(path)
     keys = spark.read.schema("doc long, print long, pos int, key long, batch int").parquet(path)
