@@ -253,6 +253,36 @@ def test_one_class_gives_constant_scores(spark):
             assert got == {score}
 
 
+def _rare_stems() -> list[str]:
+    """Two stems with the same remainder by 1,048,573 (once the table's size): z1234 and another."""
+    from itertools import product
+
+    number = lambda w: int.from_bytes(w.encode(), "big")
+    digits = "abcdefghijklmnopqrstuvwxyz0123456789"
+    want = number("z1234") % 1_048_573
+    other = ("".join(w) for w in product(digits, repeat=5))
+    return ["z1234", next(w for w in other if w != "z1234" and number(w) % 1_048_573 == want)]
+
+
+@pytest.mark.parametrize("most", [1_000_000, 5])
+def test_no_stem_is_lost_to_another(spark, monkeypatch, most):
+    """A toxic stem and a more frequent ordinary one; by a broadcast and by a join."""
+    monkeypatch.setattr(toxicity, "BROADCAST_ROWS", most, raising=False)
+    toxic, ordinary = _rare_stems()
+    filler = [f"fill{i}" for i in range(9)]
+    rows = [(i, " ".join(filler + [ordinary] * 8), "en", "a", 0) for i in range(200)]
+    rows += [(1000 + i, " ".join(filler + [toxic] * 3), "en", "a", 0) for i in range(40)]
+    rows += [(2000, f"new words {toxic} here", "en", "a", 0), (2001, f"new words {ordinary} here", "en", "a", 0)]
+    rows += [(None, f"new words {toxic} here", "en", "a", 0), (2002, None, "en", "a", 0), (2002, None, "en", "a", 0)]
+    labels = spark.createDataFrame([(r[0], int(r[0] >= 1000)) for r in rows[:240]], "doc_id long, toxic int")
+    docs = documents(spark, rows)
+    model = toxicity.train(docs, labels, F.lit(False))
+    got = toxicity.score(docs, model).select("doc.doc_id", "score").collect()
+    assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows)
+    assert all((r.score > 0.5) == (r.doc_id is None or 1000 <= r.doc_id <= 2000) for r in got)
+    assert (model.path is None) == (most > 5)
+
+
 def test_archive_files(spark):
     pages = [(i, f"http://h/{i}", f"<p>{i % 40}</p>" * 200) for i in range(300)]
     pages += [(5, "http://h/5", "<p>5</p>" * 200), (None, None, None), (None, "u", None), (7, "a", "x")]

@@ -14,9 +14,10 @@ is divided by the root of the number of words, as texts may be toxic in a few pl
 A logistic curve over its root makes a probability; it is fitted on about ``sample_rows``
 labelled texts, chosen by a hash of their ids.
 
-Workers hold the ratios of ``SLOTS`` stems (12 MB); of stems that share a slot the most
-frequent one has it, the others count as equally likely, as stems never seen do. Scoring
-is one pass over the documents, without a shuffle.
+Every stem keeps its ratio; only stems never seen count as equally likely. Up to
+``BROADCAST_ROWS`` ratios (16 bytes each) are handed to the workers, and scoring is one
+pass over the documents, without a shuffle. More stay a table, which is joined with the
+stems of every different text, counted per text.
 
 Null and empty texts have no words: their sum is 0. If one class has no labelled text,
 scores are constant: 1 or 0 for the class there is, and 0.5 without labels. Repeated rows
@@ -42,8 +43,7 @@ STEM = 5
 DISCOUNT = 2.0
 # Ratios up to this, in nats, come from chance.
 CLEAR = 2.0
-# A prime.
-SLOTS = 1_048_573
+BROADCAST_ROWS = 1_000_000
 
 _LOWER = np.arange(256, dtype=np.int64)
 _LOWER[65:91] += 32
@@ -113,41 +113,84 @@ def ratios(counted: DataFrame) -> DataFrame:
 
 @dataclass
 class Model:
-    """Stems and ratios by slot, and the logistic curve over a text's figure."""
+    """Ratios by stem, in the stems' order, or the ``path`` of their table, and the logistic
+    curve over a text's figure."""
 
     stem: np.ndarray
     ratio: np.ndarray
+    path: str | None
     curve: np.ndarray
 
+    def known(self, stem: np.ndarray) -> np.ndarray:
+        """The ratios of stems, 0 for those never seen."""
+        if not len(self.stem):
+            return np.zeros(len(stem))
+        at = np.minimum(np.searchsorted(self.stem, stem), len(self.stem) - 1)
+        return np.where(self.stem[at] == stem, self.ratio[at], 0.0)
+
     def figures(self, texts: pa.Array) -> np.ndarray:
         """The root of the excess per root of words."""
         out = np.zeros(len(texts))
         for row, found in token_chunks(texts, LETTERS):
             n = len(found.counts)
-            stem = stems(found)
-            slot = stem % SLOTS
-            ratio = np.where(self.stem[slot] == stem, self.ratio[slot], 0.0)
+            ratio = self.known(stems(found))
             excess = np.bincount(found.rows(), weights=np.maximum(ratio - CLEAR, 0), minlength=n)
             out[row : row + n] = np.sqrt(excess / np.sqrt(np.maximum(found.counts, 1)))
         return out
 
-    def scores(self, texts: pa.Array) -> np.ndarray:
-        return logistic.probability(self.figures(texts)[:, None], self.curve)
 
+def _model(learned: DataFrame) -> Model:
+    path = new_folder(learned.sparkSession, "toxicity-ratios")
+    learned.select("stem", "ratio").write.parquet(path)
+    table = learned.sparkSession.read.parquet(path)
+    if table.count() > BROADCAST_ROWS:
+        return Model(np.empty(0, np.int64), np.empty(0), path, np.zeros(2))
+    rows = table.toArrow().sort_by("stem")
+    return Model(rows.column("stem").to_numpy(), rows.column("ratio").to_numpy(), None, np.zeros(2))
 
-def _table(learned: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Stems and ratios by slot, of the most frequent stem in each: at most ``SLOTS`` rows."""
-    rows = (
-        learned.groupBy((F.col("stem") % SLOTS).alias("slot"))
-        .agg(F.max_by(F.struct("stem", "ratio"), F.struct("n", "stem")).alias("best"))
-        .select("slot", "best.stem", "best.ratio")
-        .toArrow()
-    )
-    stem, ratio = np.full(SLOTS, -1, np.int64), np.zeros(SLOTS, np.float32)
-    slot = rows.column("slot").to_numpy()
-    stem[slot] = rows.column("stem").to_numpy()
-    ratio[slot] = rows.column("ratio").to_numpy()
-    return stem, ratio
+
+def _text_stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts by hash with their number of words, and their stems with counts."""
+    for batch in batches:
+        prints = batch.column("print").to_numpy()
+        for row, found in token_chunks(batch.column("text"), LETTERS):
+            stem, of = stems(found), found.rows()
+            order = np.lexsort((stem, of))
+            stem, of = stem[order], of[order]
+            new = np.concatenate([[True], (stem[1:] != stem[:-1]) | (of[1:] != of[:-1])])
+            first = np.flatnonzero(new[: len(stem)])
+            n = np.diff(np.concatenate([first, [len(stem)]]))
+            columns = [prints[row + of[first]], found.counts[of[first]], stem[first], n]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in columns], ["print", "words", "stem", "n"]
+            )
+
+
+def _figured(frame: DataFrame, carry: list[str], model: Model) -> DataFrame:
+    """The columns ``carry`` of ``frame``, which has a text, and ``figure``."""
+    spark = frame.sparkSession
+    if model.path is None:
+        shared = spark.sparkContext.broadcast(model)
+        return over_batches(
+            frame,
+            lambda: lambda batch: [pa.array(shared.value.figures(batch.column("text")))],
+            carry, "figure double",
+        )
+    text = frame.select(F.xxhash64("text").alias("print"), "text")
+    counted = text.mapInArrow(_text_stems, "print long, words long, stem long, n long")
+    excess = F.sum(F.col("n") * F.greatest(F.col("ratio") - CLEAR, F.lit(0.0)))
+    # Written plainly: a join of two shuffled sides can split a text of many copies.
+    path = new_folder(spark, "toxicity-figures")
+    (
+        counted.groupBy("print", "words", "stem").agg(F.max("n").alias("n"))
+        .join(spark.read.parquet(model.path), "stem")
+        .groupBy("print", "words").agg(excess.alias("excess"))
+        .select("print", F.sqrt(F.col("excess") / F.sqrt("words")).alias("figure"))
+        .write.parquet(path)
+    )
+    rows = frame.select(*carry, F.xxhash64("text").alias("print"))
+    figure = F.coalesce("figure", F.lit(0.0)).alias("figure")
+    return rows.join(spark.read.parquet(path), "print", "left").select(*carry, figure)
 
 
 def train(
@@ -171,15 +214,10 @@ def train(
     both = counted.agg(F.sum("toxic"), F.sum("ordinary")).first()
     if not (both[0] and both[1]):
         prior = 30.0 if both[0] else -30.0 if both[1] else 0.0
-        return Model(np.full(SLOTS, -1, np.int64), np.zeros(SLOTS, np.float32), np.array([0.0, prior]))
-    model = Model(*_table(ratios(counted)), np.zeros(2))
-
-    shared = spark.sparkContext.broadcast(model)
-    held = over_batches(
-        sample(rows, n, sample_rows),
-        lambda: lambda batch: [pa.array(shared.value.figures(batch.column("text")))],
-        ["doc_id", "label"], "figure double",
-    ).toArrow()
+        return Model(np.empty(0, np.int64), np.empty(0), None, np.array([0.0, prior]))
+    model = _model(ratios(counted))
+
+    held = _figured(sample(rows, n, sample_rows), ["doc_id", "label"], model).toArrow()
     held = held.sort_by([("doc_id", "ascending"), ("figure", "ascending")])
     x = held.column("figure").to_numpy()
     spread = max(x.std(), 1e-9)
@@ -191,9 +229,7 @@ def train(
 def score(docs: DataFrame, model: Model, columns: tuple[str, ...] = ()) -> DataFrame:
     """``doc`` (the row's ``columns``, all by default) and ``score``, the probability that
     the text is toxic."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    return over_batches(
-        packed(docs, *columns),
-        lambda: lambda batch: [pa.array(shared.value.scores(batch.column("text")), pa.float64())],
-        ["doc"], "score double",
-    )
+    slope, at = model.curve.tolist()
+    margin = F.greatest(F.least(F.col("figure") * slope + at, F.lit(30.0)), F.lit(-30.0))
+    found = _figured(packed(docs, *columns), ["doc"], model)
+    return found.select("doc", (1 / (1 + F.exp(-margin))).alias("score"))
