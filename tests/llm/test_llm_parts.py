@@ -283,6 +283,28 @@ def test_no_stem_is_lost_to_another(spark, monkeypatch, most):
     assert (model.path is None) == (most > 5)
 
 
+@pytest.mark.parametrize("most", [1_000_000, 5])
+def test_toxicity_weighs_all_words(spark, monkeypatch, most):
+    """Moderate evidence for either class counts, by whole words and in any script."""
+    monkeypatch.setattr(toxicity, "BROADCAST_ROWS", most, raising=False)
+    mild, calm = [f"{c}mild" for c in "abcdef"], [f"{c}calm" for c in "abcdef"]
+    rows = []
+    for i in range(120):
+        bad = i % 2
+        text = mild * (3 if bad else 1) + calm * (1 if bad else 3)
+        # The same first five bytes, and the same first five letters.
+        text += ["идиот", "motherless"] * 6 if i % 4 == 1 else ["идея", "motherly"] * 6 if i % 4 == 0 else []
+        rows.append((i, " ".join(text), "en", "a", 0))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, toxic int")
+    new = ["", " ".join(mild * 3), " ".join(calm * 3), "идиот " * 3, "идея " * 3, "motherless " * 3, "motherly " * 3]
+    model = toxicity.train(documents(spark, rows), labels, F.lit(False))
+    asked = [(i, t, "en", "a", 0) for i, t in enumerate(new)]
+    score = dict(toxicity.score(documents(spark, asked), model).select("doc.doc_id", "score").collect())
+    assert score[1] > score[0] > score[2]
+    assert score[3] > score[0] > score[4] and score[5] > score[0] > score[6]
+    assert (model.path is None) == (most > 5)
+
+
 def test_archive_files(spark):
     pages = [(i, f"http://h/{i}", f"<p>{i % 40}</p>" * 200) for i in range(300)]
     pages += [(5, "http://h/5", "<p>5</p>" * 200), (None, None, None), (None, "u", None), (7, "a", "x")]

@@ -1,25 +1,29 @@
-"""Toxicity by class-conditional Kneser-Ney models of word stems.
-
-Toxic words come inflected, each form rarely, so the unit is a word's stem: its first
-``STEM`` bytes, A-Z as a-z. Two models, of toxic and of ordinary labelled texts, give a
-stem its discounted share of the class's words, and what the discount frees goes to the
-same backoff for both: the Kneser-Ney continuation share, the number of different words
-over all labelled texts that continue the stem. A stem rare in both classes then says
-next to nothing; one that a single class uses often says much. Words are counted per task
-and class before the shuffle, and all counts cover all labelled texts to learn from.
-
-A text is compared by a length-normalised sum of its words' log-likelihood ratios (toxic
-over ordinary), of what exceeds ``CLEAR`` nats per word: chance adds little to it, and it
-is divided by the root of the number of words, as texts may be toxic in a few places only.
-A logistic curve over its root makes a probability; it is fitted on about ``sample_rows``
-labelled texts, chosen by a hash of their ids.
-
-Every stem keeps its ratio; only stems never seen count as equally likely. Up to
-``BROADCAST_ROWS`` ratios (16 bytes each) are handed to the workers, and scoring is one
-pass over the documents, without a shuffle. More stay a table, which is joined with the
-stems of every different text, counted per text.
-
-Null and empty texts have no words: their sum is 0. If one class has no labelled text,
+"""Toxicity by class-conditional Kneser-Ney models of words.
+
+Toxic words come inflected, each form rarely, so words back off to their stems: the first
+``STEM`` code points, A-Z as a-z. Two models, of toxic and of ordinary labelled texts, give
+a word its discounted share of the class's words. What the discount frees goes to its
+stem's probability, shared alike by the stem's words; that is the stem's discounted share,
+and what this frees goes to the same backoff for both classes: the Kneser-Ney continuation
+share, the number of different words over all labelled texts that continue the stem. A word
+whose stem is rare in both classes then says next to nothing; one that a single class uses
+often says much. Words are counted per task and class before the shuffle, and all counts
+cover all labelled texts to learn from.
+
+A text has two figures from its words' log-likelihood ratios (toxic over ordinary): their
+mean, which is the length-normalised difference of the two log-likelihoods, and the root of
+the sum of what exceeds ``CLEAR`` nats per word, divided by the root of the number of words,
+as texts may be toxic in a few places only. A logistic curve over both makes a probability;
+it is fitted on about ``sample_rows`` labelled texts, chosen by a hash of their ids. Words
+have no history: an expression made of ordinary words is not seen.
+
+Words of more than ``DISCOUNT`` uses in a class and all stems keep their ratios; other words
+have just what their stem says, and only words of stems never seen count as equally likely.
+Up to ``BROADCAST_ROWS`` ratios (16 bytes each) are handed to the workers, and scoring is
+one pass over the documents, without a shuffle. More stay a table, which is joined with the
+words of every different text, counted per text.
+
+Null and empty texts have no words: their figures are 0. If one class has no labelled text,
 scores are constant: 1 or 0 for the class there is, and 0.5 without labels. Repeated rows
 are scored alike; an empty table gives no rows. All columns pass through, whatever their
 names.
@@ -36,7 +40,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tickflow.llm import logistic
 from tickflow.llm.labels import labelled, sample
-from tickflow.llm.words import LETTERS, Tokens, over_batches, packed, token_chunks
+from tickflow.llm.words import LETTERS, Tokens, mix, over_batches, packed, token_chunks
 from tickflow.scratch import new_folder
 
 STEM = 5
@@ -45,19 +49,24 @@ DISCOUNT = 2.0
 CLEAR = 2.0
 BROADCAST_ROWS = 1_000_000
 
-_LOWER = np.arange(256, dtype=np.int64)
-_LOWER[65:91] += 32
+_LOWER = np.arange(256, dtype=np.uint64)
+_LOWER[65:91] += np.uint64(32)
+_STEP = np.uint64(0x9FB21C651E98DF25)
 
 
 def stems(found: Tokens) -> np.ndarray:
-    """The first bytes of every word as one number."""
-    key = np.zeros(len(found.start), np.int64)
-    top = max(len(found.data) - 1, 0)
-    for j in range(STEM):
-        at = found.start + j
-        byte = _LOWER[found.data[np.minimum(at, top)]] if len(key) else key
-        key = (key << 8) | np.where(at < found.end, byte, 0)
-    return key
+    """Hashes of the first code points of every word."""
+    begins = (found.data & 0xC0) != 0x80
+    before = np.concatenate([[0], np.cumsum(begins)])
+    place = np.concatenate([np.flatnonzero(begins), [len(found.data)]])
+    upto = place[np.minimum(before[found.start] + STEM, len(place) - 1)]
+    length = np.minimum(upto, found.end) - found.start
+    key = np.zeros(len(length), np.uint64)
+    left, j = np.arange(len(length)), 0
+    while len(left := left[length[left] > j]):
+        key[left] = key[left] * _STEP + (_LOWER[found.data[found.start[left] + j]] + np.uint64(1))
+        j += 1
+    return mix(key).view(np.int64)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,108 +98,128 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield summed()
 
 
-def ratios(counted: DataFrame) -> DataFrame:
-    """stem, ``n`` and ``ratio``, the log of toxic over ordinary probability, from stems
-    with their counts ``toxic`` and ``ordinary`` and the number of words ``kinds``."""
-    freed = lambda c: F.sum(F.least(F.col(c), F.lit(DISCOUNT)))
-    sums = counted.agg(
-        F.sum("kinds").alias("all_kinds"),
-        *[F.sum(c).alias(f"{c}_all") for c in ("toxic", "ordinary")],
-        *[freed(c).alias(f"{c}_free") for c in ("toxic", "ordinary")],
-    )
-    # One row of sums, joined by a constant.
-    frame = counted.withColumn("_one", F.lit(1)).join(sums.withColumn("_one", F.lit(1)), "_one")
-    shared = F.col("kinds") / F.col("all_kinds")
-    probability = lambda c: (
-        F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) + F.col(f"{c}_free") * shared
-    ) / F.col(f"{c}_all")
-    return frame.select(
-        "stem",
-        (F.col("toxic") + F.col("ordinary")).alias("n"),
-        F.log(probability("toxic") / probability("ordinary")).alias("ratio"),
+def ratios(words: DataFrame) -> DataFrame:
+    """key and ``ratio``, the log of toxic over ordinary probability, from words with their
+    stems and counts. Keys are stems, for words without a row of their own, and words."""
+    spark, both = words.sparkSession, ("toxic", "ordinary")
+    path = new_folder(spark, "toxicity-stems")
+    words.groupBy("stem").agg(
+        *[F.sum(c).alias(c) for c in both], F.count(F.lit(1)).alias("kinds")
+    ).write.parquet(path)
+    stemmed = spark.read.parquet(path)
+    freed = [F.sum(F.least(F.col(c), F.lit(DISCOUNT))) for c in both]
+    every = dict(zip(both, words.agg(*[F.sum(c) for c in both]).first(), strict=True))
+    word_free = dict(zip(both, words.agg(*freed).first(), strict=True))
+    *stem_free, kinds = stemmed.agg(*freed, F.sum("kinds")).first()
+    stem_free = dict(zip(both, stem_free, strict=True))
+
+    def share(c: str, free: dict, backoff: Column) -> Column:
+        return (F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) + F.lit(free[c]) * backoff) / F.lit(every[c])
+
+    known = stemmed.select(
+        "stem", "kinds", *[share(c, stem_free, F.col("kinds") / F.lit(kinds)).alias(f"{c}_stem") for c in both]
     )
+    # What all words without a row of their own have besides their stem's ratio.
+    rest = np.log(word_free["toxic"] / every["toxic"]) - np.log(word_free["ordinary"] / every["ordinary"])
+    own = words.where(F.greatest(*both) > DISCOUNT).join(known, "stem")
+    word = {c: share(c, word_free, F.col(f"{c}_stem") / F.col("kinds")) for c in both}
+    return known.select(
+        F.col("stem").alias("key"), (F.log(F.col("toxic_stem") / F.col("ordinary_stem")) + F.lit(float(rest))).alias("ratio")
+    ).union(own.select(F.col("word").alias("key"), F.log(word["toxic"] / word["ordinary"]).alias("ratio")))
 
 
 @dataclass
 class Model:
-    """Ratios by stem, in the stems' order, or the ``path`` of their table, and the logistic
-    curve over a text's figure."""
+    """Ratios by key, in the keys' order, or the ``path`` of their table, and the logistic
+    curve over a text's figures."""
 
-    stem: np.ndarray
+    key: np.ndarray
     ratio: np.ndarray
     path: str | None
     curve: np.ndarray
 
-    def known(self, stem: np.ndarray) -> np.ndarray:
-        """The ratios of stems, 0 for those never seen."""
-        if not len(self.stem):
-            return np.zeros(len(stem))
-        at = np.minimum(np.searchsorted(self.stem, stem), len(self.stem) - 1)
-        return np.where(self.stem[at] == stem, self.ratio[at], 0.0)
+    def known(self, found: Tokens) -> np.ndarray:
+        """The words' ratios: their own, else their stem's, else 0."""
+        out = np.zeros(len(found.hash))
+        if not len(self.key):
+            return out
+        for keys in (stems(found), found.hash.view(np.int64)):
+            at = np.minimum(np.searchsorted(self.key, keys), len(self.key) - 1)
+            out = np.where(self.key[at] == keys, self.ratio[at], out)
+        return out
 
-    def figures(self, texts: pa.Array) -> np.ndarray:
-        """The root of the excess per root of words."""
-        out = np.zeros(len(texts))
+    def figures(self, texts: pa.Array) -> list[pa.Array]:
+        """The mean ratio, and the root of the excess per root of words."""
+        mean, excess = np.zeros(len(texts)), np.zeros(len(texts))
         for row, found in token_chunks(texts, LETTERS):
-            n = len(found.counts)
-            ratio = self.known(stems(found))
-            excess = np.bincount(found.rows(), weights=np.maximum(ratio - CLEAR, 0), minlength=n)
-            out[row : row + n] = np.sqrt(excess / np.sqrt(np.maximum(found.counts, 1)))
-        return out
+            n, of, ratio = len(found.counts), found.rows(), self.known(found)
+            words = np.maximum(found.counts, 1)
+            mean[row : row + n] = np.bincount(of, weights=ratio, minlength=n) / words
+            over = np.bincount(of, weights=np.maximum(ratio - CLEAR, 0), minlength=n)
+            excess[row : row + n] = np.sqrt(over / np.sqrt(words))
+        return [pa.array(mean), pa.array(excess)]
 
 
 def _model(learned: DataFrame) -> Model:
     path = new_folder(learned.sparkSession, "toxicity-ratios")
-    learned.select("stem", "ratio").write.parquet(path)
+    learned.write.parquet(path)
     table = learned.sparkSession.read.parquet(path)
     if table.count() > BROADCAST_ROWS:
-        return Model(np.empty(0, np.int64), np.empty(0), path, np.zeros(2))
-    rows = table.toArrow().sort_by("stem")
-    return Model(rows.column("stem").to_numpy(), rows.column("ratio").to_numpy(), None, np.zeros(2))
+        return Model(np.empty(0, np.int64), np.empty(0), path, np.zeros(3))
+    rows = table.toArrow().sort_by("key")
+    return Model(rows.column("key").to_numpy(), rows.column("ratio").to_numpy(), None, np.zeros(3))
 
 
-def _text_stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts by hash with their number of words, and their stems with counts."""
+def _text_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts by hash with their number of words, and their words with stems and counts."""
     for batch in batches:
         prints = batch.column("print").to_numpy()
         for row, found in token_chunks(batch.column("text"), LETTERS):
-            stem, of = stems(found), found.rows()
-            order = np.lexsort((stem, of))
-            stem, of = stem[order], of[order]
-            new = np.concatenate([[True], (stem[1:] != stem[:-1]) | (of[1:] != of[:-1])])
-            first = np.flatnonzero(new[: len(stem)])
-            n = np.diff(np.concatenate([first, [len(stem)]]))
-            columns = [prints[row + of[first]], found.counts[of[first]], stem[first], n]
+            word, stem, of = found.hash.view(np.int64), stems(found), found.rows()
+            order = np.lexsort((word, of))
+            word, stem, of = word[order], stem[order], of[order]
+            new = np.concatenate([[True], (word[1:] != word[:-1]) | (of[1:] != of[:-1])])
+            first = np.flatnonzero(new[: len(word)])
+            n = np.diff(np.concatenate([first, [len(word)]]))
+            columns = [prints[row + of[first]], found.counts[of[first]], word[first], stem[first], n]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns], ["print", "words", "stem", "n"]
+                [pa.array(c, pa.int64()) for c in columns], ["print", "words", "word", "stem", "n"]
             )
 
 
 def _figured(frame: DataFrame, carry: list[str], model: Model) -> DataFrame:
-    """The columns ``carry`` of ``frame``, which has a text, and ``figure``."""
+    """The columns ``carry`` of ``frame``, which has a text, and ``mean`` and ``excess``."""
     spark = frame.sparkSession
     if model.path is None:
         shared = spark.sparkContext.broadcast(model)
         return over_batches(
             frame,
-            lambda: lambda batch: [pa.array(shared.value.figures(batch.column("text")))],
-            carry, "figure double",
+            lambda: lambda batch: shared.value.figures(batch.column("text")),
+            carry, "mean double, excess double",
         )
     text = frame.select(F.xxhash64("text").alias("print"), "text")
-    counted = text.mapInArrow(_text_stems, "print long, words long, stem long, n long")
-    excess = F.sum(F.col("n") * F.greatest(F.col("ratio") - CLEAR, F.lit(0.0)))
+    counted = text.mapInArrow(_text_words, "print long, words long, word long, stem long, n long")
+    learned = spark.read.parquet(model.path)
+    own = learned.select(F.col("key").alias("word"), F.col("ratio").alias("own"))
+    ratio = F.coalesce("own", "ratio")
+    over = F.sum(F.col("n") * F.greatest(ratio - CLEAR, F.lit(0.0)))
     # Written plainly: a join of two shuffled sides can split a text of many copies.
     path = new_folder(spark, "toxicity-figures")
     (
-        counted.groupBy("print", "words", "stem").agg(F.max("n").alias("n"))
-        .join(spark.read.parquet(model.path), "stem")
-        .groupBy("print", "words").agg(excess.alias("excess"))
-        .select("print", F.sqrt(F.col("excess") / F.sqrt("words")).alias("figure"))
+        counted.groupBy("print", "words", "word", "stem").agg(F.max("n").alias("n"))
+        .join(own, "word", "left")
+        .join(learned.withColumnRenamed("key", "stem"), "stem")
+        .groupBy("print", "words").agg(F.sum(F.col("n") * ratio).alias("total"), over.alias("over"))
+        .select(
+            "print", (F.col("total") / F.col("words")).alias("mean"),
+            F.sqrt(F.col("over") / F.sqrt("words")).alias("excess"),
+        )
         .write.parquet(path)
     )
     rows = frame.select(*carry, F.xxhash64("text").alias("print"))
-    figure = F.coalesce("figure", F.lit(0.0)).alias("figure")
-    return rows.join(spark.read.parquet(path), "print", "left").select(*carry, figure)
+    return rows.join(spark.read.parquet(path), "print", "left").select(
+        *carry, *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("mean", "excess")]
+    )
 
 
 def train(
@@ -199,37 +228,34 @@ def train(
     """Learn from the documents whose labels are not ``held_out`` (a condition on doc_id)."""
     spark = docs.sparkSession
     rows, n = labelled(docs, labels, column, held_out)
-    path = new_folder(spark, "toxicity-stems")
+    path = new_folder(spark, "toxicity-words")
     (
         rows.select("text", "label")
         .mapInArrow(_count, "word long, stem long, toxic long, ordinary long")
-        .groupBy("stem", "word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
-        .groupBy("stem").agg(
-            F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"),
-            F.count(F.lit(1)).alias("kinds"),
-        )
+        .groupBy("word", "stem").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
         .write.parquet(path)
     )
     counted = spark.read.parquet(path)
     both = counted.agg(F.sum("toxic"), F.sum("ordinary")).first()
     if not (both[0] and both[1]):
         prior = 30.0 if both[0] else -30.0 if both[1] else 0.0
-        return Model(np.empty(0, np.int64), np.empty(0), None, np.array([0.0, prior]))
+        return Model(np.empty(0, np.int64), np.empty(0), None, np.array([0.0, 0.0, prior]))
     model = _model(ratios(counted))
 
     held = _figured(sample(rows, n, sample_rows), ["doc_id", "label"], model).toArrow()
-    held = held.sort_by([("doc_id", "ascending"), ("figure", "ascending")])
-    x = held.column("figure").to_numpy()
-    spread = max(x.std(), 1e-9)
-    w = logistic.fit(x[:, None] / spread, (held.column("label").to_numpy() > 0).astype(float), ridge=3e-3)
-    model.curve = np.array([w[0] / spread, w[1]])
+    held = held.sort_by([(c, "ascending") for c in ("doc_id", "mean", "excess")])
+    x = np.column_stack([held.column(c).to_numpy() for c in ("mean", "excess")])
+    spread = np.maximum(x.std(axis=0), 1e-9)
+    w = logistic.fit(x / spread, (held.column("label").to_numpy() > 0).astype(float), ridge=3e-3)
+    model.curve = np.append(w[:2] / spread, w[2])
     return model
 
 
 def score(docs: DataFrame, model: Model, columns: tuple[str, ...] = ()) -> DataFrame:
     """``doc`` (the row's ``columns``, all by default) and ``score``, the probability that
     the text is toxic."""
-    slope, at = model.curve.tolist()
-    margin = F.greatest(F.least(F.col("figure") * slope + at, F.lit(30.0)), F.lit(-30.0))
+    mean, excess, at = model.curve.tolist()
+    margin = F.col("mean") * mean + F.col("excess") * excess + at
+    margin = F.greatest(F.least(margin, F.lit(30.0)), F.lit(-30.0))
     found = _figured(packed(docs, *columns), ["doc"], model)
     return found.select("doc", (1 / (1 + F.exp(-margin))).alias("score"))
