@@ -85,6 +85,25 @@ def test_near_dups_with_null_ids(spark):
     assert not {r.doc_id for r in kept.collect()} & {8, 15}
 
 
+def test_drop_copies_keeps_one_row_of_every_component(spark):
+    """Also without ids, of repeated rows, and where an id has two texts."""
+    a, b, c, d, e = (prose(i, 60) for i in (21, 22, 23, 24, 25))
+    rows = [
+        (None, a, "en", "a", 0), (None, a, "en", "a", 0), (None, a.upper(), "en", "a", 0),
+        (None, b, "en", "a", 0), (5, b, "en", "a", 0), (None, b, "en", "b", 0),
+        (6, c, "en", "a", 0), (6, c, "en", "a", 0), (6, c, "en", "b", 0), (7, c, "en", "a", 0),
+        (8, d, "en", "a", 0), (9, d, "en", "a", 0), (9, e, "en", "a", 0),
+        (10, None, "en", "a", 0), (10, None, "en", "a", 0), (None, "", "en", "a", 0),
+    ]
+    docs = documents(spark, rows)
+    got = near_dups.drop_copies(docs)
+    assert got.columns == docs.columns
+    kept = Counter((r.doc_id, (r.text or "").lower()) for r in got.collect())
+    assert kept == Counter([(None, a), (5, b), (6, c), (8, d), (9, e), (10, ""), (10, ""), (None, "")])
+    again = near_dups.drop_copies(docs.repartition(7))
+    assert Counter(map(str, again.collect())) == Counter(map(str, got.collect()))
+
+
 def test_substrings_with_null_ids(spark):
     rows = edge_rows()
     got = substrings.remove(documents(spark, rows), window=6, columns=("doc_id",)).collect()

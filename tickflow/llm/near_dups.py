@@ -111,7 +111,8 @@ def signatures(each: list[np.ndarray]) -> np.ndarray:
 
 
 def _signed(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n (shingles), node (the set's name, null if empty) and its signature."""
+    """doc_id, print (hash of the text), n (shingles), node (the set's name, null if empty)
+    and its signature."""
 
     def work(batch: pa.RecordBatch) -> list[pa.Array]:
         n, node, sig = [], [], []
@@ -124,8 +125,15 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
             sig += [sig_of[i].astype(">u4").tobytes() if i in sig_of else None for i in range(len(each))]
         return [pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(sig, pa.binary())]
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return over_batches(texts, lambda: work, ["doc_id"], "n long, node long, sig binary")
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), _print(F.col("text")).alias("print"),
+        F.col("text").cast("string").alias("text"),
+    )
+    return over_batches(texts, lambda: work, ["doc_id", "print"], "n long, node long, sig binary")
+
+
+def _print(text: Column) -> Column:
+    return F.xxhash64(text.cast("string"))
 
 
 # --- regions -----------------------------------------------------------------------
@@ -323,8 +331,8 @@ def _stored(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, ``n_shingles`` and ``component_id`` of every row of ``docs``."""
+def _rooted(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The signed rows, and the classes: node, smallest doc and the root of the component."""
     signed = _stored(_signed(docs, size), "near-signatures")
     classes = _stored(
         signed.where("node is not null").groupBy("node").agg(
@@ -392,8 +400,14 @@ def group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
         more = _links(rest.join(held, "node"), percent)
         found = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
 
+    rooted = classes.select("node", "doc").join(found, "node", "left")
+    return signed, rooted.withColumn("root", F.coalesce("root", "node"))
+
+
+def group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, ``n_shingles`` and ``component_id`` of every row of ``docs``."""
+    signed, rooted = _rooted(docs, size, percent)
     # Names: the smallest doc_id of all classes in a component.
-    rooted = classes.select("node", "doc").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = rooted.groupBy("root").agg(F.min("doc").alias("component_id"))
     named = _stored(rooted.join(names, "root").select("node", "component_id"), "near-names")
     return signed.select("doc_id", "n", "node").join(named, "node", "left").select(
@@ -409,8 +423,32 @@ def _named_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, size: int
 
 
 def drop_copies(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with the document of the smallest doc_id of every component. Documents
-    without words, and those of components without an id, stay."""
-    found = group(docs, size, percent)
-    leave = found.where("n_shingles > 0 and doc_id != component_id").select("doc_id").distinct()
-    return docs.join(leave, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` with one row of every component: of those with the smallest doc_id (nulls
+    last) the one with the smallest hash of the text, and of repeated rows one. Rows without
+    words stay."""
+    signed, rooted = _rooted(docs, size, percent)
+    roots = _stored(rooted.select("node", "root"), "near-roots")
+    members = _stored(
+        signed.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_key"), F.col("print").alias("_print"), "node")
+        .join(roots, "node").groupBy("root", "_key", "_print").agg(F.count(F.lit(1)).alias("n")),
+        "near-members",
+    )
+    first = F.min(F.struct((F.col("_key") == NO_ID).alias("no_id"), "_key", "_print")).alias("first")
+    first = _stored(members.groupBy("root").agg(first).select("first._key", "first._print"), "near-first")
+    marked = _stored(
+        members.join(first.withColumn("_first", F.lit(True)), ["_key", "_print"], "left")
+        .where("_first is null or n > 1")
+        .select("_key", "_print", F.coalesce("_first", F.lit(False)).alias("_repeated")),
+        "near-marked",
+    )
+    rows = docs.select(F.struct("*").alias("doc")).select(
+        "doc",
+        F.coalesce(F.col("doc.doc_id").cast("long"), F.lit(NO_ID)).alias("_key"),
+        _print(F.col("doc.text")).alias("_print"),
+    )
+    if marked.where("_repeated").isEmpty():
+        return rows.join(marked, ["_key", "_print"], "left_anti").select("doc.*")
+    rows = rows.join(marked, ["_key", "_print"], "left")
+    one = F.min_by("doc", F.xxhash64(F.to_json("doc"))).alias("doc")
+    repeated = rows.where("_repeated").groupBy("_key", "_print").agg(one)
+    return rows.where("_repeated is null").select("doc.*").union(repeated.select("doc.*"))
