@@ -246,6 +246,57 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged j LEFT JOIN picked p
   ON j.lang IS NOT DISTINCT FROM p.lang AND j.source IS NOT DISTINCT FROM p.source
 """
+def _op12() -> str:
+    """Vectors of 64 components in 8 parts of 8, 16 entries and 6 rounds, written out."""
+    x, c = [f"x{j}" for j in range(8)], [f"c{j}" for j in range(8)]
+    square = " + ".join(f"(x{j} - c{j}) * (x{j} - c{j})" for j in range(8))
+    means = ", ".join(f"floor(sum(x{j}) / count(*))::BIGINT AS m{j}" for j in range(8))
+    moved = ", ".join(f"coalesce(m{j}, c{j}) AS c{j}" for j in range(8))
+    cut = ", ".join(f"units[8 * part + {j + 1}] AS x{j}" for j in range(8))
+
+    def assigned(r: int) -> str:
+        return f"""
+, assigned{r} AS MATERIALIZED (
+  SELECT row_no, part, any_value(label) AS label, any_value(vec_id) AS vec_id,
+    min(d) AS d, arg_min(entry, (d, entry)) AS entry, {", ".join(f"any_value({n}) AS {n}" for n in x)}
+  FROM (SELECT p.*, b.entry, {square} AS d FROM points p JOIN book{r} b USING (part))
+  GROUP BY row_no, part
+)"""
+
+    def book(r: int) -> str:
+        return f"""
+, book{r} AS MATERIALIZED (
+  SELECT part, entry, {moved} FROM book{r - 1} LEFT JOIN (
+    SELECT part, entry, {means} FROM assigned{r - 1} GROUP BY part, entry) USING (part, entry)
+)"""
+
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS row_no,
+    list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS units
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), points AS MATERIALIZED (
+  SELECT row_no, vec_id, label, part, {cut} FROM kept, (SELECT unnest(range(8)) AS part)
+), book0 AS MATERIALIZED (
+  SELECT part, row_no AS entry, {", ".join(f"x{j} AS c{j}" for j in range(8))} FROM points WHERE row_no < 16
+)
+{"".join(assigned(r) + book(r + 1) for r in range(6))}{assigned(6)}
+, codes AS (
+  SELECT row_no, any_value(vec_id) AS vec_id, any_value(label) AS label, sum(d)::BIGINT AS error,
+    string_agg('0' || lower(to_hex(entry)), '' ORDER BY part) AS code
+  FROM assigned6 GROUP BY row_no
+), printed AS (
+  SELECT sha256(string_agg(concat_ws(',', {", ".join(c)}), ',' ORDER BY part, entry)) AS codebooks_sha256
+  FROM book6
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM codes, printed
+"""
+
+
+OP12 = _op12()
 
 ORACLES: dict[str, str] = {
     "op2_warc": OP2,
@@ -254,4 +305,5 @@ ORACLES: dict[str, str] = {
     "op8_mixing": OP8,
     "op9_line_dedup": OP9,
     "op10_quality_rules": OP10,
+    "op12_vector_codes": OP12,
 }

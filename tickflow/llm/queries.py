@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tickflow.llm import chat, quality_classifier, substrings, toxicity, warc
+from tickflow.llm import chat, quality_classifier, substrings, toxicity, vector_codes, warc
 from tickflow.llm.decontaminate import scan
 from tickflow.llm.labels import held_out
 from tickflow.llm.line_dedup import clean
@@ -113,6 +113,17 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    codes, books = vector_codes.encode(table(spark, folder, "embeddings"))
+    return vector_codes.with_label_errors(codes).select(
+        "vec_id",
+        F.lower(F.hex("code")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(vector_codes.fingerprint(books)).alias("codebooks_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_near_dups": op1_near_dups,
     "op2_warc": op2_warc,
@@ -124,4 +135,5 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op12_vector_codes": op12_vector_codes,
 }
