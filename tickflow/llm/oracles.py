@@ -246,6 +246,51 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged j LEFT JOIN picked p
   ON j.lang IS NOT DISTINCT FROM p.lang AND j.source IS NOT DISTINCT FROM p.source
 """
+OP11 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_no, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), said AS (
+  SELECT row_no, lang, source,
+    unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM d
+), kept AS MATERIALIZED (
+  SELECT lang, term, count(*) AS lang_count FROM said
+  GROUP BY lang, term HAVING count(DISTINCT row_no) >= 10
+), sizes AS (
+  SELECT lang, count(*) AS v, sum(lang_count) AS lang_n FROM kept GROUP BY lang
+), groups AS MATERIALIZED (
+  SELECT DISTINCT lang, source FROM d
+), counts AS (
+  SELECT lang, source, term, count(*) AS n FROM said JOIN kept USING (lang, term) GROUP BY ALL
+), every AS (
+  SELECT g.lang, g.source, k.term, k.lang_count, coalesce(c.n, 0) AS n,
+    sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS total
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)
+), priced AS MATERIALIZED (
+  SELECT lang, source, term, n,
+    (1 + 1000000000::HUGEINT * (n + 2) // (total + 2 * v))::HUGEINT AS p,
+    (1 + 1000000000::HUGEINT * (lang_count + 2) // (lang_n + 2 * v))::HUGEINT AS q
+  FROM every JOIN sizes USING (lang)
+), pair_values AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p))::BIGINT AS value
+  FROM priced a JOIN priced b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY ALL
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pair_values v ON v.lang = a.lang AND v.source = a.source AND v.item = b.source
+), terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value
+  FROM priced WHERE n > 0 AND p > q
+)
+SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+QUALIFY part = 'pair' OR rank <= 10
+"""
+
+
 def _op12() -> str:
     """Vectors of 64 components in 8 parts of 8, 16 entries and 6 rounds, written out."""
     x, c = [f"x{j}" for j in range(8)], [f"c{j}" for j in range(8)]
@@ -305,5 +350,6 @@ ORACLES: dict[str, str] = {
     "op8_mixing": OP8,
     "op9_line_dedup": OP9,
     "op10_quality_rules": OP10,
+    "op11_divergence": OP11,
     "op12_vector_codes": OP12,
 }

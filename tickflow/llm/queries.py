@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickflow.llm import chat, quality_classifier, substrings, toxicity, vector_codes, warc
 from tickflow.llm.decontaminate import scan
+from tickflow.llm.divergence import audit
 from tickflow.llm.labels import held_out
 from tickflow.llm.line_dedup import clean
 from tickflow.llm.mixing import mix
@@ -113,6 +114,10 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return audit(table(spark, folder, "documents"))
+
+
 def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     codes, books = vector_codes.encode(table(spark, folder, "embeddings"))
     return vector_codes.with_label_errors(codes).select(
@@ -135,5 +140,6 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_divergence": op11_divergence,
     "op12_vector_codes": op12_vector_codes,
 }
