@@ -343,6 +343,35 @@ FROM codes, printed
 
 OP12 = _op12()
 
+OP13 = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS MATERIALIZED (
+  SELECT row_no, doc_id, CASE WHEN len(w) = 0 THEN []
+    WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2),
+      lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])) END AS s
+  FROM d
+), shingles AS MATERIALIZED (
+  SELECT row_no, len(s) AS n, unnest(s) AS shingle FROM sets
+), links AS MATERIALIZED (
+  SELECT a.row_no AS x, b.row_no AS y FROM shingles a JOIN shingles b USING (shingle)
+  WHERE a.row_no <> b.row_no
+  GROUP BY a.row_no, b.row_no
+  HAVING 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))
+), reached AS (
+  SELECT row_no, row_no AS other FROM sets
+  UNION
+  SELECT row_no, y FROM reached JOIN links ON other = x
+)
+SELECT a.doc_id, len(a.s)::BIGINT AS n_shingles, min(b.doc_id) AS component_id
+FROM reached JOIN sets a ON a.row_no = reached.row_no JOIN sets b ON b.row_no = reached.other
+GROUP BY reached.row_no, a.doc_id, a.s
+"""
+
 ORACLES: dict[str, str] = {
     "op2_warc": OP2,
     "op3_chat": OP3,
@@ -352,4 +381,5 @@ ORACLES: dict[str, str] = {
     "op10_quality_rules": OP10,
     "op11_divergence": OP11,
     "op12_vector_codes": OP12,
+    "op13_ngram_join": OP13,
 }

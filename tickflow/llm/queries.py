@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tickflow.llm import chat, quality_classifier, substrings, toxicity, vector_codes, warc
+from tickflow.llm import chat, ngram_join, quality_classifier, substrings, toxicity, vector_codes, warc
 from tickflow.llm.decontaminate import scan
 from tickflow.llm.divergence import audit
 from tickflow.llm.labels import held_out
@@ -129,6 +129,10 @@ def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.join(table(spark, folder, "documents"), size=4, percent=85)
+
+
 QUERIES: dict[str, Query] = {
     "op1_near_dups": op1_near_dups,
     "op2_warc": op2_warc,
@@ -142,4 +146,5 @@ QUERIES: dict[str, Query] = {
     "op10_quality_rules": op10_quality_rules,
     "op11_divergence": op11_divergence,
     "op12_vector_codes": op12_vector_codes,
+    "op13_ngram_join": op13_ngram_join,
 }
