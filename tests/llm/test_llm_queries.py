@@ -41,6 +41,12 @@ def edges(spark, tmp_path_factory):
     put(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").selectExpr("*", "1 as example"), "conversations")
     labels = [(i, i % 2, int(i > 9)) for i in range(1, 18)] + [(3, None, None), (None, 1, 1), (7, 1, 0)]
     put(spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), "labels")
+    vectors = [(i, [((i * j * 37) % 19 - 9) / 64 for j in range(64)], i % 3) for i in range(40)]
+    vectors += [
+        (40, None, 0), (41, [0.0] * 63 + [None], 0), (42, [float("nan")] * 64, 1), (43, [float("inf")] * 64, 1),
+        (44, [-0.1] * 64, None), (45, [-0.1] * 64, None), (-1, [0.25] * 64, 2),
+    ]
+    put(spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int").selectExpr("*", "1 as error"), "embeddings")
     return folder
 
 
@@ -108,7 +114,7 @@ def test_classifiers_on_awkward_tables(spark, edges, name):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_empty_tables(spark, tables, tmp_path, name):
-    for t in ("documents", "labels", "benchmark", "pages", "conversations"):
+    for t in ("documents", "labels", "benchmark", "pages", "conversations", "embeddings"):
         spark.read.parquet(f"{tables}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     rows = QUERIES[name](spark, str(tmp_path)).collect()
     # Only the planted conversation is left.
