@@ -58,6 +58,7 @@ def _parser() -> argparse.ArgumentParser:
         command.add_argument("--output", required=True)
         command.add_argument("--duration", default="1 minute")
         command.add_argument("--top", type=int, default=5)
+        command.add_argument("--exact", action="store_true", help="sums that do not depend on the order of ticks")
 
     job = commands.add_parser("job", help="rank the markets of every closed window")
     source(job)
@@ -142,6 +143,7 @@ def _config(args: argparse.Namespace) -> JobConfig:
         getattr(args, "checkpoint", ""),
         zone=args.zone,
         duration=args.duration,
+        exact=args.exact,
         top=args.top,
         delay=getattr(args, "delay", "1 second"),
         trigger=getattr(args, "trigger", "1 minute"),

@@ -28,6 +28,8 @@ class JobConfig:
     # Fixed for the life of a checkpoint: it is the number of state partitions.
     # By default that of the session.
     shuffle_partitions: int | None = None
+    # Sums that do not depend on the order of addition. Fixed for the life of a checkpoint.
+    exact: bool = False
 
     def session(self, spark: SparkSession) -> SparkSession:
         """A session for this job; its messages must be read with it."""

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import TimestampNTZType
 
 from tickflow.functions.scalar import event_time, floor_double, notional, wall_clock
+from tickflow.operators.exact import exact_floor_sum
 
 VALUE = "one_m_trade_volume"
 
@@ -59,6 +60,7 @@ def windowed_notional(
     volume: str = "trade_volume",
     keys: Iterable[str | Column] = ("market", "name"),
     duration: str = "1 minute",
+    exact: bool = False,
 ) -> DataFrame:
     """Floor of the summed notional per window and key. Windows are those of the session
     zone's clock; times without a zone have windows of their own clock.
@@ -66,7 +68,9 @@ def windowed_notional(
     Works on tables and on streams that have a watermark on ``time``. Repeated
     snapshots of a quote all count, null products are skipped, and a null key is a
     group like any other. The sum is combined before the shuffle, so what is
-    shuffled grows with the groups, not with the ticks.
+    shuffled grows with the groups, not with the ticks. With ``exact`` the result does not
+    depend on the order of addition (see ``operators.exact``); a group then has ten numbers
+    in place of one until it is finished.
     """
     if isinstance(ticks.select(time).schema[0].dataType, TimestampNTZType):
         window = F.window(time, duration).alias("window")
@@ -74,8 +78,9 @@ def windowed_notional(
         zone = ticks.sparkSession.conf.get("spark.sql.session.timeZone")
         start = window_start(duration, zone)
         window = F.window(time, duration, startTime=start).alias("window")
-    total = F.sum(notional(price, volume))
-    grouped = ticks.groupBy(*keys, window).agg(floor_double(total).alias(VALUE))
+    value = notional(price, volume).cast("double")
+    total = exact_floor_sum(value) if exact else floor_double(F.sum(value))
+    grouped = ticks.groupBy(*keys, window).agg(total.alias(VALUE))
     names = [c for c in grouped.columns if c not in ("window", VALUE)]
     return grouped.select(
         *names,

@@ -177,6 +177,13 @@ ORACLES: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "notional_minute": event_windows("minute"),
     "notional_day": SUPPLIER_DAYS,
+    # Products from 2**10 up are whole multiples of 2**-43: exact as whole numbers of 2**-50.
+    "notional_exact_day": """
+        SELECT l_suppkey AS market, date_trunc('day', l_shipdate) AS window_start,
+               date_trunc('day', l_shipdate) + INTERVAL 1 DAY AS window_end,
+               (sum((l_extendedprice * l_quantity * 1125899906842624.0::DOUBLE)::HUGEINT)
+                // 1125899906842624::HUGEINT)::DOUBLE AS one_m_trade_volume
+        FROM lineitem GROUP BY ALL""",
     "rank_all_day": ranked(SUPPLIER_DAYS, "market"),
     "top5_minute": top5(event_windows("minute")),
     "top5_day": top5(SUPPLIER_DAYS, "market"),

@@ -94,7 +94,7 @@ def event_quotes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def supplier_days(spark: SparkSession, folder: str) -> DataFrame:
+def supplier_days(spark: SparkSession, folder: str, exact: bool = False) -> DataFrame:
     """Notional per supplier and day of ``lineitem``."""
     return windowed_notional(
         table(spark, folder, "lineitem"),
@@ -103,6 +103,7 @@ def supplier_days(spark: SparkSession, folder: str) -> DataFrame:
         volume="l_quantity",
         keys=[F.col("l_suppkey").alias("market")],
         duration="1 day",
+        exact=exact,
     )
 
 
@@ -324,6 +325,11 @@ def notional_day(spark: SparkSession, folder: str) -> DataFrame:
     return supplier_days(spark, folder)
 
 
+def notional_exact_day(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with sums that do not depend on the order of addition."""
+    return supplier_days(spark, folder, exact=True)
+
+
 def rank_all_day(spark: SparkSession, folder: str) -> DataFrame:
     return rank_all(supplier_days(spark, folder), ties=["market"])
 
@@ -628,6 +634,7 @@ QUERIES: dict[str, Query] = {
     "last_by_key": last_per_user,
     "notional_minute": notional_minute,
     "notional_day": notional_day,
+    "notional_exact_day": notional_exact_day,
     "rank_all_day": rank_all_day,
     "top5_minute": top5_minute,
     "top5_day": top5_day,

@@ -32,7 +32,9 @@ def notional_per_window(messages: DataFrame | list[DataFrame], config: JobConfig
     parts = [messages] if isinstance(messages, DataFrame) else messages
     ticks = [decode_ticks(part, config.format) for part in parts]
     timed = [t.withWatermark("event_time", config.delay) if t.isStreaming else t for t in ticks]
-    return windowed_notional(reduce(DataFrame.unionByName, timed), duration=config.duration)
+    return windowed_notional(
+        reduce(DataFrame.unionByName, timed), duration=config.duration, exact=config.exact
+    )
 
 
 def top_markets(messages: DataFrame, config: JobConfig) -> DataFrame:
