@@ -1,0 +1,178 @@
+"""The ranking as a stream of its own, and the state of a job as a table."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+import tickflow.jobs.job as job
+from helpers import land, rows, tick
+from test_stream import KEYS, closed, newest_time, random_minutes
+from tickflow.config import exchange_a
+from tickflow.operators.rank import top_n, top_n_of_stream
+from tickflow.plans.ticks import notional_per_window, top_markets_of_stream
+from tickflow.sources.published import read_day, read_published
+from tickflow.sources.state import open_groups, open_top
+from tickflow.sources.ticks import landed_messages, stored_messages
+
+ONCE = {"availableNow": True}
+
+
+@pytest.fixture
+def place(tmp_path):
+    config = exchange_a(str(tmp_path / "out"), str(tmp_path / "check"), shuffle_partitions=4)
+    return config, str(tmp_path / "land")
+
+
+@pytest.mark.parametrize("salts", [(), (16,), (64, 4)])
+def test_chain_equals_batch_on_closed_windows(seoul, place, salts):
+    config, folder = place
+    batches = list(random_minutes(11, 5))
+    for number, batch in enumerate(batches):
+        land(folder, number, batch)
+    stream = landed_messages(seoul, folder, max_files=1)
+    job.start_chained(stream, config, ONCE, salts).awaitTermination()
+    want = closed(seoul, folder, config, newest_time(batches))
+    published = read_published(seoul, config.output)
+    assert published.count() == 20
+    assert rows(published, *KEYS) == rows(want, *KEYS)
+    assert read_day(seoul, config.output, "2025", "05", "10").count() == 20
+
+
+def test_chain_restarts_from_its_checkpoint(seoul, place):
+    config, folder = place
+    batches = list(random_minutes(12, 6))
+    for number, batch in enumerate(batches):
+        land(folder, number, batch)
+        if number in (1, 2, 5):
+            stream = landed_messages(seoul, folder, max_files=1)
+            job.start_chained(stream, config, ONCE).awaitTermination()
+    before = rows(read_published(seoul, config.output), *KEYS)
+    job.start_chained(landed_messages(seoul, folder), config, ONCE).awaitTermination()
+    assert rows(read_published(seoul, config.output), *KEYS) == before
+    assert before == rows(closed(seoul, folder, config, newest_time(batches)), *KEYS)
+
+
+def test_chain_feeds_any_sink(seoul, place):
+    config, folder = place
+    batches = list(random_minutes(13, 3))
+    for number, batch in enumerate(batches):
+        land(folder, number, batch)
+    result = top_markets_of_stream(landed_messages(seoul, folder), config)
+    query = result.writeStream.format("memory").queryName("chained_top").outputMode("append")
+    query.option("checkpointLocation", config.checkpoint).trigger(**ONCE).start().awaitTermination()
+    want = closed(seoul, folder, config, newest_time(batches))
+    assert rows(seoul.table("chained_top"), *KEYS) == rows(want, *KEYS)
+
+
+@pytest.mark.parametrize("salts", [(), (16,)])
+def test_a_window_of_100_000_groups(seoul, place, tmp_path, salts):
+    config, _ = place
+    folder = str(tmp_path / "many")
+    group = F.col("id") % 100_000
+    messages = seoul.range(200_000).select(
+        F.to_json(
+            F.struct(
+                F.concat(F.lit("KRW-"), group.cast("string")).alias("market"),
+                F.lit("n").alias("name"),
+                # A thousand groups share each value, so ties decide.
+                (group % 100).cast("double").alias("trade_price"),
+                F.lit(1.0).alias("trade_volume"),
+                F.lit(1746854040000).alias("timestamp"),
+            )
+        ).alias("value")
+    )
+    messages.write.text(f"{folder}/first")
+    land(f"{folder}/second", 0, [tick("KRW-Z", 1, at=120_000)])
+    job.start_chained(landed_messages(seoul, folder), config, ONCE, salts).awaitTermination()
+    got = read_published(seoul, config.output)
+    want = top_n(notional_per_window(stored_messages(seoul, f"{folder}/first"), config))
+    names = ["market", "name", "one_m_trade_volume", "row_num"]
+    assert rows(got, *names) == rows(want, *names)
+    assert got.count() == 5
+
+
+def test_ties_nulls_and_odd_numbers_rank_as_in_batch(spark):
+    values = [None, float("nan"), float("inf"), -float("inf"), 0.0, -0.0, 7.0, 7.0, 7.0, -1.0, None]
+    data = [(f"m{i % 4}", None if i % 3 == 0 else f"n{i}", v) for i, v in enumerate(values)]
+    frame = spark.createDataFrame(data, "market string, name string, one_m_trade_volume double")
+    frame = frame.select("market", "name", F.lit("w").alias("window"), "one_m_trade_volume")
+    for n in (1, 5, 20):
+        want = top_n(frame, n, group=["window"])
+        for salts in ((), (1,), (3, 2)):
+            got = top_n_of_stream(frame, n, salts=salts)
+            key = lambda r: (r.row_num, r.market, r.name, str(r.one_m_trade_volume))
+            assert sorted(map(key, got.collect()), key=str) == sorted(map(key, want.collect()), key=str)
+
+
+def test_chain_needs_no_python_worker(seoul, place):
+    config, folder = place
+    land(folder, 0, [tick("KRW-A", 1)])
+    result = top_markets_of_stream(landed_messages(seoul, folder), config)
+    text = result._jdf.queryExecution().analyzed().toString()
+    assert result.isStreaming and "Python" not in text and "EventTimeWatermark" in text
+
+
+# --- open windows ------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("exact", [False, True])
+def test_published_and_open_groups_are_all_groups(spark, tmp_path, exact):
+    config = exchange_a(
+        str(tmp_path / "out"), str(tmp_path / "check"), shuffle_partitions=4, exact=exact, top=10_000
+    )
+    session, folder = config.session(spark), str(tmp_path / "land")
+    batches = list(random_minutes(14, 4))
+    for number, batch in enumerate(batches):
+        land(folder, number, batch)
+    job.run_available(landed_messages(session, folder, max_files=1), config)
+    names = ["market", "name", "window_start", "window_end", "one_m_trade_volume"]
+    published = rows(read_published(session, config.output), *names)
+    still_open = rows(open_groups(spark, config), *names)
+    assert not published.keys() & still_open.keys()
+    assert published + still_open == rows(notional_per_window(stored_messages(session, folder), config), *names)
+    assert open_top(spark, config).select("window_start").distinct().count() == 1
+
+
+def test_open_groups_of_an_earlier_micro_batch(spark, place):
+    config, folder = place
+    session = config.session(spark)
+    for number in range(3):
+        land(folder, number, [tick("KRW-A", 1, at=number)])
+    job.run_available(landed_messages(session, folder, max_files=1), config)
+    values = [open_groups(spark, config, n).first().one_m_trade_volume for n in range(3)]
+    assert values == [1.0, 2.0, 3.0]
+    assert open_groups(spark, config).first().one_m_trade_volume == 3.0
+
+
+def test_open_groups_of_a_chained_job(spark, place):
+    config, folder = place
+    land(folder, 0, [tick("KRW-A", 2), tick("KRW-B", 3, at=120_000)])
+    job.start_chained(landed_messages(config.session(spark), folder), config, ONCE).awaitTermination()
+    assert rows(open_groups(spark, config), "market", "one_m_trade_volume") == {("KRW-B", 3.0): 1}
+
+
+def test_reading_the_state_does_not_disturb_the_job(spark, place):
+    config, folder = place
+    session = config.session(spark)
+    land(folder, 0, [tick("KRW-A", 1)])
+    job.run_available(landed_messages(session, folder), config)
+    assert open_groups(spark, config).count() == 1
+    land(folder, 1, [tick("KRW-A", 1, at=1), tick("KRW-A", 1, at=120_000)])
+    job.run_available(landed_messages(session, folder), config)
+    assert rows(read_published(session, config.output), "one_m_trade_volume") == {(2.0,): 1}
+
+
+def test_a_job_that_never_ran_has_no_open_groups(spark, place):
+    config, _ = place
+    assert open_groups(spark, config).count() == 0
+    assert open_top(spark, config).count() == 0
+
+
+def test_a_null_sum_stays_null(spark, tmp_path):
+    for exact in (False, True):
+        base = tmp_path / str(exact)
+        config = exchange_a(str(base / "out"), str(base / "check"), shuffle_partitions=2, exact=exact)
+        land(str(base / "land"), 0, [tick("KRW-A", None)])
+        job.run_available(landed_messages(config.session(spark), str(base / "land")), config)
+        assert rows(open_groups(spark, config), "market", "one_m_trade_volume") == {("KRW-A", None): 1}

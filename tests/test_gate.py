@@ -1,0 +1,169 @@
+"""Late ticks in a side table."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+
+import tickflow.jobs.gate as gate
+import tickflow.jobs.job as job
+from helpers import MINUTE, land, rows, table_of, tick
+from test_stream import KEYS, random_minutes
+from tickflow.config import exchange_a
+from tickflow.plans.ticks import top_markets
+from tickflow.sources.published import read_published
+from tickflow.sources.ticks import landed_messages, stored_messages
+
+ONCE = {"availableNow": True}
+
+
+@pytest.fixture
+def place(tmp_path):
+    config = exchange_a(str(tmp_path / "out"), str(tmp_path / "check"), shuffle_partitions=4, delay="10 seconds")
+    return config, str(tmp_path / "land"), str(tmp_path / "gate"), str(tmp_path / "gate-check")
+
+
+def run(session, place, max_files=1):
+    config, folder, where, check = place
+    stream = landed_messages(session, folder, max_files=max_files)
+    query = gate.start_gate(stream, config, where, check, ONCE)
+    query.awaitTermination()
+    return query
+
+
+def expected(batches, delay, minute=60_000):
+    """The late and the other ticks of each micro-batch, by the rule."""
+    newest, late, passed = None, [], []
+    for number, batch in enumerate(batches):
+        ticks = [t for t in batch if isinstance(t, dict)]
+        for t in ticks:
+            at = t.get("timestamp")
+            end = None if at is None else at // minute * minute + minute
+            if newest is not None and at is not None and end <= newest - delay:
+                late.append((t["market"], float(t["trade_price"]), number))
+            else:
+                passed.append(t)
+        times = [t["timestamp"] for t in ticks if t.get("timestamp") is not None]
+        newest = max([*times, *([newest] if newest is not None else [])], default=None)
+    return late, passed
+
+
+def disorder(seed, minutes=8, files=6):
+    rng = random.Random(seed)
+    ticks = [m for batch in random_minutes(seed, minutes) for m in batch if isinstance(m, dict)]
+    ticks.sort(key=lambda t: t["timestamp"] + rng.choice([0, 0, 0, 200_000]))
+    size = -(-len(ticks) // files)
+    return [ticks[i : i + size] + ["junk", {"market": "KRW-U", "trade_price": 1.0}] for i in range(0, len(ticks), size)]
+
+
+def test_late_ticks_are_set_apart(seoul, place):
+    config, folder, where, _ = place
+    batches = disorder(3)
+    for number, batch in enumerate(batches):
+        land(folder, number, batch)
+    run(seoul, place)
+    late, passed = expected(batches, 10_000)
+    got = gate.late_ticks(seoul, config, where)
+    assert late
+    assert rows(got, "market", "trade_price", "micro_batch") == rows(
+        seoul.createDataFrame(late, "market string, trade_price double, micro_batch long")
+    )
+    assert got.where("window_end > watermark").count() == 0
+    handed_on = stored_messages(seoul, gate.on_time_folder(where))
+    assert handed_on.count() == len(passed)
+    # As they came, field by field.
+    assert rows(handed_on) == rows(table_of(seoul, passed))
+
+
+def test_the_job_behind_the_gate_drops_nothing(seoul, place):
+    config, folder, where, _ = place
+    batches = disorder(4)
+    for number, batch in enumerate(batches):
+        land(folder, number, batch)
+        if number % 2:
+            # The job lags behind the gate now and then.
+            run(seoul, place)
+            query = job.run_available(landed_messages(seoul, gate.on_time_folder(where)), config)
+            assert job.late_groups(query) == 0
+    _, passed = expected(batches, 10_000)
+    newest = max(t["timestamp"] for t in passed if t.get("timestamp"))
+    want = top_markets(table_of(seoul, passed), config).where(
+        f"window_end <= cast(timestamp_millis({newest - 10_000}) as timestamp_ntz)"
+    )
+    assert rows(read_published(seoul, config.output), *KEYS) == rows(want, *KEYS)
+
+
+@pytest.mark.parametrize("lost", ["publish_to_folder", "put_step"])
+def test_failed_micro_batch_is_judged_the_same_again(seoul, place, monkeypatch, lost):
+    config, folder, where, _ = place
+    batches = disorder(5)
+    for number, batch in enumerate(batches):
+        land(folder, number, batch)
+    kept, calls = getattr(gate, lost), []
+
+    def failing(*args, **options):
+        calls.append(1)
+        if len(calls) == 3:
+            raise RuntimeError("lost on purpose")
+        if len(calls) == 5:
+            kept(*args, **options)
+            raise RuntimeError("lost on purpose")
+        return kept(*args, **options)
+
+    monkeypatch.setattr(gate, lost, failing)
+    for _ in range(2):
+        with pytest.raises(Exception, match="lost on purpose"):
+            run(seoul, place)
+    run(seoul, place)
+    late, passed = expected(batches, 10_000)
+    got = rows(gate.late_ticks(seoul, config, where), "market", "trade_price", "micro_batch")
+    assert got == rows(seoul.createDataFrame(late, "market string, trade_price double, micro_batch long"))
+    assert rows(stored_messages(seoul, gate.on_time_folder(where))) == rows(table_of(seoul, passed))
+
+
+def test_nothing_is_late_before_the_first_time(seoul, place):
+    config, folder, where, _ = place
+    land(folder, 0, ["junk", {"market": "KRW-A"}, {"market": "KRW-A", "timestamp": 2**63 - 1}])
+    land(folder, 1, [tick("KRW-A", 1, at=-10_000_000)])
+    land(folder, 2, [tick("KRW-A", 2, at=-20_000_000)])
+    land(folder, 3, [])
+    run(seoul, place)
+    assert rows(gate.late_ticks(seoul, config, where), "trade_price") == {(2.0,): 1}
+    assert stored_messages(seoul, gate.on_time_folder(where)).count() == 3
+
+
+def test_a_window_that_ends_at_the_watermark_is_closed(seoul, place):
+    config, folder, where, _ = place
+    land(folder, 0, [tick("KRW-A", 1, at=70_000)])
+    land(folder, 1, [tick("KRW-A", 2, at=59_999), tick("KRW-A", 3, at=60_000)])
+    run(seoul, place)
+    late = gate.late_ticks(seoul, config, where).selectExpr(
+        "trade_price", "unix_millis(window_end) as window_end", "unix_millis(watermark) as watermark"
+    )
+    assert rows(late) == {(2.0, MINUTE + 60_000, MINUTE + 60_000): 1}
+
+
+def test_without_late_ticks_there_is_no_side_table(seoul, place):
+    config, folder, where, _ = place
+    assert gate.late_ticks(seoul, config, where).count() == 0
+    land(folder, 0, [tick("KRW-A", 1)])
+    run(seoul, place)
+    assert gate.late_ticks(seoul, config, where).count() == 0
+
+
+def test_only_the_newest_marks_are_kept(seoul, place, tmp_path):
+    import os
+
+    _, folder, where, _ = place
+    for number in range(6):
+        land(folder, number, [tick("KRW-A", 1, at=number)])
+    run(seoul, place)
+    assert len([x for x in os.listdir(f"{where}/marks") if x.startswith("step=")]) == 3
+
+
+def test_gate_in_another_zone_is_refused(spark, place):
+    _, folder, _, _ = place
+    land(folder, 0, [tick("KRW-A", 1)])
+    with pytest.raises(ValueError, match="zone"):
+        run(spark, place)

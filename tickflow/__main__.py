@@ -16,6 +16,7 @@ from tickflow.session import SEOUL, tick_session
 from tickflow.sinks.messages import follow, publish_to_folder, publish_to_topic
 from tickflow.sinks.published import compact_day
 from tickflow.sources.payloads import read_markets, read_payloads, stream_payloads
+from tickflow.sources.state import open_top
 from tickflow.sources.ticks import (
     kafka_messages,
     kafka_options,
@@ -92,6 +93,12 @@ def _parser() -> argparse.ArgumentParser:
     newest.add_argument("--day", help="yyyy-MM-dd; default is today")
     newest.add_argument("--window", action="store_true", help="newest window, not newest file")
 
+    open_ = commands.add_parser("open", help="show the ranking of windows that are still open")
+    open_.add_argument("--exchange", choices=sorted(EXCHANGES), required=True)
+    open_.add_argument("--checkpoint", required=True)
+    open_.add_argument("--top", type=int, default=5)
+    open_.add_argument("--exact", action="store_true", help="if the job has it")
+
     compact = commands.add_parser("compact", help="one file for a finished day")
     compact.add_argument("--output", required=True)
     compact.add_argument("--day", required=True, help="yyyy-MM-dd")
@@ -202,6 +209,9 @@ def main(argv: list[str] | None = None) -> None:
         _polled(spark, args)
     elif args.command == "pushed":
         _pushed(spark, args)
+    elif args.command == "open":
+        config = EXCHANGES[args.exchange]("", args.checkpoint, zone=args.zone, top=args.top, exact=args.exact)
+        _print(open_top(spark, config).orderBy("window_start", "row_num"))
     elif args.command == "compact":
         year, month, day = args.day.split("-")
         compact_day(spark, args.output, Row(year=year, month=month, day=day), f"day-{args.day}")

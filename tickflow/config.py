@@ -35,12 +35,15 @@ class JobConfig:
         """A session for this job; its messages must be read with it."""
         return tick_session(spark, self.zone, self.shuffle_partitions)
 
-    def check(self, spark: SparkSession) -> None:
-        """Refuse a session in another zone, which would publish under the wrong days, or
-        one that keeps its state on the heap."""
+    def check_zone(self, spark: SparkSession) -> None:
+        """Refuse a session in another zone, which would publish under the wrong days."""
         zone = spark.conf.get("spark.sql.session.timeZone")
         if zone != self.zone:
             raise ValueError(f"job {self.name} is in zone {self.zone}, its session in {zone}")
+
+    def check(self, spark: SparkSession) -> None:
+        """Refuse a session in another zone, or one that keeps its state on the heap."""
+        self.check_zone(spark)
         store = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
         if store != STATE_STORE:
             raise ValueError(f"job {self.name} needs its state in {STATE_STORE}, not {store}")

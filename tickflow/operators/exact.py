@@ -36,25 +36,41 @@ def _limbs(value: Column) -> list[Column]:
     return [((inside % (2.0 ** (low + LIMB_BITS))) / 2.0**low).cast("long") for low in _LIMBS]
 
 
-def exact_floor_sum(value: Column) -> Column:
-    """The floor of the exact sum of a group's doubles, as a double; an aggregate.
-
-    Nulls are skipped; a group of nulls is null. From ``2**53`` on it is the double nearest
-    to the exact sum's floor."""
+def put_together(beyond: Column, plain: Column, limbs: list[Column]) -> Column:
+    """The floor of a sum from the sums of its limbs (lowest first), the plain sum, and
+    whether some value was beyond the grid."""
     # Carries go up; shifts round down, so what the fraction passes on makes the floor.
-    sums = [F.sum(limb) for limb in _limbs(value)]
-    totals = sums[:1]
-    for limb in sums[1:]:
+    totals = limbs[:1]
+    for limb in limbs[1:]:
         totals.append(limb + F.shiftright(totals[-1], LIMB_BITS))
     digits = [total.bitwiseAND(F.lit(_MASK).cast("long")) for total in totals[-LOWEST // LIMB_BITS : -1]]
     top = totals[-1]
     whole = top.cast("decimal(17,0)") * F.lit(Decimal(1 << (HIGHEST - LIMB_BITS)))
     for place, digit in enumerate(digits):
         whole = whole + digit.cast("decimal(8,0)") * F.lit(Decimal(1 << (place * LIMB_BITS)))
-    plain = F.sum(value)
-    beyond = F.max(~(F.abs(value) < 2.0**HIGHEST))
     return (
         F.when(beyond, floor_double(plain))
         .when(F.abs(top) < _TOP, whole.cast("double"))
         .otherwise(floor_double(plain))
     )
+
+
+def exact_floor_sum(value: Column) -> Column:
+    """The floor of the exact sum of a group's doubles, as a double; an aggregate.
+
+    Nulls are skipped; a group of nulls is null. From ``2**53`` on it is the double nearest
+    to the exact sum's floor."""
+    beyond = F.max(~(F.abs(value) < 2.0**HIGHEST))
+    return put_together(beyond, F.sum(value), [F.sum(limb) for limb in _limbs(value)])
+
+
+# What Spark keeps of an unfinished group: the aggregates in the order in which
+# ``put_together`` names them, the highest limb first.
+STATE = "beyond boolean, plain double, " + ", ".join(f"limb{i} long" for i in reversed(range(len(_LIMBS))))
+
+
+def unfinished(state: str) -> Column:
+    """The floor of the sum so far from a column of Spark's state."""
+    named = F.col(state).cast(f"struct<{STATE.replace(' ', ':').replace(',:', ',')}>")
+    limbs = [named[f"limb{i}"] for i in range(len(_LIMBS))]
+    return put_together(named["beyond"], named["plain"], limbs)

@@ -53,7 +53,15 @@ def window_start(duration: str, zone: str) -> str:
     return f"{starts.pop()} seconds"
 
 
-def windowed_notional(
+def tick_window(ticks: DataFrame, time: str, duration: str) -> Column:
+    """The window of every tick; none without a time."""
+    if isinstance(ticks.select(time).schema[0].dataType, TimestampNTZType):
+        return F.window(time, duration)
+    zone = ticks.sparkSession.conf.get("spark.sql.session.timeZone")
+    return F.window(time, duration, startTime=window_start(duration, zone))
+
+
+def window_groups(
     ticks: DataFrame,
     time: str = "event_time",
     price: str = "trade_price",
@@ -62,29 +70,36 @@ def windowed_notional(
     duration: str = "1 minute",
     exact: bool = False,
 ) -> DataFrame:
-    """Floor of the summed notional per window and key. Windows are those of the session
-    zone's clock; times without a zone have windows of their own clock.
-
-    Works on tables and on streams that have a watermark on ``time``. Repeated
-    snapshots of a quote all count, null products are skipped, and a null key is a
-    group like any other. The sum is combined before the shuffle, so what is
-    shuffled grows with the groups, not with the ticks. With ``exact`` the result does not
-    depend on the order of addition (see ``operators.exact``); a group then has ten numbers
-    in place of one until it is finished.
+    """Floor of the summed notional per window and key: the keys, ``window`` and the value.
+    Windows are those of the session zone's clock; times without a zone have windows of
+    their own clock.
+
+    Works on tables and on streams that have a watermark on ``time``; ``window`` carries it
+    on, so further aggregates can follow. Repeated snapshots of a quote all count, null
+    products are skipped, and a null key is a group like any other. The sum is combined
+    before the shuffle, so what is shuffled grows with the groups, not with the ticks. With
+    ``exact`` the result does not depend on the order of addition (see ``operators.exact``);
+    a group then has ten numbers in place of one until it is finished.
     """
-    if isinstance(ticks.select(time).schema[0].dataType, TimestampNTZType):
-        window = F.window(time, duration).alias("window")
-    else:
-        zone = ticks.sparkSession.conf.get("spark.sql.session.timeZone")
-        start = window_start(duration, zone)
-        window = F.window(time, duration, startTime=start).alias("window")
+    window = tick_window(ticks, time, duration).alias("window")
     value = notional(price, volume).cast("double")
     total = exact_floor_sum(value) if exact else floor_double(F.sum(value))
-    grouped = ticks.groupBy(*keys, window).agg(total.alias(VALUE))
-    names = [c for c in grouped.columns if c not in ("window", VALUE)]
-    return grouped.select(
-        *names,
+    return ticks.groupBy(*keys, window).agg(total.alias(VALUE))
+
+
+def window_clock(groups: DataFrame) -> DataFrame:
+    """The groups with ``window`` as zone-less ``window_start`` and ``window_end``, before
+    the value and what stands behind it."""
+    at = groups.columns.index(VALUE)
+    before, after = groups.columns[:at], groups.columns[at:]
+    return groups.select(
+        *[c for c in before if c != "window"],
         wall_clock(F.col("window.start")).alias("window_start"),
         wall_clock(F.col("window.end")).alias("window_end"),
-        VALUE,
+        *[c for c in after if c != "window"],
     )
+
+
+def windowed_notional(ticks: DataFrame, *args, **options) -> DataFrame:
+    """``window_groups`` with the bounds of the windows as zone-less times."""
+    return window_clock(window_groups(ticks, *args, **options))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickflow.operators.notional import VALUE
 from tickflow.scratch import new_folder
@@ -79,3 +79,45 @@ def rank_all(
     )
     numbered = placed.join(offsets, [*group, "_slice"])
     return numbered.select(*rows.columns, (F.col("_at") + F.col("_shift")).alias("row_num"))
+
+
+def _first_rows(columns: list[str], n: int, value: str, ties: list[str]) -> Column:
+    """The ``n`` first rows of a group in the order of ``top_n``, as an array; an aggregate."""
+    order = F.struct(
+        F.col(value).isNull().alias("none"),
+        # Not a number is the largest value there is, also for ``top_n``.
+        (~F.isnan(value)).alias("number"),
+        (-F.col(value)).alias("size"),
+        *[F.col(t).alias(f"tie{i}") for i, t in enumerate(ties)],
+        F.struct(*columns).alias("row"),
+    )
+    first = F.slice(F.array_sort(F.collect_list(order)), 1, n)
+    return F.transform(first, lambda r: r.row)
+
+
+def top_n_of_stream(
+    groups: DataFrame,
+    n: int = 5,
+    value: str = VALUE,
+    ties: Iterable[str] = TIES,
+    salts: Iterable[int] = (16,),
+) -> DataFrame:
+    """``top_n`` as a stream: the ``n`` largest rows of every closed window with their rank.
+
+    ``groups`` come from a windowed aggregate in append mode, with its ``window``. What comes
+    out is a stream again, for any sink, and holds final results only. It takes one more
+    stateful aggregate, which would gather a whole window into one row; so each of ``salts``
+    cuts it down first: the rows left are dealt by a hash of ``ties`` over so many shares of
+    the window, and every share keeps ``n``. With shares for all but a few thousand rows,
+    e.g. ``(4096, 64)`` for windows of ten million groups, no row of state holds more than
+    that. Works on tables as well.
+    """
+    ties = list(ties)
+    columns = [c for c in groups.columns if c != "window"]
+    for number in salts:
+        share = F.pmod(F.xxhash64(*ties), F.lit(number)).alias("_share")
+        cut = groups.groupBy("window", share).agg(_first_rows(columns, n, value, ties).alias("_rows"))
+        groups = cut.select("window", F.inline("_rows"))
+    first = groups.groupBy("window").agg(_first_rows(columns, n, value, ties).alias("_rows"))
+    ranked = first.select("window", F.posexplode("_rows").alias("_at", "_row"))
+    return ranked.select("window", "_row.*", (F.col("_at") + 1).cast("bigint").alias("row_num"))

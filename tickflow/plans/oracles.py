@@ -214,6 +214,25 @@ ORACLES: dict[str, str] = {
                strftime(ts, '%d') AS day
         FROM events""",
     "stream_top5_day": closed("day"),
+    "stream_top5_chained_day": closed("day"),
+    "stream_open_window_day": f"""
+        SELECT * FROM ({event_windows("day", market="'KRW-' || user_id")})
+        WHERE window_end > (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 SECOND FROM events)""",
+    "stream_late_ticks": f"""
+        WITH landed AS (
+          SELECT *, event_id % 4 AS landing, date_trunc('millisecond', ts) AS event_time,
+                 date_trunc('day', ts) + INTERVAL 1 DAY AS window_end
+          FROM events
+        ), landings AS (
+          SELECT landing, max(event_time) AS newest FROM landed GROUP BY landing
+        ), watermarks AS (
+          SELECT l.landing, max(before.newest) - INTERVAL 1 SECOND AS watermark
+          FROM landings l JOIN landings before ON before.landing < l.landing GROUP BY l.landing
+        )
+        SELECT 'KRW-' || user_id AS market, event_type AS name, value AS trade_price,
+               CAST({K} AS DOUBLE) AS trade_volume, landing AS micro_batch, event_time,
+               window_end, watermark
+        FROM landed JOIN watermarks USING (landing) WHERE window_end <= watermark""",
     "stream_resumed_top5_minute": closed("minute"),
     "polled_unchanged": odd_quotes("JOIN"),
     "pushed_unchanged": odd_quotes("LEFT JOIN"),

@@ -50,13 +50,18 @@ from tickflow.sinks.published import (
 )
 from tickflow.sources.payloads import read_markets
 from tickflow.sources.published import read_day, read_published
+from tickflow.sources.state import open_groups
 from tickflow.sources.ticks import landed_messages, stored_messages
-from tickflow.jobs.job import run_available
+from tickflow.jobs.gate import late_ticks, start_gate
+from tickflow.jobs.job import run_available, start_chained
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 PROPS = struct("k long")
 
+# A continuous query that works off what is there and stops.
+ONCE = {"availableNow": True}
+
 # Even the smallest test tables take the shuffled path.
 SPLIT = {"max_rows": 0}
 
@@ -559,6 +564,40 @@ def stream_top5_day(spark: SparkSession, folder: str) -> DataFrame:
     return read_published(spark, config.output)
 
 
+def stream_top5_chained_day(spark: SparkSession, folder: str) -> DataFrame:
+    """The ranking as a stream of its own, into Spark's file sink."""
+    config = _stream_config(spark, "1 day")
+    session = config.session(spark)
+    landing = new_folder(spark, "landing")
+    publish_to_folder(event_quotes(session, folder), landing, POLLED.needed)
+    start_chained(landed_messages(session, landing), config, ONCE).awaitTermination()
+    return read_published(spark, config.output)
+
+
+def stream_open_window_day(spark: SparkSession, folder: str) -> DataFrame:
+    """What the job still holds of the window that it cannot publish yet."""
+    config = _stream_config(spark, "1 day")
+    session = config.session(spark)
+    landing = new_folder(spark, "landing")
+    publish_to_folder(event_quotes(session, folder), landing, POLLED.needed)
+    run_available(landed_messages(session, landing), config)
+    return open_groups(spark, config)
+
+
+def stream_late_ticks(spark: SparkSession, folder: str) -> DataFrame:
+    """Every fourth event lands, then the next fourth, and so on: what came too late."""
+    config = _stream_config(spark, "1 day")
+    session = config.session(spark)
+    landing, gate, check = (new_folder(spark, name) for name in ("landing", "gate", "checkpoint"))
+    quotes = event_quotes(session, folder)
+    for fourth in range(4):
+        publish_to_folder(quotes.where(F.col("event_id") % 4 == fourth), landing, POLLED.needed)
+        start_gate(landed_messages(session, landing), config, gate, check, ONCE).awaitTermination()
+    late = late_ticks(spark, config, gate)
+    times = [wall_clock(F.col(c)).alias(c) for c in ("event_time", "window_end", "watermark")]
+    return late.select("market", "name", "trade_price", "trade_volume", "micro_batch", *times)
+
+
 def stream_resumed_top5_minute(spark: SparkSession, folder: str) -> DataFrame:
     """The same job in minutes, stopped half-way and resumed from its checkpoint."""
     config = _stream_config(spark, "1 minute")
@@ -604,9 +643,8 @@ def stream_publish_mixed(spark: SparkSession, folder: str) -> DataFrame:
     odd = F.col("event_id") % 2 == 1
     publish_to_folder(quotes.where(odd), first, POLLED.needed)
     publish_to_folder(quotes.where(~odd), landing, POLLED.needed)
-    once = {"availableNow": True}
     stream_to_folder(
-        landed_messages(spark, first), landing, new_folder(spark, "checkpoint"), trigger=once, text="value"
+        landed_messages(spark, first), landing, new_folder(spark, "checkpoint"), trigger=ONCE, text="value"
     ).awaitTermination()
     return decode_json(stored_messages(spark, landing), TICKS_A, POLLED.needed)
 
@@ -648,6 +686,9 @@ QUERIES: dict[str, Query] = {
     "newest_file": newest_file_rows,
     "success_markers": success_markers,
     "stream_top5_day": stream_top5_day,
+    "stream_top5_chained_day": stream_top5_chained_day,
+    "stream_open_window_day": stream_open_window_day,
+    "stream_late_ticks": stream_late_ticks,
     "stream_resumed_top5_minute": stream_resumed_top5_minute,
     "polled_unchanged": polled_unchanged,
     "pushed_unchanged": pushed_unchanged,

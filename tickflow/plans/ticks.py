@@ -2,29 +2,33 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame
 
 from tickflow.config import JobConfig
 from tickflow.functions.codec import decode_json
-from tickflow.operators.notional import windowed_notional, with_event_time
-from tickflow.operators.rank import top_n
+from tickflow.operators.notional import window_clock, window_groups, with_event_time
+from tickflow.operators.rank import top_n, top_n_of_stream
 from tickflow.schemas import TickFormat
 from tickflow.sinks.published import publish_result, result_columns
 
 
-def decode_ticks(messages: DataFrame, format: TickFormat, all_columns: bool = False) -> DataFrame:
+def decode_ticks(
+    messages: DataFrame, format: TickFormat, all_columns: bool = False, keep: Iterable[str] = ()
+) -> DataFrame:
     """Ticks with their event time and the market code as ``market``.
 
-    Only the columns the result needs are decoded unless ``all_columns`` is set.
+    Only the columns the result needs are decoded unless ``all_columns`` is set; ``keep``
+    carries other columns of ``messages`` along.
     """
-    ticks = decode_json(messages, format.schema, None if all_columns else format.needed)
+    ticks = decode_json(messages, format.schema, None if all_columns else format.needed, keep=keep)
     return with_event_time(ticks).withColumnRenamed(format.market, "market")
 
 
-def notional_per_window(messages: DataFrame | list[DataFrame], config: JobConfig) -> DataFrame:
-    """Notional per market and window of a table or a stream of messages.
+def groups_per_window(messages: DataFrame | list[DataFrame], config: JobConfig) -> DataFrame:
+    """Notional per market and ``window`` of a table or a stream of messages.
 
     Several streams, e.g. one per topic partition, each have their own watermark, and
     a window closes when the slowest of them has passed it.
@@ -32,11 +36,24 @@ def notional_per_window(messages: DataFrame | list[DataFrame], config: JobConfig
     parts = [messages] if isinstance(messages, DataFrame) else messages
     ticks = [decode_ticks(part, config.format) for part in parts]
     timed = [t.withWatermark("event_time", config.delay) if t.isStreaming else t for t in ticks]
-    return windowed_notional(
+    return window_groups(
         reduce(DataFrame.unionByName, timed), duration=config.duration, exact=config.exact
     )
 
 
+def notional_per_window(messages: DataFrame | list[DataFrame], config: JobConfig) -> DataFrame:
+    """``groups_per_window`` with zone-less window bounds."""
+    return window_clock(groups_per_window(messages, config))
+
+
+def top_markets_of_stream(
+    messages: DataFrame | list[DataFrame], config: JobConfig, salts: Iterable[int] = (16,)
+) -> DataFrame:
+    """The result as a stream of its own, for any sink (see ``top_n_of_stream``)."""
+    top = top_n_of_stream(groups_per_window(messages, config), config.top, salts=salts)
+    return result_columns(window_clock(top))
+
+
 def top_markets(messages: DataFrame, config: JobConfig) -> DataFrame:
     """The result for a bounded table of messages."""
     return result_columns(top_n(notional_per_window(messages, config), config.top))

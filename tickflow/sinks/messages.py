@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame
 
 from tickflow.functions.codec import encode_json
+from tickflow.sinks.steps import complete
 from tickflow.sources.ticks import KAFKA
 
 _QUERY_ID = "sql.streaming.queryId"
@@ -59,18 +60,28 @@ def publish_to_folder(
     columns: Iterable[str] | None = None,
     text: str | None = None,
     batch: str | None = None,
+    at_once: bool = False,
 ) -> None:
     """Add a bounded set of rows to a landing folder, one message per line.
 
     ``text`` names a column that holds the messages already. A ``batch`` that was written
-    before is left as it is; without a name every call is a batch of its own.
+    before is left as it is; without a name every call is a batch of its own. With
+    ``at_once`` all of its files appear together, by one rename: readers skip it until then.
     """
     spark = rows.sparkSession
-    target = f"{folder}/batch={batch or uuid.uuid4().hex}"
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/_SUCCESS")
-    if marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker):
+    name = batch or uuid.uuid4().hex
+    target = f"{folder}/batch={name}"
+    if complete(spark, target):
         return
-    _texts(rows, columns, text).write.mode("overwrite").text(target)
+    texts = _texts(rows, columns, text).write.mode("overwrite")
+    if not at_once:
+        texts.text(target)
+        return
+    texts.text(f"{folder}/_batch={name}")
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    waiting, done = path_of(f"{folder}/_batch={name}"), path_of(target)
+    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).rename(waiting, done):
+        raise RuntimeError(f"{folder}: could not put batch {name} in its place")
 
 
 def follow(stream: DataFrame, publish: Publish, checkpoint: str, trigger: dict | None = None):

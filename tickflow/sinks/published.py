@@ -28,6 +28,11 @@ def result_columns(ranked: DataFrame) -> DataFrame:
     return ranked.select(*RESULT.names, *date_keys("window_start"))
 
 
+def write_options(writer):
+    """A batch or stream writer with the options of result files."""
+    return writer.option("ignoreNullFields", "false").option("timestampNTZFormat", LOCAL_TIME)
+
+
 def write_published(result: DataFrame, root: str, batch: str, tasks: int | None = None) -> None:
     """Write a result as ``batch``, replacing an earlier attempt of that batch.
 
@@ -37,14 +42,12 @@ def write_published(result: DataFrame, root: str, batch: str, tasks: int | None
     merge small days into one task that then creates all their files in turn.
     """
     tasks = tasks or int(result.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    gathered = result.repartition(tasks, *PARTITIONS.names).withColumn("batch", F.lit(batch))
     (
-        result.repartition(tasks, *PARTITIONS.names)
-        .withColumn("batch", F.lit(batch))
-        .write.format("json")
+        write_options(gathered.write)
+        .format("json")
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .option("ignoreNullFields", "false")
-        .option("timestampNTZFormat", LOCAL_TIME)
         .partitionBy(*PARTITIONS.names, "batch")
         .save(root)
     )
@@ -121,8 +124,7 @@ def compact_day(spark: SparkSession, root: str, day: Row, batch: str) -> None:
     waiting, done = path_of(f"{folder}/_{batch}"), path_of(f"{folder}/batch={batch}")
     if not store.exists(path_of(f"{folder}/_{batch}/{MARKER}")):
         rows = read_day(spark, root, *day).select(*RESULT.names).coalesce(1)
-        writer = rows.write.mode("overwrite").option("ignoreNullFields", "false")
-        writer.option("timestampNTZFormat", LOCAL_TIME).json(f"{folder}/_{batch}")
+        write_options(rows.write).mode("overwrite").json(f"{folder}/_{batch}")
     old = [status.getPath() for status in store.globStatus(path_of(f"{folder}/batch=*")) or []]
     for path in old:
         store.delete(path, True)
