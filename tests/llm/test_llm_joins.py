@@ -277,29 +277,26 @@ def test_prefixes_grow_where_shingles_are_frequent():
 
 
 def test_lists_across_batches():
-    """The same rows in one batch and one by one."""
+    """The same rows in one batch and in small ones, with copies of a class from two tasks."""
     rng = random.Random(2)
-    rows = sorted(
-        (key, rng.randrange(20, 60) << 32 | rng.randrange(5) << 4 | 1, rng.randrange(1000))
+    rows = [
+        (key, ngram_join._place(rng.randrange(5), rng.randrange(20, 60), 1), rng.randrange(1000))
         for key in range(40) for _ in range(rng.choice([1, 1, 2, 5]))
-    )
+    ]
+    rows = sorted(rows + rows[::3])
     key, place, node = (np.array(x, np.int64) for x in zip(*rows, strict=True))
 
     def run(step):
-        out, rest, first, joined_ = [], None, None, False
+        out, state = [], None
         for i in range(0, len(key), step):
-            part = [x[i : i + step] for x in (key, node, place)]
-            if rest is not None:
-                part = [np.concatenate(x) for x in zip(rest, part, strict=True)]
-            found, first, joined_ = ngram_join._met(*part, first, joined_, 85)
+            found, state = ngram_join._met(tuple(x[i : i + step] for x in (key, node, place)), state, 85)
             out += found.to_pylist() if found is not None else []
-            rest = [x[-1:] for x in part]
-        if joined_:
-            out += ngram_join._list_rows(*rest, np.array([first[2]]), np.array([first[3]])).to_pylist()
+        if state.joined:
+            out += ngram_join._list_rows(*state.row, np.array([state.first]), np.array([state.known])).to_pylist()
         return out
 
     whole = run(len(key))
-    sizes = Counter(key.tolist())
+    sizes = Counter(k for k, _, _ in set(rows))
     assert len(whole) == sum(n for n in sizes.values() if n > 1)
     assert run(1) == run(3) == whole
 
@@ -314,7 +311,7 @@ def test_frequency_classes_ignore_chance():
 def test_pairs_in_blocks_meet_once(spark, monkeypatch):
     """Every pair of a long list comes out once per list, whatever the blocks."""
     monkeypatch.setattr(ngram_join, "BLOCK", 7)
-    rows = [(key, node, node, 100 << 32 | 1, 0) for key in (1, 2) for node in range(30)]
+    rows = [(key, node, node, ngram_join._place(0, 100, 1), 0) for key in (1, 2) for node in range(30)]
     frame = spark.createDataFrame(
         [(k, n, p, place, side) for k, n, p, place, side in rows], "group long, node long, part long, place long, side int"
     )

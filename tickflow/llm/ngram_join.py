@@ -13,31 +13,34 @@ link when ``100 * intersection >= percent * union``.
    prefix and lengthens it while the estimated cost of sending longer prefixes and of the
    candidates that are left, each of which must then share ``l`` of them, goes down. A pair
    with ``l`` and ``m`` must share at least the smaller of both.
-3. Equal sets are one class, and only classes go on. Postings (shingle, class) of the
-   prefixes meet by shingle; a list of one is dropped where it is found. Each class of a list
-   is first compared with the list's first one of about its size, so what comes out grows
-   with the postings. Candidates are checked on their prefixes, then on full sets, and the
-   links make components.
-4. In lists that still hold several components, all pairs of classes of different components
-   are looked at, in blocks of ``BLOCK`` that are spread over the tasks: sizes and positions
-   must allow the link, and the pair must meet in as many lists as it has to share prefix
-   shingles. Those are checked on full sets in turn. So no pair of different texts is
+3. Equal sets are one class: a task sends the prefix of a class once. Postings (shingle,
+   class) meet by shingle; a list of one is dropped where it is found. Each class of a list
+   is first compared with the list's hub, the class that has the shingle nearest to its
+   front: it has the fewest shingles that others lack. What comes out grows with the
+   postings.
+4. The prefixes of a pair meet at its hub, or at one of several places of a hub with many
+   partners. Pairs that share enough of them meet there again with their full sets, made
+   anew from the texts. The links make components.
+5. In lists that still hold several components, all pairs of classes of different components
+   are looked at, in blocks of ``BLOCK`` that are spread over the tasks: sizes must allow the
+   link, and the shingle must stand early enough in both to be the first of all that they
+   must have in common. Such pairs are checked in turn. So no pair of different texts is
    dropped, however long the list.
 
-Shingles are told apart by 64-bit hashes, in prefixes by 56 bits of them; links are decided
-on the former. Null doc_ids stay rows of their own; a component is named by its smallest
+Shingles are told apart by their class and 56 bits of a hash. Null doc_ids stay rows of their own; a component is named by its smallest
 doc_id (null if it has none). Repeated rows are copies. An empty table gives an empty
 result. Only doc_id and text are read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tickflow.llm.components import components
 from tickflow.llm.near_dups import sets, shingles
@@ -52,8 +55,10 @@ STEPS = np.array([1, 2, 3, 4, 6, 8])
 # Costs: of a posting, and of checking a candidate (plus one for so many shingles).
 POSTING, CHECK, CHECK_SHINGLES = 1.0, 4.0, 32.0
 BLOCK = 256
-# At most this many ids (8 bytes each) are broadcast to pick out documents.
-BROADCAST_ROWS = 1_000_000
+# So many partners of a hub are checked in one place.
+PARTNERS = 256
+# At most this many classes to be checked (some 50 bytes each) are broadcast to the texts.
+BROADCAST_ROWS = 500_000
 NO_ID = -(2**63)
 
 _LOW = np.uint64((1 << 56) - 1)
@@ -142,21 +147,25 @@ def prefix(ordered: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
     return head[: lengths[best]], int(steps[best])
 
 
+def _ordered(h: np.ndarray, of_slot: np.ndarray) -> np.ndarray:
+    """A set of hashes in the one order of all sets."""
+    out = (of_slot[_slot(h)].astype(np.uint64) << np.uint64(56)) | (h & _LOW)
+    out.sort()
+    return out
+
+
 def _signed(docs: DataFrame, size: int, percent: int, classes: Broadcast) -> DataFrame:
     """doc_id, n (shingles), node (the set's name, null if empty), its prefix and ``need``."""
 
     def work(batch: pa.RecordBatch) -> list[pa.Array]:
         n, node, heads, need = [], [], [], []
-        of_slot = classes.value
         for _, each, names in sets(batch.column("text"), size):
             for h, name in zip(each, names.view(np.int64).tolist(), strict=True):
                 n.append(len(h))
                 if not len(h):
                     node.append(None), heads.append(None), need.append(None)
                     continue
-                ordered = (of_slot[_slot(h)].astype(np.uint64) << np.uint64(56)) | (h & _LOW)
-                ordered.sort()
-                head, steps = prefix(ordered, percent)
+                head, steps = prefix(_ordered(h, classes.value), percent)
                 node.append(name), heads.append(head.tobytes()), need.append(steps)
         kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int32())
         return [pa.array(x, kind) for x, kind in zip((n, node, heads, need), kinds, strict=True)]
@@ -168,69 +177,89 @@ def _signed(docs: DataFrame, size: int, percent: int, classes: Broadcast) -> Dat
 # --- lists -------------------------------------------------------------------------
 
 
-def _postings(classes: DataFrame) -> DataFrame:
-    """A row for every shingle of every prefix. ``place`` holds the size of the set, the
-    shingle's place in the order and ``need``."""
+# A posting's ``place``: the shingle's position in the order, the size of the set and ``need``.
+_AT, _SIZE, _NEED = 35, 4, 15
+
+
+def _place(at: np.ndarray, n: np.ndarray, need: np.ndarray) -> np.ndarray:
+    return at << _AT | n << _SIZE | need
+
+
+def _at(place: np.ndarray) -> np.ndarray:
+    return place >> _AT
+
+
+def _sizes(place: np.ndarray) -> np.ndarray:
+    return (place >> _SIZE) & ((1 << (_AT - _SIZE)) - 1)
+
+
+def _postings(signed: DataFrame) -> DataFrame:
+    """A row for every shingle of the prefixes of a task's classes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            heads = [np.frombuffer(x, np.int64) for x in batch.column("head").to_pylist()]
-            if not heads:
+            new = []
+            for i, name in enumerate(batch.column("node").to_pylist()):
+                if name not in seen:
+                    seen.add(name)
+                    new.append(i)
+            if not new:
                 continue
+            rows = batch.take(pa.array(new))
+            heads = [np.frombuffer(x, np.int64) for x in rows.column("head").to_pylist()]
             lengths = np.array([len(h) for h in heads])
-            starts = np.cumsum(lengths) - lengths
-            n, need, node = (batch.column(c).to_numpy() for c in ("n", "need", "node"))
-            at = np.arange(lengths.sum()) - np.repeat(starts, lengths)
-            place = np.repeat((n << 32) | need, lengths) | (at << 4)
+            at = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            n, need, node = (np.repeat(rows.column(c).to_numpy(), lengths) for c in ("n", "need", "node"))
+            key, place = np.concatenate(heads), _place(at, n, need)
             for a in range(0, len(at), 1 << 16):
-                rows = slice(a, a + (1 << 16))
-                if a == 0:
-                    key, own = np.concatenate(heads), np.repeat(node, lengths)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[rows]), pa.array(own[rows]), pa.array(place[rows])], ["key", "node", "place"]
-                )
+                columns = [pa.array(x[a : a + (1 << 16)]) for x in (key, node, place)]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "node", "place"])
 
-    return classes.select("node", "n", "head", "need").mapInArrow(run, "key long, node long, place long")
+    rows = signed.where("node is not null").select("node", "n", "head", "need")
+    return rows.mapInArrow(run, "key long, node long, place long")
 
 
-def _sizes(place: np.ndarray) -> np.ndarray:
-    return place >> 32
+def _may_start(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether a shingle in these places can be the first that two linked sets share: sizes
+    must be near, and enough must follow in both."""
+    n, m = _sizes(a), _sizes(b)
+    near = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+    return near & (np.minimum(n - _at(a), m - _at(b)) >= needed_common(n, m, percent))
 
 
-def _may_link(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sets of these sizes can be similar enough."""
-    return 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
+Row = tuple[np.ndarray, np.ndarray, np.ndarray]  # key, node, place
 
 
 def _lists(postings: DataFrame, percent: int) -> DataFrame:
-    """The postings of lists of two and more, with the class each is compared with first:
-    the first one of a run of about equal sizes, or the last one of the run before."""
+    """The postings of lists of two and more classes, each class once, with the class it is
+    compared with first: the list's hub, or else the class before it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # The row at hand and the first of its run stay behind for the next batch.
-        rest: list[np.ndarray] | None = None
-        first = None  # (node, size) of the run that ``rest`` belongs to
-        joined = False  # whether ``rest`` is in a list with rows that are out already
+        state: _Open | None = None
         for batch in batches:
-            if not len(batch):
-                continue
-            key, node, place = (batch.column(c).to_numpy() for c in ("key", "node", "place"))
-            if rest is not None:
-                key, node, place = (np.concatenate(x) for x in zip(rest, (key, node, place), strict=True))
-            out, first, joined = _met(key, node, place, first, joined, percent)
-            rest = [key[-1:], node[-1:], place[-1:]]
-            if out is not None:
-                yield out
-        if rest is not None:
-            # A last row is no list unless its list has begun.
-            key, node, place = rest
-            if joined:
-                yield _list_rows(key, node, place, np.array([first[2]]), np.array([first[3]]))
+            if len(batch):
+                out, state = _met(tuple(batch.column(c).to_numpy() for c in ("key", "node", "place")), state, percent)
+                if out is not None:
+                    yield out
+        if state is not None and state.joined:
+            yield _list_rows(*state.row, np.array([state.first]), np.array([state.known]))
 
     laid = postings.repartition("key").sortWithinPartitions("key", "place", "node")
     return laid.mapInArrow(run, "key long, node long, place long, first long")
 
 
+@dataclass
+class _Open:
+    """The last row of a batch, which waits for the next one, and its list so far."""
+
+    row: Row
+    hub: tuple[int, int]  # node and place
+    first: int
+    known: bool
+    joined: bool  # whether the list has other rows
+
+
 def _list_rows(key, node, place, first, known) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(key), pa.array(node), pa.array(place), pa.array(first, mask=~known)],
@@ -238,68 +267,57 @@ def _list_rows(key, node, place, first, known) -> pa.RecordBatch:
     )
 
 
-def _met(key, node, place, first, joined, percent):
-    """The rows but the last, of lists of two and more, and the state for the next batch:
-    (node and size of the run's first row, the last row's partner and whether it has one)."""
-    n = _sizes(place)
-    size = len(key)
-    same = np.zeros(size, bool)
+def _met(rows: Row, state: _Open | None, percent: int) -> tuple[pa.RecordBatch | None, _Open]:
+    """The rows but the last of lists of two and more, and the state for the next batch."""
+    if state is not None:
+        rows = tuple(np.concatenate(x) for x in zip(state.row, rows, strict=True))
+    key, node, place = rows
+    # Copies of a class from several tasks stand together.
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+    key, node, place = key[new], node[new], place[new]
+    count = len(key)
+    same = np.zeros(count, bool)
     same[1:] = key[1:] == key[:-1]
-    # Runs: sizes up to 1 / percent of the run's first are together.
-    run = np.floor(np.log(n) / -np.log(percent / 100.0)).astype(np.int64) if percent < 100 else n
-    begins = ~same
-    begins[1:] |= run[1:] != run[:-1]
-    if first is not None:
-        begins[0] = False
-    head = np.maximum.accumulate(np.where(begins, np.arange(size), 0))
-    head_node, head_n = node[head], n[head]
-    if first is not None:
-        upto = int(np.argmax(begins)) if begins.any() else size
-        head_node[:upto], head_n[:upto] = first[0], first[1]
-    partner, partner_n = head_node.copy(), head_n.copy()
-    other_run = begins & same
-    at = np.flatnonzero(other_run)
-    partner[at], partner_n[at] = node[at - 1], n[at - 1]
-    known = (same & (partner != node)) & _may_link(partner_n, n, percent)
-    if first is not None:
-        partner[0], known[0] = first[2], first[3]
-    follows = np.zeros(size, bool)
-    follows[:-1] = same[1:]
+    begin = np.maximum.accumulate(np.where(same, 0, np.arange(count)))
+    hub, hub_place = node[begin], place[begin]
+    if state is not None:
+        upto = count if same[1:].all() else 1 + int(np.argmin(same[1:]))
+        hub[:upto], hub_place[:upto] = state.hub
+    first, first_place = hub.copy(), hub_place.copy()
+    other = np.flatnonzero(same & ~_may_start(hub_place, place, percent))
+    first[other], first_place[other] = node[other - 1], place[other - 1]
+    known = same & (first != node) & _may_start(first_place, place, percent)
     here = same.copy()
-    if first is not None:
-        here[0] = joined
+    if state is not None:
+        first[0], known[0], here[0] = state.first, state.known, state.joined
+    follows = np.zeros(count, bool)
+    follows[:-1] = same[1:]
     emit = (here | follows)[:-1]
-    state = (int(head_node[-1]), int(head_n[-1]), int(partner[-1]), bool(known[-1]))
-    out = None
-    if emit.any():
-        out = _list_rows(*[x[:-1][emit] for x in (key, node, place, partner, known)])
-    return out, state, bool(here[-1])
+    out = _list_rows(*[x[:-1][emit] for x in (key, node, place, first, known)]) if emit.any() else None
+    last = (key[-1:], node[-1:], place[-1:])
+    hub_of_last = (int(hub[-1]), int(hub_place[-1]))
+    return out, _Open(last, hub_of_last, int(first[-1]), bool(known[-1]), bool(here[-1]))
 
 
 def _cross(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that may link, once for every list they meet in, with
-    the number of lists they must meet in. ``rows``: group (a list, or two blocks of one),
-    side, node, place, part."""
+    """Pairs a < b of different components that may link. ``rows``: group (a list, or two
+    blocks of one), side, node, place, part.
+
+    Linked sets have a first shared shingle, which leaves room for all that they must have in
+    common; so a pair comes out of the lists where sizes and positions leave it."""
 
-    def pairs(node, place, part, side) -> list[np.ndarray]:
+    def pairs(node, place, part, side) -> tuple[np.ndarray, np.ndarray]:
         x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         if not len(y):
             y = x
-        n, at, need = _sizes(place), (place >> 4) & ((1 << 28) - 1), place & 15
         a, b = np.nonzero(part[x][:, None] != part[y][None, :])
         a, b = x[a], y[b]
         if y is x:
-            keep = a < b
-            a, b = a[keep], b[keep]
-        common = needed_common(n[a], n[b], percent)
-        least = np.minimum(need[a], need[b])
-        # The first ``least`` shared shingles stand this early in both, and what follows the
-        # later of both must be enough.
-        early = (at[a] <= n[a] - common + least - 1) & (at[b] <= n[b] - common + least - 1)
-        enough = np.minimum(at[a], at[b]) + np.minimum(n[a] - at[a], n[b] - at[b]) >= common
-        keep = early & enough & _may_link(n[a], n[b], percent)
-        a, b, least = a[keep], b[keep], least[keep]
-        return [np.minimum(node[a], node[b]), np.maximum(node[a], node[b]), least]
+            a, b = a[a < b], b[a < b]
+        keep = _may_start(place[a], place[b], percent)
+        a, b = node[a[keep]], node[b[keep]]
+        return np.minimum(a, b), np.maximum(a, b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
@@ -307,7 +325,7 @@ def _cross(rows: DataFrame, percent: int) -> DataFrame:
         def done() -> Iterator[pa.RecordBatch]:
             found = pairs(*[np.concatenate(x) for x in zip(*[h[1:] for h in held], strict=True)])
             for i in range(0, len(found[0]), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(x[i : i + (1 << 16)]) for x in found], ["a", "b", "least"])
+                yield pa.RecordBatch.from_arrays([pa.array(x[i : i + (1 << 16)]) for x in found], ["a", "b"])
 
         for batch in batches:
             if not len(batch):
@@ -324,7 +342,7 @@ def _cross(rows: DataFrame, percent: int) -> DataFrame:
             yield from done()
 
     laid = rows.repartition("group").sortWithinPartitions("group", "side", "node")
-    return laid.mapInArrow(run, "a long, b long, least long")
+    return laid.mapInArrow(run, "a long, b long")
 
 
 # --- confirmation ------------------------------------------------------------------
@@ -336,62 +354,93 @@ def _shared(x: np.ndarray, y: np.ndarray) -> int:
     return int((both[1:] == both[:-1]).sum())
 
 
-def _checked(pairs: DataFrame, held: DataFrame, test) -> DataFrame:
-    """The pairs a, b that pass ``test(row of a, row of b)``; ``held`` has a row per node with
-    further columns."""
-    names = [c for c in held.columns if c != "node"]
-    sides = [held.withColumnsRenamed({"node": s} | {c: f"{c}_{s}" for c in names}) for s in ("a", "b")]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = (zip(*[batch.column(f"{c}_{s}").to_pylist() for c in names], strict=True) for s in ("a", "b"))
-            keep = [test(x, y) for x, y in zip(a, b, strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    met = pairs.join(sides[0], "a").join(sides[1], "b")
-    return met.select("a", "b", *sides[0].columns[1:], *sides[1].columns[1:]).mapInArrow(run, "a long, b long")
-
+def prefixes_share_enough(x: np.ndarray, y: np.ndarray, facts: tuple[tuple[int, int], ...], percent: int) -> bool:
+    """Whether two prefixes share as many shingles as linked sets would; ``facts`` are size
+    and ``need`` of both. Prefixes are longer than these two sizes ask for, so more must be
+    shared than ``need``."""
+    (n, need), (m, other) = facts
+    common = int(needed_common(np.int64(n), np.int64(m), percent))
+    least = common + min(need - least_common(n, percent), other - least_common(m, percent))
+    return _shared(x[: n - common + least], y[: m - common + least]) >= least
 
-def _share_enough(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs that share as many prefix shingles as the less demanding of both asks for."""
 
-    def test(x: tuple, y: tuple) -> bool:
-        return _shared(np.frombuffer(x[0], np.uint64), np.frombuffer(y[0], np.uint64)) >= min(x[1], y[1])
+def sets_link(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    common = _shared(x, y)
+    return 100 * common >= percent * (len(x) + len(y) - common)
 
-    return _checked(pairs, classes.select("node", "head", "need"), test)
 
+Send = Callable[[DataFrame], DataFrame]
 
-def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
 
-    def test(x: tuple, y: tuple) -> bool:
-        p, q = np.frombuffer(x[0], np.uint64), np.frombuffer(y[0], np.uint64)
-        common = _shared(p, q)
-        return 100 * common >= percent * (len(p) + len(q) - common)
+def _compared(pairs: DataFrame, classes: DataFrame, send: Send, test: Callable[..., bool]) -> DataFrame:
+    """The pairs (hub, node) that pass ``test(array, other, facts)``.
 
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    needed = _stored(classes.select("node", "doc").join(nodes, "node"), "ngram-needed")
-    return _checked(pairs, _stored(_full_sets(docs, needed, size), "ngram-sets"), test)
-
-
-def _full_sets(docs: DataFrame, needed: DataFrame, size: int) -> DataFrame:
-    """node and its sorted 64-bit hashes, of the classes in ``needed`` (node, doc)."""
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    ids = needed.select(F.coalesce("doc", F.lit(NO_ID)).alias("key")).distinct()
-    n = ids.limit(BROADCAST_ROWS + 1).count()
-    texts = docs.select(key.alias("key"), F.col("text").cast("string").alias("text"))
-    texts = texts.join(F.broadcast(ids) if n <= BROADCAST_ROWS else ids, "key", "left_semi")
+    ``send`` adds the column ``held`` to rows of classes with places to go to. A class goes to
+    every place where it is compared; a hub has one place for ``PARTNERS`` partners."""
+    sizes = pairs.groupBy("hub").agg(F.count(F.lit(1)).alias("n"))
+    sizes = _stored(sizes.select("hub", F.ceil(F.col("n") / F.lit(float(PARTNERS))).alias("places")), "ngram-hubs")
+    place = F.xxhash64("hub", F.pmod(F.xxhash64("node"), F.col("places"))).alias("place")
+    partners = pairs.join(sizes, "hub").select("node", F.struct(place, F.lit(1).alias("side")).alias("to"))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("places") - 1))
+    hubs = sizes.select("hub", every.alias("i")).select(
+        F.col("hub").alias("node"),
+        F.struct(F.xxhash64("hub", F.col("i")).alias("place"), F.lit(0).alias("side")).alias("to"),
+    )
+    to = partners.union(hubs).groupBy("node").agg(F.collect_list("to").alias("to"))
+    wanted = _stored(to.join(classes, "node"), "ngram-sent")
+    few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    rows = send(F.broadcast(wanted) if few else wanted).select("node", "n", "need", "held", F.explode("to").alias("to"))
+    rows = rows.select("to.place", "to.side", "node", "n", "need", "held")
 
-    def work(batch: pa.RecordBatch) -> list[pa.Array]:
-        node, made = [], []
-        for _, each, names in sets(batch.column("text"), size):
-            node += names.view(np.int64).tolist()
-            made += [h.tobytes() for h in each]
-        return [pa.array(node, pa.int64()), pa.array(made, pa.binary())]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, hub, of_hub, held = None, None, None, None
+        for batch in batches:
+            a, b = [], []
+            columns = ("place", "side", "node", "n", "need", "held")
+            for place, side, node, n, need, raw in zip(*[batch.column(c).to_pylist() for c in columns], strict=True):
+                if side == 0:
+                    at, hub, of_hub, held = place, node, (n, need), np.frombuffer(raw, np.uint64)
+                elif place == at and test(held, np.frombuffer(raw, np.uint64), (of_hub, (n, need))):
+                    a.append(hub), b.append(node)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["hub", "node"])
+
+    laid = rows.repartition("place").sortWithinPartitions("place", "side", "node")
+    return laid.mapInArrow(run, "hub long, node long")
+
+
+def _linked(
+    pairs: DataFrame, docs: DataFrame, signed: DataFrame, classes: DataFrame, of_slot: Broadcast, size: int, percent: int
+) -> DataFrame:
+    """The pairs (hub, node) whose sets link, as edges a, b: those whose prefixes share enough
+    are compared in full, for which their texts are read once more."""
+
+    def heads(wanted: DataFrame) -> DataFrame:
+        own = signed.select("node", F.col("doc_id").alias("doc"), F.col("head").alias("held"))
+        same = own.node.eqNullSafe(wanted.node) & own.doc.eqNullSafe(wanted.doc)
+        return wanted.join(own, same).select(wanted.node, "n", "need", "to", "held")
+
+    def full(wanted: DataFrame) -> DataFrame:
+        key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+        texts = docs.select(key.alias("key"), F.col("text").cast("string").alias("text"))
+        wanted = wanted.select(F.coalesce("doc", F.lit(NO_ID)).alias("key"), "node", "n", "need", "to")
+
+        def work(batch: pa.RecordBatch) -> list[pa.Array]:
+            named, made = [], []
+            for _, each, names in sets(batch.column("text"), size):
+                named += names.view(np.int64).tolist()
+                made += [_ordered(h, of_slot.value).tobytes() for h in each]
+            return [pa.array(named, pa.int64()), pa.array(made, pa.binary())]
+
+        # Rows of the same id may have other sets.
+        found = over_batches(
+            texts.join(wanted, "key"), lambda: work, ["node", "n", "need", "to"], "named long, held binary"
+        )
+        return found.where("named = node")
 
-    found = over_batches(texts, lambda: work, [], "node long, set binary")
-    # Rows of the same id may have other sets; copies have the same one.
-    return found.join(needed.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    likely = _compared(pairs, classes, heads, lambda x, y, facts: prefixes_share_enough(x, y, facts, percent))
+    likely = _stored(likely.distinct(), "ngram-likely")
+    found = _compared(likely, classes, full, lambda x, y, facts: sets_link(x, y, percent))
+    return found.select(F.col("hub").alias("a"), F.col("node").alias("b"))
 
 
 def _stored(frame: DataFrame, purpose: str) -> DataFrame:
@@ -403,14 +452,18 @@ def _stored(frame: DataFrame, purpose: str) -> DataFrame:
 # --- the join ----------------------------------------------------------------------
 
 
-def _components(spark: SparkSession, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
-    """node and root of every class that is not its component's root."""
-    lists = _stored(_lists(_postings(classes), percent), "ngram-lists")
-    pairs = lists.where("first is not null").select(
-        F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b")
-    )
-    likely = _stored(_share_enough(_stored(pairs.distinct(), "ngram-pairs"), classes), "ngram-likely")
-    found = _stored(components(_linked(likely, docs, classes, size, percent)), "ngram-components")
+def _components(docs: DataFrame, signed: DataFrame, of_slot: Broadcast, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The classes (node, doc, n, need), and node and root of all but the components' roots."""
+    classes = _stored(
+        signed.where("node is not null").groupBy("node").agg(
+            F.min("doc_id").alias("doc"), F.min("n").alias("n"), F.min("need").alias("need")
+        ),
+        "ngram-classes",
+    )
+    lists = _stored(_lists(_postings(signed), percent), "ngram-lists")
+    pairs = lists.where("first is not null").select("node", F.col("first").alias("hub")).distinct()
+    pairs = _stored(pairs, "ngram-pairs")
+    found = _stored(components(_linked(pairs, docs, signed, classes, of_slot, size, percent)), "ngram-components")
 
     # Lists of several components, in blocks.
     named = lists.join(found, "node", "left").select(
@@ -432,29 +485,22 @@ def _components(spark: SparkSession, docs: DataFrame, classes: DataFrame, size:
             (F.col("block") > F.col("other")).cast("int").alias("side"), "node", "place", "part",
         )
     )
-    met = _cross(rows, percent).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min("least").alias("least"))
-    more = met.where("n >= least").select("a", "b").join(likely, ["a", "b"], "left_anti")
+    more = _cross(rows, percent).distinct().select(F.col("a").alias("hub"), F.col("b").alias("node"))
     more = _stored(more, "ngram-pairs")
     if more.isEmpty():
-        return found
-    links = _linked(more, docs, classes, size, percent)
-    return components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links))
+        return classes, found
+    edges = _linked(more, docs, signed, classes, of_slot, size, percent)
+    return classes, components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(edges))
 
 
 def join(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, ``n_shingles`` and ``component_id`` of every row of ``docs``."""
     spark = docs.sparkSession
     texts = docs.select(F.col("text").cast("string").alias("text"))
-    classes_of = spark.sparkContext.broadcast(frequency_classes(_counts(texts, size)))
-    signed = _stored(_signed(docs, size, percent, classes_of), "ngram-signed")
-    classes = _stored(
-        signed.where("node is not null").groupBy("node").agg(
-            F.min("doc_id").alias("doc"), F.min("n").alias("n"), F.min("head").alias("head"),
-            F.min("need").alias("need"),
-        ),
-        "ngram-classes",
-    )
-    found = _stored(_components(spark, docs, classes, size, percent), "ngram-components")
+    of_slot = spark.sparkContext.broadcast(frequency_classes(_counts(texts, size)))
+    signed = _stored(_signed(docs, size, percent, of_slot), "ngram-signed")
+    classes, found = _components(docs, signed, of_slot, size, percent)
+    found = _stored(found, "ngram-components")
     rooted = classes.select("node", "doc").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = rooted.groupBy("root").agg(F.min("doc").alias("component_id"))
     named = _stored(rooted.join(names, "root").select("node", "component_id"), "ngram-names")
