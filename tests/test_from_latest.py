@@ -1,0 +1,104 @@
+"""Landing folders that are followed from their newest file on."""
+
+from __future__ import annotations
+
+import pytest
+
+import tickflow.jobs.job as job
+import tickflow.sources.ticks as ticks
+from helpers import land, rows, tick
+from tickflow.config import exchange_a
+from tickflow.sources.published import read_published
+from tickflow.sources.state import open_groups
+from tickflow.sources.ticks import landed_messages
+
+
+@pytest.fixture
+def place(tmp_path):
+    config = exchange_a(str(tmp_path / "out"), str(tmp_path / "check"), shuffle_partitions=2)
+    return config, str(tmp_path / "land")
+
+
+def run(session, place, **options):
+    config, folder = place
+    stream = landed_messages(session, folder, latest_for=config.checkpoint, **options)
+    return job.run_available(stream, config)
+
+
+@pytest.mark.parametrize("named", [5_000, 0], ids=["filter", "join"])
+def test_files_of_the_first_start_do_not_count(spark, place, monkeypatch, named):
+    monkeypatch.setattr(ticks, "_NAMED_FILES", named)
+    config, folder = place
+    session = config.session(spark)
+    for number in range(3):
+        land(folder, number, [tick("KRW-A", 100)])
+    run(session, place)
+    assert open_groups(spark, config).count() == 0
+    land(folder, 3, [tick("KRW-A", 1)])
+    land(f"{folder}/deeper", 4, [tick("KRW-A", 2)])
+    run(session, place)
+    assert rows(open_groups(spark, config), "one_m_trade_volume") == {(3.0,): 1}
+    # Files that came since the first start are not left out after a restart.
+    land(folder, 5, [tick("KRW-A", 4)])
+    run(session, place, max_files=1)
+    run(session, place)
+    assert rows(open_groups(spark, config), "one_m_trade_volume") == {(7.0,): 1}
+
+
+def test_an_old_file_that_lands_late_counts(spark, place):
+    """What decides is whether a file was there, not how old it is."""
+    config, folder = place
+    session = config.session(spark)
+    land(folder, 50, [tick("KRW-A", 100)])
+    run(session, place)
+    land(folder, 1, [tick("KRW-A", 1)])
+    run(session, place)
+    assert rows(open_groups(spark, config), "one_m_trade_volume") == {(1.0,): 1}
+
+
+def test_odd_file_names(spark, place):
+    config, folder = place
+    session, odd = config.session(spark), f"{folder}/a b=%20é"
+    land(odd, 0, [tick("KRW-A", 100)])
+    run(session, place)
+    land(odd, 1, [tick("KRW-A", 1)])
+    run(session, place)
+    assert rows(open_groups(spark, config), "one_m_trade_volume") == {(1.0,): 1}
+
+
+def test_a_job_that_ran_before_leaves_nothing_out(spark, place):
+    config, folder = place
+    session = config.session(spark)
+    land(folder, 0, [tick("KRW-A", 1)])
+    job.run_available(landed_messages(session, folder), config)
+    land(folder, 1, [tick("KRW-A", 2)])
+    run(session, place)
+    assert rows(open_groups(spark, config), "one_m_trade_volume") == {(3.0,): 1}
+
+
+def test_files_left_out_are_not_opened(spark, place):
+    """Broken files would fail if they were."""
+    config, folder = place
+    session = config.session(spark)
+    land(folder, 0, [tick("KRW-A", 100)])
+    with open(f"{folder}/broken.json.gz", "wb") as out:
+        out.write(b"no gzip at all")
+    run(session, place)
+    land(folder, 1, [tick("KRW-A", 1), tick("KRW-A", 1, at=120_000)])
+    run(session, place)
+    assert rows(read_published(session, config.output), "one_m_trade_volume") == {(1.0,): 1}
+
+
+def test_two_queries_have_their_own_first_start(spark, place, tmp_path):
+    config, folder = place
+    session = config.session(spark)
+    land(folder, 0, [tick("KRW-A", 1)])
+    run(session, place)
+    land(folder, 1, [tick("KRW-A", 2)])
+    other = exchange_a(str(tmp_path / "out2"), str(tmp_path / "check2"), shuffle_partitions=2)
+    run(session, (other, folder))
+    land(folder, 2, [tick("KRW-A", 4)])
+    run(session, place)
+    run(session, (other, folder))
+    assert rows(open_groups(spark, config), "one_m_trade_volume") == {(6.0,): 1}
+    assert rows(open_groups(spark, other), "one_m_trade_volume") == {(4.0,): 1}

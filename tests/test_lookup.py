@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from helpers import rows
 from tickflow.operators.lookup import fits_broadcast, lookup_join
+from tickflow.plans.queries import QUERIES
+from tickflow.session import tick_session
 
 
 @pytest.fixture(scope="module")
@@ -90,3 +92,92 @@ def test_a_crowded_key_is_split_over_tasks(spark, names, tmp_path):
         for key in settings:
             spark.conf.unset(key)
     assert tasks > 1
+
+
+# --- fewer facts to shuffle --------------------------------------------------------
+
+
+def nodes(plan):
+    """All nodes of a finished adaptive plan."""
+    name = plan.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        yield from nodes(plan.executedPlan())
+        return
+    yield name, plan
+    if name.endswith("QueryStageExec"):
+        yield from nodes(plan.plan())
+    children = plan.children()
+    for i in range(children.size()):
+        yield from nodes(children.apply(i))
+
+
+def shuffled_rows(frame) -> list[int]:
+    """Rows written by each shuffle of the executed frame, largest first."""
+    plan = frame._jdf.queryExecution().executedPlan()
+    found = {}
+    for name, node in nodes(plan):
+        if name == "ShuffleExchangeExec":
+            found[node.id()] = node.metrics().apply("shuffleRecordsWritten").value()
+    return sorted(found.values(), reverse=True)
+
+
+@pytest.fixture(scope="module")
+def large(spark):
+    """A session in which no side counts as small."""
+    session = tick_session(spark, "UTC", 4)
+    session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    return session
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """Many facts of 20,000 keys, some without; the lookup side has every fortieth key."""
+    folder = str(tmp_path_factory.mktemp("facts") / "table")
+    key = F.when(F.col("id") % 50 == 0, None).otherwise(F.col("id") * 7919 % 20_000)
+    spark.range(200_000).select(key.alias("k"), "id").write.parquet(folder)
+    names = spark.range(0, 20_000, 40).select(F.col("id").alias("k"), F.lit("n").alias("name"))
+    return folder, names
+
+
+@pytest.mark.parametrize("how, falls", [("inner", True), ("left_semi", True), ("left", False), ("left_anti", False)])
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_facts_without_a_partner_are_not_shuffled(large, stored, how, falls, kind):
+    folder, names = stored
+    cast = F.col("k").cast(kind).alias("k")
+    facts = large.read.parquet(folder).select(cast, "id")
+    got = lookup_join(facts, names.select(cast, "name"), "k", how, max_rows=0)
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    assert ("might_contain" in text) == falls
+    want = facts.join(names.select(cast, "name"), "k", how)
+    assert rows(got) == rows(want, *got.columns)
+    matching = facts.join(names.select(cast), "k", "left_semi").count()
+    moved = shuffled_rows(got)[0]
+    if falls:
+        assert matching <= moved <= matching + 0.02 * 200_000
+    else:
+        assert moved == 200_000
+
+
+def test_the_filter_is_below_the_exchange(large, stored):
+    folder, names = stored
+    got = lookup_join(large.read.parquet(folder), names, "k", "inner", max_rows=0)
+    text = got._jdf.queryExecution().executedPlan().toString()
+    facts_side = text[: text.index("might_contain")]
+    assert "Exchange hashpartitioning(k" in facts_side
+    # The range of the keys reaches the scan.
+    assert "GreaterThanOrEqual(k,0)" in text and "LessThanOrEqual(k,19960)" in text
+
+
+def test_registered_query_shuffles_what_matches(spark, large, tables):
+    got = QUERIES["join_quotes_split"](large, tables)
+    assert "might_contain" in got._jdf.queryExecution().optimizedPlan().toString()
+    n = len(got.collect())
+    facts = spark.read.parquet(f"{tables}/lineitem.parquet").count()
+    assert n <= shuffled_rows(got)[0] <= n + 0.02 * facts
+
+
+def test_an_empty_lookup_side(spark, stored):
+    folder, names = stored
+    facts = spark.read.parquet(folder)
+    for how, n in (("inner", 0), ("left_semi", 0), ("left_anti", 200_000), ("left", 200_000)):
+        assert lookup_join(facts, names.where("false"), "k", how, max_rows=-1).count() == n

@@ -24,6 +24,7 @@ from tickflow.sources.ticks import (
     stored_messages,
     topic_partitions,
 )
+from tickflow.jobs.gate import late_ticks, start_gate
 from tickflow.jobs.job import run_available, start_job
 
 EXCHANGES = {"a": exchange_a, "b": exchange_b}
@@ -38,6 +39,9 @@ def _parser() -> argparse.ArgumentParser:
     def source(command: argparse.ArgumentParser) -> None:
         command.add_argument("--folder", help="landing folder of the messages")
         command.add_argument("--max-files", type=int, help="files per micro-batch")
+        command.add_argument(
+            "--from-latest", action="store_true", help="leave out files that are there at the first start"
+        )
         command.add_argument("--servers", help="brokers, if messages come from a topic")
         command.add_argument("--topic")
         command.add_argument("--group")
@@ -70,6 +74,20 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--trigger", default="1 minute")
     job.add_argument("--once", action="store_true", help="work off what is there and stop")
 
+    gate = commands.add_parser("gate", help="set ticks apart whose window is closed, before the job")
+    source(gate)
+    gate.add_argument("--exchange", choices=sorted(EXCHANGES), required=True)
+    gate.add_argument("--duration", default="1 minute", help="that of the job")
+    gate.add_argument("--delay", default="1 second", help="that of the job")
+    gate.add_argument("--trigger", default="1 minute")
+    gate.add_argument("--checkpoint", required=True)
+    gate.add_argument("--gate", required=True, help="folder; the job reads its on-time folder")
+    gate.add_argument("--once", action="store_true", help="work off what is there and stop")
+
+    late = commands.add_parser("late", help="show the ticks that a gate has set apart")
+    late.add_argument("--exchange", choices=sorted(EXCHANGES), required=True)
+    late.add_argument("--gate", required=True)
+
     stored = commands.add_parser("backfill", help="the same for stored messages")
     stored.add_argument("--folder", required=True)
     windows(stored)
@@ -116,7 +134,8 @@ def _stream(
     spark: SparkSession, args: argparse.Namespace, partition: int | None = None
 ) -> DataFrame:
     if args.folder:
-        return landed_messages(spark, args.folder, args.max_files)
+        first = args.checkpoint if args.from_latest else None
+        return landed_messages(spark, args.folder, args.max_files, latest_for=first)
     options = kafka_options(
         args.servers,
         args.topic,
@@ -145,17 +164,9 @@ def _job(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _config(args: argparse.Namespace) -> JobConfig:
-    return EXCHANGES[args.exchange](
-        args.output,
-        getattr(args, "checkpoint", ""),
-        zone=args.zone,
-        duration=args.duration,
-        exact=args.exact,
-        top=args.top,
-        delay=getattr(args, "delay", "1 second"),
-        trigger=getattr(args, "trigger", "1 minute"),
-        shuffle_partitions=args.shuffle_partitions,
-    )
+    names = ("zone", "duration", "exact", "top", "delay", "trigger", "shuffle_partitions")
+    given = {name: getattr(args, name) for name in names if hasattr(args, name)}
+    return EXCHANGES[args.exchange](getattr(args, "output", ""), getattr(args, "checkpoint", ""), **given)
 
 
 def _send(messages: DataFrame, args: argparse.Namespace, batch: str | None = None) -> None:
@@ -204,14 +215,19 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "job":
         _job(spark, args)
     elif args.command == "backfill":
-        backfill(stored_messages(spark, args.folder), _config(args), args.batch)
+        counts = backfill(stored_messages(spark, args.folder), _config(args), args.batch)
+        print(", ".join(f"{name}: {n}" for name, n in counts.items()))
     elif args.command == "polled":
         _polled(spark, args)
     elif args.command == "pushed":
         _pushed(spark, args)
+    elif args.command == "gate":
+        once = {"availableNow": True} if args.once else None
+        start_gate(_stream(spark, args), _config(args), args.gate, args.checkpoint, once).awaitTermination()
+    elif args.command == "late":
+        _print(late_ticks(spark, _config(args), args.gate))
     elif args.command == "open":
-        config = EXCHANGES[args.exchange]("", args.checkpoint, zone=args.zone, top=args.top, exact=args.exact)
-        _print(open_top(spark, config).orderBy("window_start", "row_num"))
+        _print(open_top(spark, _config(args)).orderBy("window_start", "row_num"))
     elif args.command == "compact":
         year, month, day = args.day.split("-")
         compact_day(spark, args.output, Row(year=year, month=month, day=day), f"day-{args.day}")

@@ -19,6 +19,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from tickflow.functions.accounting import Account
+
 _CORRUPT = "_corrupt"
 # Lenient about fields, strict about what JSON is.
 _LENIENT = {
@@ -47,18 +49,24 @@ def decode_json(
     columns: Iterable[str] | None = None,
     value: str = "value",
     keep: Iterable[str] = (),
+    account: Account | None = None,
 ) -> DataFrame:
     """Decode one JSON object per message into the columns of ``schema``.
 
     ``columns`` narrows the decoded fields (Spark does not narrow a lenient
-    ``from_json`` by itself); ``keep`` carries other columns of ``messages`` along.
+    ``from_json`` by itself); ``keep`` carries other columns of ``messages`` along;
+    ``account`` counts what is left out.
     """
     wanted = None if columns is None else set(columns)
     fields = [f for f in schema.fields if wanted is None or f.name in wanted]
     text = StructType(_as_text(fields) + [StructField(_CORRUPT, StringType())])
     keep = list(keep)
     filled = F.when(F.col(value).rlike(r"\S"), F.array(F.from_json(value, text, _LENIENT)))
+    if account is not None:
+        messages = account.read(messages)
     parsed = messages.select(*keep, F.inline(filled))
+    if account is not None:
+        parsed = account.parsed(parsed, fields, _CORRUPT)
     return parsed.where(F.col(_CORRUPT).isNull()).select(*keep, *_typed(fields))
 
 

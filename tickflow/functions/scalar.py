@@ -11,14 +11,15 @@ _WHOLE_FROM = float(2**53)
 _MAX_MILLIS = (2**63 - 1) // 1000
 
 
-def event_time(millis: str) -> Column:
+def event_time(millis: str | Column) -> Column:
     """Epoch milliseconds to a zoned timestamp.
 
     A number that no timestamp can hold gives null; failing on it would let one bad
     message stop a continuous job for good.
     """
-    fits = F.col(millis).between(-_MAX_MILLIS, _MAX_MILLIS)
-    return F.when(fits, F.timestamp_millis(F.col(millis)))
+    millis = F.col(millis) if isinstance(millis, str) else millis
+    fits = millis.between(-_MAX_MILLIS, _MAX_MILLIS)
+    return F.when(fits, F.timestamp_millis(millis))
 
 
 def notional(price: str, volume: str) -> Column:

@@ -17,14 +17,49 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 
 from tickflow.config import JobConfig
+from tickflow.functions.accounting import Account
 from tickflow.operators.rank import top_n
-from tickflow.plans.ticks import notional_per_window, top_markets_of_stream
+from tickflow.plans.ticks import notional_per_window, tick_accounts, top_markets_of_stream
 from tickflow.schemas import PARTITIONS
 from tickflow.sinks.messages import batch_name
 from tickflow.sinks.published import publish_result, result_columns, write_options
 
-# Dropped groups by micro-batch, for every query that this process started.
-_late: dict[str, dict[int, int]] = {}
+
+class _Totals:
+    """Sums over all micro-batches of a query, of which Spark remembers only the last.
+
+    The newest micro-batch stays apart: before it runs, Spark may report its number with
+    nothing done yet."""
+
+    def __init__(self):
+        self.sums: dict[str, int] = {}
+        self.newest, self.of_newest = -1, {}
+
+    def add(self, query, accounts: list[Account]) -> None:
+        for progress in query.recentProgress:
+            number = progress["batchId"]
+            if number > self.newest:
+                self.sums, self.newest = self.all(), number
+            if number == self.newest:
+                dropped = sum(o["numRowsDroppedByWatermark"] for o in progress["stateOperators"])
+                counts = [{_LATE: dropped}, *[a.of_progress(progress) for a in accounts]]
+                self.of_newest = _added(counts)
+
+    def all(self) -> dict[str, int]:
+        return _added([self.sums, self.of_newest])
+
+
+_LATE = "late"
+
+
+def _added(counts: list[dict[str, int]]) -> dict[str, int]:
+    names = dict.fromkeys(name for c in counts for name in c)
+    return {name: sum(c.get(name, 0) for c in counts) for name in names}
+
+
+# One for every query that this process started, and its accounts.
+_totals: dict[str, _Totals] = {}
+_accounts: dict[str, list[Account]] = {}
 
 
 def _publisher(config: JobConfig, queries: list):
@@ -32,7 +67,7 @@ def _publisher(config: JobConfig, queries: list):
         result = result_columns(top_n(closed, config.top))
         publish_result(result, config.output, batch_name(closed, batch_id))
         for query in queries:
-            before = sum(_late.get(query.id, {}).values())
+            before = _totals[query.id].all().get(_LATE, 0) if query.id in _totals else 0
             dropped = late_groups(query) - before
             if dropped:
                 print(f"{config.name}: {dropped} groups came after their window was published")
@@ -49,7 +84,8 @@ def start_job(
     ``trigger`` overrides the configured interval, e.g. ``{"availableNow": True}``
     to work off what is there and stop.
     """
-    notional = notional_per_window(messages, config)
+    accounts = tick_accounts(messages, config)
+    notional = notional_per_window(messages, config, accounts)
     config.check(notional.sparkSession)
     queries: list = []
     query = (
@@ -60,6 +96,7 @@ def start_job(
         .trigger(**(trigger or {"processingTime": config.trigger}))
         .start()
     )
+    _accounts[query.id] = accounts
     queries.append(query)
     return query
 
@@ -106,9 +143,16 @@ def late_groups(query) -> int:
     in one task of one micro-batch, not a tick. Spark remembers only the last micro-batches;
     the job looks after each one, so none is forgotten.
     """
-    seen = _late.setdefault(query.id, {})
-    for progress in query.recentProgress:
-        seen[progress["batchId"]] = sum(
-            operator["numRowsDroppedByWatermark"] for operator in progress["stateOperators"]
-        )
-    return sum(seen.values())
+    return _summed(query).get(_LATE, 0)
+
+
+def decoded_counts(query) -> dict[str, int]:
+    """What the job has decoded and what it left out since it was started: messages, those
+    skipped, without a usable time, and with an unreadable price, volume or time."""
+    return {name: n for name, n in _summed(query).items() if name != _LATE}
+
+
+def _summed(query) -> dict[str, int]:
+    totals = _totals.setdefault(query.id, _Totals())
+    totals.add(query, _accounts.get(query.id, []))
+    return totals.all()

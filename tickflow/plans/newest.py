@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickflow.schemas import RESULT
-from tickflow.sources.published import day_folder, published_files, read_day, read_file, today
+from tickflow.sources.published import newest_folder, published_files, read_day, read_file, today
 
 
 def newest_file(
@@ -14,9 +14,12 @@ def newest_file(
 ) -> DataFrame:
     """Rows of the file of a day (default: today) that was written last.
 
-    The file is found from the listing alone; no rows if the day has none.
+    The day's manifest names the last write; its file is found from the listing alone. No
+    rows if the day has none.
     """
-    folder = day_folder(root, *(day or today(spark)))
+    folder = newest_folder(spark, root, day or today(spark))
+    if folder is None:
+        return spark.createDataFrame([], RESULT)
     newest = F.max(F.struct("modificationTime", "path")).alias("newest")
     try:
         found = published_files(spark, folder).agg(newest).first().newest

@@ -131,6 +131,12 @@ FROM ({QUOTES}) {join} ({BUILDERS}) ON market = 'KRW-' || c_custkey
 """
 
 
+LAST_BY_KEY = """
+SELECT event_id, ts, user_id, event_type, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+"""
+
+
 ORACLES: dict[str, str] = {
     "decode_events": f"SELECT event_id, {K} AS k FROM events",
     "decode_lenient": f"""
@@ -138,6 +144,16 @@ ORACLES: dict[str, str] = {
                CASE WHEN name <> 'click' THEN trade_price END AS trade_price,
                trade_volume, "timestamp", CAST(NULL AS VARCHAR) AS name
         FROM ({QUOTES}) WHERE name NOT IN ('error', 'signup')""",
+    "decode_accounting": f"""
+        WITH messages AS (
+          SELECT name, name NOT IN ('error', 'signup') AS good, event_id % 4 AS fourth FROM ({QUOTES})
+        )
+        SELECT unnest(['messages', 'decoded', 'skipped', 'undated', 'unreadable_trade_price',
+                       'unreadable_trade_volume', 'unreadable_timestamp']) AS counted,
+               unnest([count(*), count(*) FILTER (good), count(*) FILTER (NOT good),
+                       count(*) FILTER (good AND fourth <> 2), count(*) FILTER (name = 'click'),
+                       0, count(*) FILTER (good AND fourth = 0)])::BIGINT AS n
+        FROM messages""",
     "undated_ticks": f"""
         SELECT market, name, trade_price, trade_volume
         FROM ({QUOTES}) WHERE name IN ('error', 'click')""",
@@ -172,9 +188,7 @@ ORACLES: dict[str, str] = {
     "join_quotes_split": JOIN_QUOTES,
     "missing_quotes": MISSING_QUOTES,
     "missing_quotes_split": MISSING_QUOTES,
-    "last_by_key": """
-        SELECT event_id, ts, user_id, event_type, value FROM events
-        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+    "last_by_key": LAST_BY_KEY,
     "notional_minute": event_windows("minute"),
     "notional_day": SUPPLIER_DAYS,
     # Products from 2**10 up are whole multiples of 2**-43: exact as whole numbers of 2**-50.
@@ -233,6 +247,9 @@ ORACLES: dict[str, str] = {
                CAST({K} AS DOUBLE) AS trade_volume, landing AS micro_batch, event_time,
                window_end, watermark
         FROM landed JOIN watermarks USING (landing) WHERE window_end <= watermark""",
+    "stream_from_latest_day": closed("day").replace(
+        "FROM events", "FROM (SELECT * FROM events WHERE event_id % 2 = 1)"
+    ),
     "stream_resumed_top5_minute": closed("minute"),
     "polled_unchanged": odd_quotes("JOIN"),
     "pushed_unchanged": odd_quotes("LEFT JOIN"),
@@ -252,6 +269,7 @@ ORACLES: dict[str, str] = {
     "stream_pushed_top5_day": f"""
         SELECT * FROM ({published(top5(named_days("c_name")))})
         WHERE window_end <= (SELECT max(ts) - INTERVAL 1 SECOND FROM events)""",
+    "stream_last_by_key": LAST_BY_KEY,
     "stream_publish_mixed": f"""
         SELECT market, name, trade_price, trade_volume, "timestamp" FROM ({QUOTES})""",
 }

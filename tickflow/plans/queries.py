@@ -16,6 +16,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickflow.config import JobConfig, exchange_a, exchange_b
+from tickflow.functions.accounting import Account
 from tickflow.functions.codec import (
     decode_first,
     decode_json,
@@ -38,14 +39,13 @@ from tickflow.plans.producers import polled_messages, pushed_messages
 from tickflow.plans.ticks import decode_ticks, top_markets
 from tickflow.schemas import LISTING, POLLED, PUSHED, TICKS_A, struct
 from tickflow.scratch import new_folder
-from tickflow.session import SEOUL
+from tickflow.session import SEOUL, tick_session
 from tickflow.sinks.messages import publish_to_folder, stream_to_folder
 from tickflow.sinks.published import (
-    compact_day,
+    compact_days,
     marked_days,
     publish_result,
     result_columns,
-    touched_days,
     write_published,
 )
 from tickflow.sources.payloads import read_markets
@@ -54,6 +54,7 @@ from tickflow.sources.state import open_groups
 from tickflow.sources.ticks import landed_messages, stored_messages
 from tickflow.jobs.gate import late_ticks, start_gate
 from tickflow.jobs.job import run_available, start_chained
+from tickflow.jobs.latest import read_latest, start_latest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -99,6 +100,10 @@ def event_quotes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stored_events(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "events").select("event_id", "ts", "user_id", "event_type", "value")
+
+
 def supplier_days(spark: SparkSession, folder: str, exact: bool = False) -> DataFrame:
     """Notional per supplier and day of ``lineitem``."""
     return windowed_notional(
@@ -130,8 +135,8 @@ def decode_events(spark: SparkSession, folder: str) -> DataFrame:
     return decode_json(table(spark, folder, "events"), PROPS, value="props", keep=["event_id"])
 
 
-def decode_lenient(spark: SparkSession, folder: str) -> DataFrame:
-    """Messages with faults by event type: cut off, bad price, price as text."""
+def _faulty_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages with faults by event type: cut off, blank, bad price, price as text."""
     quotes = event_quotes(spark, folder)
     price = (
         F.when(F.col("name") == "click", F.lit("n/a"))
@@ -145,11 +150,30 @@ def decode_lenient(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("name") == "signup", F.lit("  "))
         .otherwise(F.col("plain"))
     )
-    messages = quotes.select("event_id", "name", plain.alias("plain"), text.alias("text")).select(
+    return quotes.select("event_id", "name", plain.alias("plain"), text.alias("text")).select(
         "event_id", value.alias("value")
     )
+
+
+def decode_lenient(spark: SparkSession, folder: str) -> DataFrame:
     wanted = ["market", "trade_price", "trade_volume", "timestamp", "name"]
-    return decode_json(messages, TICKS_A, wanted, keep=["event_id"])
+    return decode_json(_faulty_messages(spark, folder), TICKS_A, wanted, keep=["event_id"])
+
+
+def decode_accounting(spark: SparkSession, folder: str) -> DataFrame:
+    """What the decoder left out of faulty messages, counted while they are summed. Odd ones
+    have a time that no timestamp holds, every fourth one has a word for a time."""
+    time = (
+        F.when(F.col("event_id") % 2 == 1, F.lit("9223372036854775807"))
+        .when(F.col("event_id") % 4 == 0, F.lit('"soon"'))
+        .otherwise(F.lit("$1"))
+    )
+    value = F.regexp_replace("value", F.lit(r'(?<="timestamp":)(\d+)'), time)
+    messages = _faulty_messages(spark, folder).select(value.alias("value"))
+    account = Account("faulty", time="timestamp")
+    ticks = decode_ticks(messages, POLLED, account=account)
+    windowed_notional(ticks, duration="1 day").write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(sorted(account.counts().items()), "counted string, n long")
 
 
 def undated_ticks(spark: SparkSession, folder: str) -> DataFrame:
@@ -312,8 +336,7 @@ def missing_prices_split(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def last_per_user(spark: SparkSession, folder: str) -> DataFrame:
-    events = table(spark, folder, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    return last_by_key(events, "user_id", ["ts", "event_id"])
+    return last_by_key(stored_events(spark, folder), "user_id", ["ts", "event_id"])
 
 
 def notional_minute(spark: SparkSession, folder: str) -> DataFrame:
@@ -483,8 +506,7 @@ def sink_compacted(spark: SparkSession, folder: str) -> DataFrame:
     result = result_columns(top_n(event_days(spark, folder)))
     publish_result(result.where("row_num <= 2"), root, "first")
     publish_result(result.where("row_num > 2"), root, "second")
-    for day in touched_days(result):
-        compact_day(spark, root, day, "compacted")
+    compact_days(spark, root, "compacted")
     return read_published(spark, root)
 
 
@@ -598,6 +620,18 @@ def stream_late_ticks(spark: SparkSession, folder: str) -> DataFrame:
     return late.select("market", "name", "trade_price", "trade_volume", "micro_batch", *times)
 
 
+def stream_from_latest_day(spark: SparkSession, folder: str) -> DataFrame:
+    """The job is first started when half of the events have landed: only the others count."""
+    config = _stream_config(spark, "1 day")
+    session = config.session(spark)
+    landing = new_folder(spark, "landing")
+    quotes = event_quotes(session, folder)
+    for half in range(2):
+        publish_to_folder(quotes.where(F.col("event_id") % 2 == half), landing, POLLED.needed)
+        run_available(landed_messages(session, landing, latest_for=config.checkpoint), config)
+    return read_published(spark, config.output)
+
+
 def stream_resumed_top5_minute(spark: SparkSession, folder: str) -> DataFrame:
     """The same job in minutes, stopped half-way and resumed from its checkpoint."""
     config = _stream_config(spark, "1 minute")
@@ -636,6 +670,18 @@ def stream_pushed_top5_day(spark: SparkSession, folder: str) -> DataFrame:
     return read_published(spark, config.output)
 
 
+def stream_last_by_key(spark: SparkSession, folder: str) -> DataFrame:
+    """The last event of every user, kept up to date while every fourth event lands, then the
+    next fourth, and so on."""
+    events, session = stored_events(spark, folder), tick_session(spark, "UTC")
+    landing, root, check = (new_folder(spark, name) for name in ("landing", "latest", "checkpoint"))
+    for fourth in range(4):
+        events.where(F.col("event_id") % 4 == fourth).write.mode("append").parquet(landing)
+        stream = session.readStream.schema(events.schema).parquet(landing)
+        start_latest(stream, "user_id", ["ts", "event_id"], root, check, ONCE).awaitTermination()
+    return read_latest(spark, root, events.schema)
+
+
 def stream_publish_mixed(spark: SparkSession, folder: str) -> DataFrame:
     """Half of the messages by batch and half by a running query, into one folder."""
     quotes = event_quotes(spark, folder)
@@ -652,6 +698,7 @@ def stream_publish_mixed(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "decode_events": decode_events,
     "decode_lenient": decode_lenient,
+    "decode_accounting": decode_accounting,
     "undated_ticks": undated_ticks,
     "listing_rows": listing_rows,
     "first_quotes": first_quotes,
@@ -689,6 +736,7 @@ QUERIES: dict[str, Query] = {
     "stream_top5_chained_day": stream_top5_chained_day,
     "stream_open_window_day": stream_open_window_day,
     "stream_late_ticks": stream_late_ticks,
+    "stream_from_latest_day": stream_from_latest_day,
     "stream_resumed_top5_minute": stream_resumed_top5_minute,
     "polled_unchanged": polled_unchanged,
     "pushed_unchanged": pushed_unchanged,
@@ -701,5 +749,6 @@ QUERIES: dict[str, Query] = {
     "newest_window_day": newest_window_day,
     "stream_top5_day_seoul": stream_top5_day_seoul,
     "stream_pushed_top5_day": stream_pushed_top5_day,
+    "stream_last_by_key": stream_last_by_key,
     "stream_publish_mixed": stream_publish_mixed,
 }

@@ -12,6 +12,17 @@ BATCH_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A plan that turns out to be empty keeps what it has counted (``functions.accounting``).
+    "spark.sql.adaptive.optimizer.excludedRules":
+        "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation",
+    # Facts of any size are tested with a Bloom filter of a filtered lookup side before they
+    # are shuffled. 8 MB of bits: of eight million keys, two in a hundred others pass.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "8000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "8000000",
+    "spark.sql.optimizer.runtime.bloomFilter.numBits": "67108864",
 }
 
 STREAM_SETTINGS = {

@@ -2,7 +2,8 @@
 
 Every write owns one ``batch=`` folder in each day it touches. Writing the same
 batch again replaces exactly those folders, so a repeated write neither loses nor
-doubles rows, and readers never see files of an unfinished write.
+doubles rows, and readers never see files of an unfinished write. Which folders of a day
+count is written in its manifest (``sinks.manifest``), so many can be replaced at once.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from tickflow.functions.scalar import date_keys
 from tickflow.schemas import PARTITIONS, RESULT
+from tickflow.sinks.manifest import Day, Entry, Store, day_folder, each
 
 # Fixed value: how zone-less times are written in result files.
 LOCAL_TIME = "yyyy-MM-dd HH:mm:ss"
@@ -34,7 +36,8 @@ def write_options(writer):
 
 
 def write_published(result: DataFrame, root: str, batch: str, tasks: int | None = None) -> None:
-    """Write a result as ``batch``, replacing an earlier attempt of that batch.
+    """Write a result as ``batch``, replacing an earlier attempt of that batch. In days that
+    have a manifest it counts once ``publish_result`` has added it there.
 
     Each day is gathered into one of ``tasks`` tasks first: otherwise every task
     would leave a small file in every day. A day has only the top rows of its
@@ -58,10 +61,6 @@ def touched_days(result: DataFrame) -> list[Row]:
     return result.select(*PARTITIONS.names).distinct().collect()
 
 
-def _folder(root: str, day: Row) -> str:
-    return "/".join([root, *(f"{name}={day[name]}" for name in PARTITIONS.names)])
-
-
 def _each(spark: SparkSession, paths: list[str], action) -> None:
     """Call ``action(file_system, path)`` on the output store, several at a time."""
     path_of = spark._jvm.org.apache.hadoop.fs.Path
@@ -92,7 +91,7 @@ def mark_partitions(spark: SparkSession, root: str, days: list[Row]) -> None:
 
     Run after the write was committed; repeating it changes nothing.
     """
-    markers = [f"{_folder(root, day)}/{MARKER}" for day in days]
+    markers = [f"{day_folder(root, day)}/{MARKER}" for day in days]
     _each(spark, markers, lambda store, path: store.create(path, True).close())
 
 
@@ -104,32 +103,102 @@ def marked_days(spark: SparkSession, root: str) -> DataFrame:
 def drop_other_days(spark: SparkSession, root: str, batch: str, days: list[Row]) -> None:
     """Remove what an earlier run of ``batch`` left in days that it no longer has."""
     kept = {tuple(day) for day in days}
-    stale = [path for path in _found(spark, root, f"batch={batch}") if _keys(path) not in kept]
-    _each(spark, stale, lambda store, path: store.delete(path, True))
+    store = Store(spark, root)
+    stale = [_keys(path) for path in _found(spark, root, f"batch={batch}") if _keys(path) not in kept]
 
+    def drop(day: Day) -> None:
+        store.commit(day, lambda entries: tuple(e for e in entries if e.batch != batch))
+        store.delete(f"{day_folder(root, day)}/batch={batch}")
+
+    each(stale, drop)
+
+
+def _add(batch: str, rerun: bool):
+    """The change of a day's manifest that adds a write of ``batch`` as the newest."""
+
+    def change(entries: tuple[Entry, ...]) -> tuple[Entry, ...] | None:
+        if any(e.holds(batch) for e in entries):
+            if rerun:
+                raise ValueError(f"{batch} was compacted with others and cannot be replaced any more")
+            # A micro-batch that is run again: its rows are there.
+            return None
+        return (*(e for e in entries if e.batch != batch), Entry(batch))
+
+    return change
 
-def compact_day(spark: SparkSession, root: str, day: Row, batch: str) -> None:
-    """Gather the ``batch=`` folders of a finished day into one named ``batch``.
 
-    The rows are written beside the result first, under a name that readers skip; then the
-    old folders go and the new one takes their place. A run that was cut short can be run
-    again under the same name. Readers of that day may miss rows for a moment, never see
-    them twice.
+def _commit(spark: SparkSession, root: str, batch: str, days: list[Day], rerun: bool) -> None:
+    """Let a finished write count."""
+    store = Store(spark, root)
+
+    def one(day: Day) -> None:
+        store.commit(day, _add(batch, rerun))
+        if batch not in store.manifest(day).batches:
+            store.delete(f"{day_folder(root, day)}/batch={batch}")
+
+    each(days, one)
+
+
+def compact_days(spark: SparkSession, root: str, batch: str, days: list[Day] | None = None) -> None:
+    """Gather the ``batch=`` folders of finished days, each into one; all days by default.
+
+    One Spark job writes all days beside the result, under a name that readers skip. Then
+    each day's folder is put in its place, and the day's manifest names it in place of the
+    old ones, which go. A reader sees the old folders until that moment and the new one from
+    then on. What was added to a day meanwhile stays; a day of which something was replaced
+    meanwhile is left as it is. A run that was cut short can be run again.
     """
-    from tickflow.sources.published import read_day
+    store = Store(spark, root)
+    known = store.manifests()
+    days = list(known) if days is None else days
+    found = {day: known[day] for day in days if day in known}
+    before = {
+        day: m.entries if m.number else tuple(Entry(b) for b in store.folders(day)) for day, m in found.items()
+    }
+    before = {day: entries for day, entries in before.items() if len(entries) > 1}
+    if not before:
+        return
+    from tickflow.sources.published import read_batches
+
+    waiting = f"{root}/_{batch}"
+    paths = [f"{day_folder(root, day)}/batch={e.batch}" for day, entries in before.items() for e in entries]
+    rows = read_batches(spark, root, paths)
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    gathered = rows.repartition(min(len(before), most), *PARTITIONS.names)
+    write_options(gathered.write).mode("overwrite").partitionBy(*PARTITIONS.names).json(waiting)
+
+    def swap(day: Day) -> None:
+        old, folder = before[day], day_folder(root, day)
+        name = f"{batch}-{found[day].number + 1}"
+        new = Entry(name, of=tuple(b for e in old for b in (e.of or (e.batch,))))
+        target = f"{folder}/batch={name}"
+        if name not in [e.batch for e in old]:
+            store.delete(target)  # of a run that was cut short here
+        store.rename(day_folder(waiting, day), target)
+        done = []
+
+        def change(entries: tuple[Entry, ...]) -> tuple[Entry, ...] | None:
+            done.clear()
+            # Without a list before, the names are all there is to compare.
+            same = (lambda e: e.id) if found[day].number else (lambda e: e.batch)
+            here = {same(e) for e in entries}
+            if not all(same(e) in here for e in old):
+                return None
+            gone = {same(e) for e in old}
+            done.append(True)
+            return (new, *(e for e in entries if same(e) not in gone))
+
+        store.commit(day, change)
+        for e in old if done else [new]:
+            store.delete(f"{folder}/batch={e.batch}")
+
+    each(before, swap)
+    store.delete(waiting)
 
-    path_of = spark._jvm.org.apache.hadoop.fs.Path
-    folder = _folder(root, day)
-    store = path_of(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    waiting, done = path_of(f"{folder}/_{batch}"), path_of(f"{folder}/batch={batch}")
-    if not store.exists(path_of(f"{folder}/_{batch}/{MARKER}")):
-        rows = read_day(spark, root, *day).select(*RESULT.names).coalesce(1)
-        write_options(rows.write).mode("overwrite").json(f"{folder}/_{batch}")
-    old = [status.getPath() for status in store.globStatus(path_of(f"{folder}/batch=*")) or []]
-    for path in old:
-        store.delete(path, True)
-    if not store.rename(waiting, done):
-        raise RuntimeError(f"{folder}: could not put {batch} in its place")
+
+def compact_day(spark: SparkSession, root: str, day: Row, batch: str) -> None:
+    """``compact_days`` for one day."""
+    compact_days(spark, root, batch, [tuple(day[name] for name in PARTITIONS.names)])
 
 
 def publish_result(result: DataFrame, root: str, batch: str, rerun: bool = False) -> None:
@@ -147,6 +216,7 @@ def publish_result(result: DataFrame, root: str, batch: str, rerun: bool = False
         if days:
             most = int(spark.conf.get("spark.sql.shuffle.partitions"))
             write_published(result, root, batch, min(len(days), most))
+            _commit(spark, root, batch, [tuple(day) for day in days], rerun)
             mark_partitions(spark, root, days)
         if rerun:
             drop_other_days(spark, root, batch, days)

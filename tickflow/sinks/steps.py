@@ -20,10 +20,10 @@ def _store(spark: SparkSession, path: str):
     return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def complete(spark: SparkSession, folder: str) -> bool:
-    """Whether Spark has finished writing this folder."""
-    marker, store = _store(spark, f"{folder}/_SUCCESS")
-    return store.exists(marker)
+def complete(spark: SparkSession, folder: str, marker: str = "_SUCCESS") -> bool:
+    """Whether Spark has finished writing this folder (or has left another marker in it)."""
+    path, store = _store(spark, f"{folder}/{marker}")
+    return store.exists(path)
 
 
 def _steps(spark: SparkSession, root: str) -> list[int]:
