@@ -55,6 +55,8 @@ STEPS = np.array([1, 2, 3, 4, 6, 8])
 # Costs: of a posting, and of checking a candidate (plus one for so many shingles).
 POSTING, CHECK, CHECK_SHINGLES = 1.0, 4.0, 32.0
 BLOCK = 256
+# Groups of up to so many rows are gone through together.
+FEW = 8
 # So many partners of a hub are checked in one place.
 PARTNERS = 256
 # At most this many classes to be checked (some 50 bytes each) are broadcast to the texts.
@@ -307,7 +309,22 @@ def _cross(rows: DataFrame, percent: int) -> DataFrame:
     Linked sets have a first shared shingle, which leaves room for all that they must have in
     common; so a pair comes out of the lists where sizes and positions leave it."""
 
-    def pairs(node, place, part, side) -> tuple[np.ndarray, np.ndarray]:
+    def near(columns: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Of groups of a few rows, all groups at once: every row with the next, the one after
+        that, and so on."""
+        group, node, place, part, side = columns
+        last = np.searchsorted(group, group, "right") - 1
+        for d in range(1, FEW):
+            x = np.flatnonzero(group[d:] == group[:-d])
+            y = x + d
+            # Of two blocks, one row of each.
+            apart = (part[x] != part[y]) & (side[x] == 0) & (side[y] == side[last[x]])
+            x, y = x[apart], y[apart]
+            keep = _may_start(place[x], place[y], percent)
+            yield node[x[keep]], node[y[keep]]
+
+    def blocks(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        _, node, place, part, side = columns
         x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         if not len(y):
             y = x
@@ -316,32 +333,41 @@ def _cross(rows: DataFrame, percent: int) -> DataFrame:
         if y is x:
             a, b = a[a < b], b[a < b]
         keep = _may_start(place[a], place[b], percent)
-        a, b = node[a[keep]], node[b[keep]]
-        return np.minimum(a, b), np.maximum(a, b)
+        return node[a[keep]], node[b[keep]]
+
+    def found(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        group = columns[0]
+        if not len(group):
+            return
+        starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+        sizes = np.diff(np.append(starts, len(group)))
+        few = np.repeat(sizes <= FEW, sizes)
+        several = list(near([c[few] for c in columns]))
+        for start, size in zip(starts[sizes > FEW].tolist(), sizes[sizes > FEW].tolist(), strict=True):
+            several.append(blocks([c[start : start + size] for c in columns]))
+        for a, b in several:
+            low, high = np.minimum(a, b), np.maximum(a, b)
+            for i in range(0, len(a), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(x[i : i + (1 << 16)]) for x in (low, high)], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
-
-        def done() -> Iterator[pa.RecordBatch]:
-            found = pairs(*[np.concatenate(x) for x in zip(*[h[1:] for h in held], strict=True)])
-            for i in range(0, len(found[0]), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(x[i : i + (1 << 16)]) for x in found], ["a", "b"])
-
+        rest: list[np.ndarray] | None = None
         for batch in batches:
             if not len(batch):
                 continue
             columns = [batch.column(c).to_numpy() for c in ("group", "node", "place", "part", "side")]
-            group = columns[0]
-            cuts = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), len(group)]
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                if held and held[0][0][0] != group[a]:
-                    yield from done()
-                    held = []
-                held.append([c[a:b] for c in columns])
-        if held:
-            yield from done()
-
-    laid = rows.repartition("group").sortWithinPartitions("group", "side", "node")
+            if rest is not None:
+                columns = [np.concatenate(x) for x in zip(rest, columns, strict=True)]
+            # The last group may go on in the next batch.
+            cut = int(np.searchsorted(columns[0], columns[0][-1]))
+            yield from found([c[:cut] for c in columns])
+            rest = [c[cut:] for c in columns]
+        if rest is not None:
+            yield from found(rest)
+
+    # So many tasks as are asked for: the rows are few, the work on them is not.
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid = rows.repartition(tasks, "group").sortWithinPartitions("group", "side", "node")
     return laid.mapInArrow(run, "a long, b long")
 
 
