@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -11,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import tickflow.llm.components as graph
-from llm_tables import documents, edge_rows, near_components, prose, without_repeats, words
+from llm_tables import LOWER, documents, edge_rows, near_components, prose, without_repeats, words
 from tickflow.llm import chat, near_dups, quality_classifier, substrings, toxicity, warc
 from tickflow.llm.decontaminate import Automaton, decontaminate, scan
 from tickflow.llm.line_dedup import LineRuns, clean
@@ -366,3 +368,76 @@ def test_examples_train_on_one_reply_each(spark):
     assert got[1, 1] == (head + "r <~s></s><s>user[INST]q2</s><s>assistant[INST]", "r2")
     assert got[1, 2][1] == "" and got[None, 0][1] == ""
     assert np.all([len(k) == 2 for k in got])
+
+
+LETTER_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def _plain_ratios(texts, labels):
+    """The ratio of any word by class-conditional Kneser-Ney, from counted words and stems."""
+    split = [LETTER_WORD.findall((t or "").translate(LOWER)) for t in texts]
+    count = [Counter(w for ws, y in zip(split, labels, strict=True) if y == c for w in ws) for c in (0, 1)]
+    vocabulary = set(count[0]) | set(count[1])
+    kinds = Counter(w[: toxicity.STEM] for w in vocabulary)
+    stem = [Counter() for _ in range(2)]
+    for c in range(2):
+        for w, n in count[c].items():
+            stem[c][w[: toxicity.STEM]] += n
+    total = [sum(c.values()) for c in count]
+    word_free = [sum(min(n, toxicity.DISCOUNT) for n in c.values()) for c in count]
+    stem_free = [sum(min(n, toxicity.DISCOUNT) for n in c.values()) for c in stem]
+
+    def probability(word, c):
+        s = word[: toxicity.STEM]
+        backoff = kinds[s] / len(vocabulary)
+        of_stem = (max(stem[c][s] - toxicity.DISCOUNT, 0) + stem_free[c] * backoff) / total[c]
+        return (max(count[c][word] - toxicity.DISCOUNT, 0) + word_free[c] * of_stem / kinds[s]) / total[c]
+
+    def ratio(word):
+        if word[: toxicity.STEM] not in kinds:
+            return 0.0
+        return math.log(probability(word, 1) / probability(word, 0))
+
+    return ratio
+
+
+@pytest.mark.parametrize("most", [1_000_000, 5])
+def test_toxicity_equals_a_plain_kneser_ney(spark, monkeypatch, most):
+    """Ratios and figures, by a broadcast and by a join."""
+    monkeypatch.setattr(toxicity, "BROADCAST_ROWS", most, raising=False)
+    rng = random.Random(6)
+    vocabulary = [f"{a}{b}{c}" for a in ("alpha", "bet", "гамма", "日本") for b in ("", "x", "yy", "é") for c in ("", "s", "ing")]
+    texts = [" ".join(rng.choice(vocabulary[i % 9 :: 2]) for _ in range(rng.randrange(60))) for i in range(90)]
+    texts += ["", None, "NEVER seen words " * 3, "Alpha-alphaX" * 40]
+    rows = [(i, t, "en", "a", 0) for i, t in enumerate(texts)]
+    known = {i: int(i % 9 > 5) for i in range(70)}
+    labels = spark.createDataFrame(list(known.items()), "doc_id long, toxic int")
+    docs = documents(spark, rows, extra=False)
+    model = toxicity.train(docs, labels, F.lit(False))
+    assert (model.path is None) == (most > 5)
+    ratio = _plain_ratios([texts[i] for i in known], list(known.values()))
+    got = {r.doc_id: r for r in toxicity._figured(docs, ["doc_id"], model).collect()}
+    for i, text in enumerate(texts):
+        each = sorted((ratio(w) for w in LETTER_WORD.findall((text or "").translate(LOWER))), reverse=True)
+        for share, name in zip(toxicity.SHARES, toxicity.FIGURES, strict=True):
+            n = max(1, math.ceil(len(each) * share))
+            want = sum(each[:n]) / n if each else 0.0
+            assert got[i][name] == pytest.approx(want, abs=1e-9), (i, share)
+
+
+def test_a_text_is_toxic_in_a_few_places(spark):
+    """One word in a hundred decides, as in a text full of it."""
+    calm = [f"calm{i}" for i in range(40)]
+    rng = random.Random(8)
+    rows = []
+    for i in range(200):
+        text = [rng.choice(calm) for _ in range(150)]
+        if i % 4 == 0:
+            text[rng.randrange(150)] = "wicked"
+        rows.append((i, " ".join(text), "en", "a", 0))
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id long, toxic int")
+    model = toxicity.train(documents(spark, rows), labels, F.lit(False))
+    asked = [" ".join(calm * 3), " ".join(calm * 3) + " wicked", "wicked " * 50, "wickedly " + " ".join(calm * 2)]
+    got = documents(spark, [(i, t, "en", "a", 0) for i, t in enumerate(asked)])
+    score = dict(toxicity.score(got, model).select("doc.doc_id", "score").collect())
+    assert score[0] < 0.5 < min(score[1], score[2], score[3])

@@ -10,12 +10,13 @@ whose stem is rare in both classes then says next to nothing; one that a single
 often says much. Words are counted per task and class before the shuffle, and all counts
 cover all labelled texts to learn from.
 
-A text has two figures from its words' log-likelihood ratios (toxic over ordinary): their
-mean, which is the length-normalised difference of the two log-likelihoods, and the root of
-the sum of what exceeds ``CLEAR`` nats per word, divided by the root of the number of words,
-as texts may be toxic in a few places only. A logistic curve over both makes a probability;
-it is fitted on about ``sample_rows`` labelled texts, chosen by a hash of their ids. Words
-have no history: an expression made of ordinary words is not seen.
+A text's figures are length-normalised differences of its two log-likelihoods (toxic less
+ordinary): over the whole text, and over its likeliest tenth, fiftieth and single word, as
+texts may be toxic in a few places only; of ``n`` words a share ``s`` is the ``max(1, s n)``
+words, rounded up, of the largest log-likelihood ratios, and the figure their mean. A
+logistic curve over the figures makes a probability; it is fitted on about ``sample_rows``
+labelled texts, chosen by a hash of their ids. Words have no history: an expression made of
+ordinary words is not seen.
 
 Words of more than ``DISCOUNT`` uses in a class and all stems keep their ratios; other words
 have just what their stem says, and only words of stems never seen count as equally likely.
@@ -36,7 +37,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickflow.llm import logistic
 from tickflow.llm.labels import labelled, sample
@@ -45,8 +46,9 @@ from tickflow.scratch import new_folder
 
 STEM = 5
 DISCOUNT = 2.0
-# Ratios up to this, in nats, come from chance.
-CLEAR = 2.0
+# Shares of a text's words, those of the largest ratios, whose mean ratios are its figures.
+SHARES = (1.0, 0.1, 0.02, 0.0)
+FIGURES = [f"figure{i}" for i in range(len(SHARES))]
 BROADCAST_ROWS = 1_000_000
 
 _LOWER = np.arange(256, dtype=np.uint64)
@@ -149,15 +151,21 @@ class Model:
         return out
 
     def figures(self, texts: pa.Array) -> list[pa.Array]:
-        """The mean ratio, and the root of the excess per root of words."""
-        mean, excess = np.zeros(len(texts)), np.zeros(len(texts))
+        """The mean ratio of each share of the words."""
+        out = np.zeros((len(SHARES), len(texts)))
         for row, found in token_chunks(texts, LETTERS):
-            n, of, ratio = len(found.counts), found.rows(), self.known(found)
-            words = np.maximum(found.counts, 1)
-            mean[row : row + n] = np.bincount(of, weights=ratio, minlength=n) / words
-            over = np.bincount(of, weights=np.maximum(ratio - CLEAR, 0), minlength=n)
-            excess[row : row + n] = np.sqrt(over / np.sqrt(words))
-        return [pa.array(mean), pa.array(excess)]
+            n, ratio = found.counts, self.known(found)
+            ratio = ratio[np.lexsort((-ratio, found.rows()))]
+            total = np.concatenate([[0.0], np.cumsum(ratio)])
+            for i, share in enumerate(SHARES):
+                words = np.minimum(_words_of(share, n), n)
+                sums = total[found.bounds[:-1] + words] - total[found.bounds[:-1]]
+                out[i, row : row + len(n)] = sums / np.maximum(words, 1)
+        return [pa.array(x) for x in out]
+
+
+def _words_of(share: float, n: np.ndarray) -> np.ndarray:
+    return np.maximum(1, np.ceil(n * share)).astype(np.int64)
 
 
 def _model(learned: DataFrame) -> Model:
@@ -165,9 +173,9 @@ def _model(learned: DataFrame) -> Model:
     learned.write.parquet(path)
     table = learned.sparkSession.read.parquet(path)
     if table.count() > BROADCAST_ROWS:
-        return Model(np.empty(0, np.int64), np.empty(0), path, np.zeros(3))
+        return Model(np.empty(0, np.int64), np.empty(0), path, np.zeros(len(SHARES) + 1))
     rows = table.toArrow().sort_by("key")
-    return Model(rows.column("key").to_numpy(), rows.column("ratio").to_numpy(), None, np.zeros(3))
+    return Model(rows.column("key").to_numpy(), rows.column("ratio").to_numpy(), None, np.zeros(len(SHARES) + 1))
 
 
 def _text_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,37 +196,41 @@ def _text_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _figured(frame: DataFrame, carry: list[str], model: Model) -> DataFrame:
-    """The columns ``carry`` of ``frame``, which has a text, and ``mean`` and ``excess``."""
+    """The columns ``carry`` of ``frame``, which has a text, and the text's figures."""
     spark = frame.sparkSession
     if model.path is None:
         shared = spark.sparkContext.broadcast(model)
         return over_batches(
             frame,
             lambda: lambda batch: shared.value.figures(batch.column("text")),
-            carry, "mean double, excess double",
+            carry, ", ".join(f"{f} double" for f in FIGURES),
         )
     text = frame.select(F.xxhash64("text").alias("print"), "text")
     counted = text.mapInArrow(_text_words, "print long, words long, word long, stem long, n long")
     learned = spark.read.parquet(model.path)
     own = learned.select(F.col("key").alias("word"), F.col("ratio").alias("own"))
-    ratio = F.coalesce("own", "ratio")
-    over = F.sum(F.col("n") * F.greatest(ratio - CLEAR, F.lit(0.0)))
-    # Written plainly: a join of two shuffled sides can split a text of many copies.
-    path = new_folder(spark, "toxicity-figures")
-    (
+    ratio = F.coalesce("own", "ratio", F.lit(0.0)).alias("ratio")
+    # A text's words by their ratios, with the number of words before each.
+    order = Window.partitionBy("print").orderBy(F.desc("ratio"), "word")
+    before = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    ranked = (
         counted.groupBy("print", "words", "word", "stem").agg(F.max("n").alias("n"))
         .join(own, "word", "left")
-        .join(learned.withColumnRenamed("key", "stem"), "stem")
-        .groupBy("print", "words").agg(F.sum(F.col("n") * ratio).alias("total"), over.alias("over"))
-        .select(
-            "print", (F.col("total") / F.col("words")).alias("mean"),
-            F.sqrt(F.col("over") / F.sqrt("words")).alias("excess"),
-        )
-        .write.parquet(path)
+        .join(learned.withColumnRenamed("key", "stem"), "stem", "left")
+        .select("print", "words", "word", "n", ratio)
+        .withColumn("before", F.coalesce(before, F.lit(0)))
     )
+    means = []
+    for share, name in zip(SHARES, FIGURES, strict=True):
+        words = F.greatest(F.lit(1), F.ceil(F.col("words") * F.lit(share)))
+        inside = F.greatest(F.least(F.col("n"), words - F.col("before")), F.lit(0))
+        means.append((F.sum(inside * F.col("ratio")) / F.first(words)).alias(name))
+    # Written plainly: a join of two shuffled sides can split a text of many copies.
+    path = new_folder(spark, "toxicity-figures")
+    ranked.groupBy("print").agg(*means).write.parquet(path)
     rows = frame.select(*carry, F.xxhash64("text").alias("print"))
     return rows.join(spark.read.parquet(path), "print", "left").select(
-        *carry, *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("mean", "excess")]
+        *carry, *[F.coalesce(c, F.lit(0.0)).alias(c) for c in FIGURES]
     )
 
 
@@ -239,23 +251,25 @@ def train(
     both = counted.agg(F.sum("toxic"), F.sum("ordinary")).first()
     if not (both[0] and both[1]):
         prior = 30.0 if both[0] else -30.0 if both[1] else 0.0
-        return Model(np.empty(0, np.int64), np.empty(0), None, np.array([0.0, 0.0, prior]))
+        curve = np.append(np.zeros(len(SHARES)), prior)
+        return Model(np.empty(0, np.int64), np.empty(0), None, curve)
     model = _model(ratios(counted))
 
     held = _figured(sample(rows, n, sample_rows), ["doc_id", "label"], model).toArrow()
-    held = held.sort_by([(c, "ascending") for c in ("doc_id", "mean", "excess")])
-    x = np.column_stack([held.column(c).to_numpy() for c in ("mean", "excess")])
+    held = held.sort_by([(c, "ascending") for c in ("doc_id", *FIGURES)])
+    x = np.column_stack([held.column(c).to_numpy() for c in FIGURES])
     spread = np.maximum(x.std(axis=0), 1e-9)
     w = logistic.fit(x / spread, (held.column("label").to_numpy() > 0).astype(float), ridge=3e-3)
-    model.curve = np.append(w[:2] / spread, w[2])
+    model.curve = np.append(w[:-1] / spread, w[-1])
     return model
 
 
 def score(docs: DataFrame, model: Model, columns: tuple[str, ...] = ()) -> DataFrame:
     """``doc`` (the row's ``columns``, all by default) and ``score``, the probability that
     the text is toxic."""
-    mean, excess, at = model.curve.tolist()
-    margin = F.col("mean") * mean + F.col("excess") * excess + at
+    *weights, margin = [F.lit(w) for w in model.curve.tolist()]
+    for name, weight in zip(FIGURES, weights, strict=True):
+        margin = margin + F.col(name) * weight
     margin = F.greatest(F.least(margin, F.lit(30.0)), F.lit(-30.0))
     found = _figured(packed(docs, *columns), ["doc"], model)
     return found.select("doc", (1 / (1 + F.exp(-margin))).alias("score"))
