@@ -177,7 +177,9 @@ def write(pages: DataFrame, folder: str, shard_bytes: int = 64 << 20, roll_bytes
     )
     low, high = pages.agg(F.min("page_id"), F.max("page_id")).first()
     width = ((high or 0) - (low or 0)) // BINS + 1
-    binned = F.coalesce(F.expr(f"(page_id - {low or 0}) div {width}"), F.lit(-1)).alias("bin")
+    # As decimals: ids may be further apart than a long can say.
+    binned = F.expr(f"(cast(page_id as decimal(20, 0)) - {low or 0}BD) div {width}BD")
+    binned = F.coalesce(binned, F.lit(-1)).cast("long").alias("bin")
     shards = _shards(pages.select(binned, "html"), shard_bytes)
     count = (shards.agg(F.max("shard")).first()[0] or 0) + 1
 
