@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import tickflow.llm.components as graph
+import tickflow.llm.decontaminate as decontaminate_module
 from llm_tables import LOWER, documents, edge_rows, near_components, prose, without_repeats, words
 from tickflow.llm import chat, near_dups, quality_classifier, substrings, toxicity, warc
 from tickflow.llm.decontaminate import Automaton, decontaminate, scan
@@ -441,3 +442,26 @@ def test_a_text_is_toxic_in_a_few_places(spark):
     got = documents(spark, [(i, t, "en", "a", 0) for i, t in enumerate(asked)])
     score = dict(toxicity.score(got, model).select("doc.doc_id", "score").collect())
     assert score[0] < 0.5 < min(score[1], score[2], score[3])
+
+
+@pytest.mark.parametrize("ids", [(-(2**63), 5), (-(2**63) + 5, 2**63 - 1), (-(2**63), 2**63 - 1, 0, None)])
+def test_archive_of_ids_far_apart(spark, ids):
+    pages = [(i, f"http://h/{i}", "<p>same</p>") for i in ids]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    folder = new_folder(spark, "warc")
+    warc.write(frame, folder, shard_bytes=300)
+    back = warc.read(spark, folder).collect()
+    best = max(i for i in ids if i is not None)
+    assert Counter(r.page_id for r in back) == Counter(ids)
+    assert {(r.page_id, r.record_type) for r in back} == {(i, "response" if i == best else "revisit") for i in ids}
+
+
+def test_items_in_capitals_count_for_the_size_of_an_automaton(spark, monkeypatch):
+    built = []
+    of = decontaminate_module.Scanner.of
+    monkeypatch.setattr(decontaminate_module.Scanner, "of", staticmethod(lambda *args: built.append(1) or of(*args)))
+    items = [(i, " ".join(f"W{i}X{j}" for j in range(50))) for i in range(40)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = documents(spark, [(1, items[7][1].lower(), "en", "a", 0)])
+    found = scan(docs, benchmark, shard_words=200).collect()
+    assert len(built) == 10 and found[0]["items"] == ["7"] and found[0].n_hit == 50

@@ -253,10 +253,10 @@ def scan(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    total = items.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")))).first()[0]
+    word = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # in capitals too
+    total = items.agg(F.sum(F.regexp_count("text", F.lit(word)))).first()[0]
     shards = max(1, -(-(total or 0) // shard_words))
     items = items.withColumn("shard", F.pmod(F.xxhash64("item", "text"), F.lit(shards)))
-    # The coarse upper-case count above only sizes the shards.
     result = packed(docs, *columns)
     fields = f"n_words bigint, n_hit bigint, items array<string>, {SPANS}"
     for shard in range(shards):
