@@ -11,6 +11,7 @@ from tickflow.functions.accounting import Account, unreadable
 from tickflow.plans.queries import QUERIES, decode_accounting
 from tickflow.plans.ticks import backfill, decode_ticks, tick_accounts, top_markets
 from tickflow.schemas import POLLED
+from tickflow.session import RECENT_UPDATES
 from tickflow.sources.published import read_published
 from tickflow.sources.ticks import landed_messages
 
@@ -97,11 +98,11 @@ def test_counts_of_a_stream(seoul, tmp_path, apart):
         land(f"{folder}/a", number, FAULTY[number * 3 : number * 3 + 3])
         land(f"{folder}/b", number, [])
     streams = [landed_messages(seoul, f"{folder}/{name}", max_files=1) for name in "ab"]
-    seoul.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    seoul.conf.set(RECENT_UPDATES, "3")
     try:
         query = job.run_available(streams if apart else streams[0], config)
     finally:
-        seoul.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+        seoul.conf.unset(RECENT_UPDATES)
     assert job.decoded_counts(query) == WANT
     assert job.decoded_counts(query) == WANT  # looking twice adds nothing
     account = Account(f"{config.name}-0", time="timestamp")

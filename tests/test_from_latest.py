@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 
 import tickflow.jobs.job as job
@@ -83,6 +85,7 @@ def test_files_left_out_are_not_opened(spark, place):
     land(folder, 0, [tick("KRW-A", 100)])
     with open(f"{folder}/broken.json.gz", "wb") as out:
         out.write(b"no gzip at all")
+    os.utime(f"{folder}/broken.json.gz", (1_700_000_000, 1_700_000_000))
     run(session, place)
     land(folder, 1, [tick("KRW-A", 1), tick("KRW-A", 1, at=120_000)])
     run(session, place)

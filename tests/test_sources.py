@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 
 from helpers import rows
 from tickflow.scratch import ensure_checkpoint_dir, new_folder, remove_folders, shared_root
-from tickflow.session import SEOUL, STATE_STORE, tick_session
+from tickflow.session import SEOUL, STATE_PROVIDER, STATE_STORE, tick_session
 from tickflow.sinks.messages import publish_to_folder, stream_to_folder
 from tickflow.sources.payloads import newest_payload, read_markets
 from tickflow.sources.ticks import kafka_messages, kafka_options, landed_messages, stored_messages
@@ -49,7 +49,7 @@ def test_session_settings_leave_the_caller_alone(spark):
     session = tick_session(spark, shuffle_partitions=3)
     assert session.conf.get("spark.sql.session.timeZone") == SEOUL
     assert session.conf.get("spark.sql.shuffle.partitions") == "3"
-    assert session.conf.get("spark.sql.streaming.stateStore.providerClass") == STATE_STORE
+    assert session.conf.get(STATE_PROVIDER) == STATE_STORE
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
 

@@ -13,6 +13,7 @@ from tickflow.config import exchange_a, exchange_b
 from tickflow.plans.producers import polled_messages, pushed_messages
 from tickflow.plans.ticks import notional_per_window, top_markets
 from tickflow.sinks.messages import stream_to_folder
+from tickflow.session import RECENT_UPDATES, STATE_PROVIDER
 from tickflow.sources.payloads import stream_payloads
 from tickflow.sources.published import read_published
 from tickflow.sources.ticks import landed_messages, stored_messages
@@ -137,7 +138,7 @@ def test_late_rows_are_dropped_and_counted(seoul, place):
 
 def test_late_groups_are_counted_over_the_whole_run(seoul, place):
     config, folder = place
-    seoul.conf.set("spark.sql.streaming.numRecentProgressUpdates", "5")
+    seoul.conf.set(RECENT_UPDATES, "5")
     try:
         land(folder, 0, [tick("KRW-A", 1)])
         land(folder, 1, [tick("KRW-A", 1, at=200_000)])
@@ -145,7 +146,7 @@ def test_late_groups_are_counted_over_the_whole_run(seoul, place):
             land(folder, number, [tick("KRW-A", 1, at=1000), tick("KRW-A", 1, at=200_000 + number)])
         query = job.run_available(landed_messages(seoul, folder, max_files=1), config)
     finally:
-        seoul.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+        seoul.conf.unset(RECENT_UPDATES)
     assert len(query.recentProgress) <= 5
     assert job.late_groups(query) == 12 - 1  # the first of them came before the watermark moved
 
@@ -153,7 +154,7 @@ def test_late_groups_are_counted_over_the_whole_run(seoul, place):
 def test_state_on_the_heap_is_refused(seoul, place):
     config, folder = place
     other = config.session(seoul)
-    other.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    other.conf.unset(STATE_PROVIDER)
     with pytest.raises(ValueError, match="state"):
         config.check(other)
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 
 from tickflow.schemas import POLLED, PUSHED, TickFormat
-from tickflow.session import SEOUL, STATE_STORE, tick_session
+from tickflow.session import SEOUL, STATE_PROVIDER, STATE_STORE, tick_session
 
 
 @dataclass(frozen=True)
@@ -44,7 +44,7 @@ class JobConfig:
     def check(self, spark: SparkSession) -> None:
         """Refuse a session in another zone, or one that keeps its state on the heap."""
         self.check_zone(spark)
-        store = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+        store = spark.conf.get(STATE_PROVIDER)
         if store != STATE_STORE:
             raise ValueError(f"job {self.name} needs its state in {STATE_STORE}, not {store}")
 

@@ -254,7 +254,8 @@ ORACLES: dict[str, str] = {
     "polled_unchanged": odd_quotes("JOIN"),
     "pushed_unchanged": odd_quotes("LEFT JOIN"),
     "newest_listing": """
-        SELECT 'KRW-' || p_partkey AS market, p_name AS name FROM part WHERE p_brand = 'Brand#12'""",
+        SELECT 'KRW-' || p_partkey AS market, p_name AS name FROM part
+        WHERE p_brand = (SELECT min(p_brand) FROM part)""",
     "polled_top5_day": published(top5(named_days("'KRW-' || user_id"))),
     "pushed_top5_day": published(top5(named_days("c_name"))),
     "top5_day_seoul": SEOUL_RESULT,

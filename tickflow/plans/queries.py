@@ -9,7 +9,6 @@ do the results.
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -40,6 +39,7 @@ from tickflow.plans.ticks import decode_ticks, top_markets
 from tickflow.schemas import LISTING, POLLED, PUSHED, TICKS_A, struct
 from tickflow.scratch import new_folder
 from tickflow.session import SEOUL, tick_session
+from tickflow.sinks.manifest import Store
 from tickflow.sinks.messages import publish_to_folder, stream_to_folder
 from tickflow.sinks.published import (
     compact_days,
@@ -442,15 +442,15 @@ def pushed_unchanged(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def newest_listing(spark: SparkSession, folder: str) -> DataFrame:
-    """Of several listings in a folder only the newest counts; it is the one of brand 12."""
+    """Every brand is a listing in a folder of them; only the newest counts. The files' times
+    run against their names."""
     listings = new_folder(spark, "listings")
-    parts = table(spark, folder, "part")
     entry = F.struct(_krw("p_partkey").alias("market"), F.col("p_name").alias("korean_name"))
-    for brand in ("Brand#11", "Brand#13", "Brand#12"):
-        chosen = parts.where(F.col("p_brand") == brand)
-        listing = chosen.agg(F.to_json(F.collect_list(entry)).alias("value"))
-        listing.coalesce(1).write.mode("append").text(listings)
-        time.sleep(1.1)  # file times may count in seconds
+    brands = table(spark, folder, "part").groupBy("p_brand").agg(F.to_json(F.collect_list(entry)).alias("value"))
+    brands.write.partitionBy("p_brand").text(listings)
+    store = Store(spark, listings)
+    for second, path in enumerate(sorted(store.found(f"{listings}/*/*.txt"), reverse=True)):
+        store.set_time(path, 1_700_000_000_000 + second * 1000)
     return read_markets(spark, listings)
 
 

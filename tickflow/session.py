@@ -6,6 +6,11 @@ from pyspark.sql import SparkSession
 
 SEOUL = "Asia/Seoul"
 
+# Names that Spark gives its settings and properties, used here and in tests.
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+RECENT_UPDATES = "spark.sql.streaming.numRecentProgressUpdates"
+QUERY_ID = "sql.streaming.queryId"
+
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 BATCH_SETTINGS = {
@@ -28,7 +33,7 @@ BATCH_SETTINGS = {
 STREAM_SETTINGS = {
     # State lives on the executors' disks, not on the heap. Only changes are uploaded
     # at each commit, and all state partitions of an executor share one memory limit.
-    "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
+    STATE_PROVIDER: STATE_STORE,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     # Of several streams the slowest decides which windows are closed.

@@ -83,6 +83,9 @@ class Store:
         if not self._system.rename(self._path_of(path), self._path_of(target)):
             raise RuntimeError(f"could not put {path} in its place {target}")
 
+    def set_time(self, path: str, millis: int) -> None:
+        self._system.setTimes(self._path_of(path), millis, -1)
+
     def read(self, path: str) -> str:
         stream = self._system.open(self._path_of(path))
         try:

@@ -14,18 +14,17 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame
 
 from tickflow.functions.codec import encode_json
+from tickflow.session import QUERY_ID
 from tickflow.sinks.steps import complete
 from tickflow.sources.ticks import KAFKA
 
-_QUERY_ID = "sql.streaming.queryId"
-
 Publish = Callable[[DataFrame, str], None]
 
 
 def batch_name(frame: DataFrame, batch_id: int) -> str:
     """The name of a micro-batch. The id stays with the checkpoint: a query that starts
     over with a new one does not replace what the old one wrote."""
-    query = frame.sparkSession.sparkContext.getLocalProperty(_QUERY_ID)
+    query = frame.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
     if query is None:
         raise RuntimeError("micro-batch without a query id: its output cannot be named")
     return f"{query}-{batch_id:012d}"

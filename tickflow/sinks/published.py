@@ -155,7 +155,8 @@ def compact_days(spark: SparkSession, root: str, batch: str, days: list[Day] | N
     before = {
         day: m.entries if m.number else tuple(Entry(b) for b in store.folders(day)) for day, m in found.items()
     }
-    before = {day: entries for day, entries in before.items() if len(entries) > 1}
+    # One that was compacted already stays.
+    before = {day: entries for day, entries in before.items() if len(entries) > 1 or any(not e.of for e in entries)}
     if not before:
         return
     from tickflow.sources.published import read_batches
@@ -169,11 +170,11 @@ def compact_days(spark: SparkSession, root: str, batch: str, days: list[Day] | N
 
     def swap(day: Day) -> None:
         old, folder = before[day], day_folder(root, day)
-        name = f"{batch}-{found[day].number + 1}"
+        taken = [e.batch for e in old]
+        name = f"{batch}-{found[day].number + 1}" if batch in taken else batch
         new = Entry(name, of=tuple(b for e in old for b in (e.of or (e.batch,))))
         target = f"{folder}/batch={name}"
-        if name not in [e.batch for e in old]:
-            store.delete(target)  # of a run that was cut short here
+        store.delete(target)  # of a run that was cut short here
         store.rename(day_folder(waiting, day), target)
         done = []
 
