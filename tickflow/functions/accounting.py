@@ -64,7 +64,7 @@ class Account:
         """The counts of a table, once an action on the decoded rows is over.
 
         Where Spark finds half-way that a result will be empty it drops the rest of the plan,
-        and the counts with it; ``BATCH_SETTINGS`` keep it from that."""
+        and the counts with it; ``TICK_SETTINGS`` keep it from that."""
         return _put_together([o.get for o in self._observed])
 
     def of_progress(self, progress) -> dict[str, int]:

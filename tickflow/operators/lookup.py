@@ -8,8 +8,8 @@ it on). All plans give the same rows.
 Where facts without a partner fall away (inner and semi joins), they need not be shuffled.
 The range of the lookup's keys is measured with its size and stated as a filter: Catalyst
 hands it on to the facts, down to their scan, and, as the lookup side is now a filtered one,
-builds a Bloom filter of its keys and tests the facts with that before the exchange. Both
-only drop facts that the join would drop.
+builds a Bloom filter of its keys and tests the facts with that before the exchange
+(``TICK_SETTINGS`` say when). Both only drop facts that the join would drop.
 """
 
 from __future__ import annotations

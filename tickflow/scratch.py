@@ -44,9 +44,22 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return folder
 
 
+_tables: set[str] = set()
+
+
+def note_table(name: str) -> str:
+    """The name of a table of the catalog whose files are in one of the folders."""
+    _tables.add(name)
+    return name
+
+
 def remove_folders(spark: SparkSession) -> None:
-    """Remove all folders that ``new_folder`` named and something was written to. Call it
-    when the frames that read them are done with."""
+    """Remove all folders that ``new_folder`` named and something was written to, and the
+    catalog's entries of tables in them. Call it when the frames that read them are done
+    with."""
+    for name in sorted(_tables):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    _tables.clear()
     path_of = spark._jvm.org.apache.hadoop.fs.Path
     conf = spark._jsc.hadoopConfiguration()
     for folder in sorted(_made):

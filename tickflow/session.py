@@ -17,6 +17,9 @@ BATCH_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+}
+
+TICK_SETTINGS = {
     # A plan that turns out to be empty keeps what it has counted (``functions.accounting``).
     "spark.sql.adaptive.optimizer.excludedRules":
         "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation",
@@ -47,7 +50,7 @@ def tick_session(
     """A new session on the same cluster, with the zone the window bounds and the
     year/month/day keys are derived in. The caller's session is left alone."""
     session = spark.newSession()
-    for key, value in {**BATCH_SETTINGS, **STREAM_SETTINGS}.items():
+    for key, value in {**BATCH_SETTINGS, **TICK_SETTINGS, **STREAM_SETTINGS}.items():
         session.conf.set(key, value)
     session.conf.set("spark.sql.session.timeZone", zone)
     partitions = shuffle_partitions or spark.conf.get("spark.sql.shuffle.partitions")
