@@ -21,7 +21,7 @@ from tickflow.llm.line_dedup import LineRuns, clean
 from tickflow.llm.mixing import apportion, materialise, mix
 from tickflow.llm.quality_rules import judge
 from tickflow.llm.words import PLAIN, token_chunks
-from tickflow.scratch import new_folder
+from tickflow.scratch import new_folder, remove_folders
 
 
 def test_words_and_their_hashes():
@@ -465,3 +465,49 @@ def test_items_in_capitals_count_for_the_size_of_an_automaton(spark, monkeypatch
     docs = documents(spark, [(1, items[7][1].lower(), "en", "a", 0)])
     found = scan(docs, benchmark, shard_words=200).collect()
     assert len(built) == 10 and found[0]["items"] == ["7"] and found[0].n_hit == 50
+
+
+def test_quality_ratios_equal_plain_counts(spark):
+    """The log-count ratio of every feature of a small table, counted text by text."""
+    rng = random.Random(11)
+    texts = [" ".join(rng.choice(["good", "fine", "bad", "naïve", "日本", "a"]) for _ in range(rng.randrange(30))) for _ in range(40)]
+    texts += ["", None, "abc", "same same same same " * 5, "é" * 9]
+    labels = [i % 3 % 2 for i in range(len(texts))]
+    rows = [(i, t, "en", "a", 0) for i, t in enumerate(texts)]
+    known = spark.createDataFrame(list(enumerate(labels)), "doc_id long, quality int")
+    model = quality_classifier.train(documents(spark, rows).repartition(3), known, F.lit(False))
+
+    def slots(text):
+        raw = (text or "").encode()
+        found = {int.from_bytes(raw[i : i + 4], "big") * 2654435769 % 2**32 >> 32 - quality_classifier.BITS for i in range(len(raw) - 3)}
+        said = words(text)
+        runs = [tuple(said[i : i + 3]) for i in range(len(said) - 2)]
+        share = (len(runs) - len(set(runs))) / max(len(runs), 1)
+        step = sum(1 for limit in quality_classifier.REPEATED if limit < share)
+        return found | {(1 << quality_classifier.BITS) + step}
+
+    seen, n = [Counter(), Counter()], Counter(labels)
+    for text, label in zip(texts, labels, strict=True):
+        seen[label].update(slots(text))
+    for slot in set(seen[0]) | set(seen[1]):
+        want = math.log((seen[1][slot] + 1) / (n[1] + 2)) - math.log((seen[0][slot] + 1) / (n[0] + 2))
+        assert model.ratio[slot] == pytest.approx(want, abs=1e-9)
+    # No text has the others: what an unseen feature says.
+    unseen = math.log((n[0] + 2) / (n[1] + 2))
+    rest = np.setdiff1d(np.arange(quality_classifier.SLOTS), list(set(seen[0]) | set(seen[1])))
+    assert np.allclose(model.ratio[rest], unseen, atol=1e-9)
+    got = {r["doc"].doc_id: r.score for r in quality_classifier.score(documents(spark, rows), model).collect()}
+    for i, text in enumerate(texts):
+        at = np.array(sorted(slots(text)))
+        x = model.ratio[at]
+        margin = model.weight[at] @ x / max(np.sqrt(x @ x), 1e-9) + model.intercept
+        want = 1 / (1 + math.exp(-(model.curve[0] * margin + model.curve[1])))
+        assert got[i] == pytest.approx(want, abs=1e-9)
+
+
+def test_no_run_of_lines_stays_in_the_catalog(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    cleaned = clean(documents(spark))
+    assert cleaned.count() and {t.name for t in spark.catalog.listTables()} - before
+    remove_folders(spark)
+    assert {t.name for t in spark.catalog.listTables()} == before

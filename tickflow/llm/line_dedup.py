@@ -33,7 +33,7 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickflow.llm.text import TRIM, lower_ascii
-from tickflow.scratch import new_folder
+from tickflow.scratch import new_folder, note_table
 
 NO_ID = -(2**63)
 
@@ -70,7 +70,7 @@ class LineRuns:
         self.levels: list[list[str]] = [[]]
 
     def _write(self, run: DataFrame) -> str:
-        name = f"line_run_{uuid4().hex}"
+        name = note_table(f"line_run_{uuid4().hex}")
         (
             run.repartition(self.buckets, "key")
             .write.bucketBy(self.buckets, "key").sortBy("key")
