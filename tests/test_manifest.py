@@ -5,6 +5,7 @@ from __future__ import annotations
 import glob
 import json
 import os
+import shutil
 
 import pytest
 
@@ -23,22 +24,28 @@ DAY = 24 * 3600 * 1000
 FIRST = ("2025", "05", "10")
 
 
-@pytest.fixture
+@pytest.fixture(scope="module")
 def result(seoul):
     messages = [tick(f"KRW-{m}", m + 1, at=day * DAY + w * 60_000) for day in (0, 1, 25)
                 for w in range(3) for m in range(7)]
-    return top_markets(table_of(seoul, messages), exchange_a("", ""))
+    top = top_markets(table_of(seoul, messages), exchange_a("", ""))
+    return seoul.createDataFrame(top.collect(), top.schema).coalesce(2)
 
 
-@pytest.fixture
-def published(result, tmp_path):
+@pytest.fixture(scope="module")
+def template(result, tmp_path_factory):
     """Three days in three batches."""
-    root = str(tmp_path / "out")
+    root = str(tmp_path_factory.mktemp("published") / "out")
     for batch, part in (("b1", "row_num <= 2"), ("b2", "row_num = 3"), ("b3", "row_num > 3")):
         publish_result(result.where(part), root, batch)
     return root
 
 
+@pytest.fixture
+def published(template, tmp_path):
+    return shutil.copytree(template, str(tmp_path / "out"))
+
+
 def batches(spark, root, day=FIRST):
     return Store(spark, root).manifest(day).batches
 

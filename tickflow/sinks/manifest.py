@@ -142,8 +142,11 @@ class Store:
         paths = self.found(f"{day_folder(self.root, day)}/batch=*")
         return sorted(path.rsplit("/batch=", 1)[1] for path in paths)
 
-    def commit(self, day: Day, change: Callable[[tuple[Entry, ...]], tuple[Entry, ...] | None]) -> None:
-        """Replace a day's entries by what ``change`` makes of them; None leaves them.
+    def commit(
+        self, day: Day, change: Callable[[tuple[Entry, ...]], tuple[Entry, ...] | None]
+    ) -> tuple[Entry, ...]:
+        """Replace a day's entries by what ``change`` makes of them; None leaves them. Gives
+        the entries that hold then.
 
         ``change`` is asked again if another writer was faster. The first list of a day
         begins with the folders that are there."""
@@ -152,12 +155,12 @@ class Store:
             entries = now.entries if now.number else tuple(Entry(b) for b in self.folders(day))
             after = change(entries)
             if after is None:
-                return
+                return entries
             text = json.dumps([{"batch": e.batch, "id": e.id, "of": e.of} for e in after])
             if self.create(self._list_path(day, now.number + 1), text):
                 if now.number >= _KEPT:
                     self.delete(self._list_path(day, now.number - _KEPT + 1))
-                return
+                return after
         raise RuntimeError(f"{day_folder(self.root, day)}: other writers were faster {_TRIES} times")
 
 

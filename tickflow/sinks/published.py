@@ -132,8 +132,7 @@ def _commit(spark: SparkSession, root: str, batch: str, days: list[Day], rerun:
     store = Store(spark, root)
 
     def one(day: Day) -> None:
-        store.commit(day, _add(batch, rerun))
-        if batch not in store.manifest(day).batches:
+        if batch not in [e.batch for e in store.commit(day, _add(batch, rerun))]:
             store.delete(f"{day_folder(root, day)}/batch={batch}")
 
     each(days, one)
