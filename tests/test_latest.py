@@ -119,3 +119,31 @@ def test_lookups_read_the_table(seoul, place):
     names = latest.read_latest(seoul, root, SCHEMA).where("market is not null").select("market", "name")
     ticks = table_of(seoul, ["KRW-A", "KRW-Z"]).withColumnRenamed("value", "market")
     assert rows(attach_name(ticks, names)) == {("KRW-A", "a3"): 1, ("KRW-Z", None): 1}
+
+
+def many(number):
+    return [(None if k == 0 else f"KRW-{k}", f"{k} in {number}", number) for k in range(number * 30, 100)]
+
+
+def test_state_is_not_gathered_in_one_task(seoul, place):
+    folder, root, _ = place
+    put(seoul, folder, 0, many(0))
+    query = run(seoul, place)
+    tracker = seoul.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(str(query.runId))]
+    tasks = [tracker.getStageInfo(s).numTasks for job in jobs for s in job.stageIds]
+    # One file is read; the state has so many partitions.
+    assert max(tasks) == int(seoul.conf.get("spark.sql.shuffle.partitions")) > 1
+
+
+@pytest.mark.parametrize("file_rows, least, most", [(1000, 1, 1), (10, 5, 20)])
+def test_files_of_a_version_follow_the_number_of_keys(seoul, place, monkeypatch, file_rows, least, most):
+    folder, root, _ = place
+    monkeypatch.setattr(latest, "FILE_ROWS", file_rows)
+    for number in range(3):
+        put(seoul, folder, number, many(number))
+        run(seoul, place)
+        newest = max(x for x in os.listdir(root) if x.startswith("step="))
+        parts = [x for x in os.listdir(f"{root}/{newest}") if x.startswith("part-")]
+        assert least <= len(parts) <= most
+        assert rows(latest.read_latest(seoul, root, SCHEMA)) == want(seoul, [many(n) for n in range(number + 1)])

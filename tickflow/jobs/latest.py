@@ -6,12 +6,14 @@ take the newest finished version (``sinks.steps``). A micro-batch that is run ag
 from the same version, and a restarted query goes on from its state.
 
 The whole table is written with every micro-batch: it is for listings and the like, whose
-keys are few, however many rows come in.
+keys are few, however many rows come in. The state is worked on by one task for each of its
+partitions, and the files of a version are as many as its keys ask for.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -19,6 +21,9 @@ from pyspark.sql.types import StructType
 from tickflow.operators.markets import last_by_key
 from tickflow.sinks.steps import newest_step, put_step
 
+# About so many rows at most go into one file of a version, each file by a task of its own.
+FILE_ROWS = 50_000
+
 
 def start_latest(
     rows: DataFrame, key: str, order: Iterable[str], root: str, checkpoint: str, trigger: dict | None = None
@@ -32,12 +37,20 @@ def start_latest(
     schema = rows.schema
 
     def upsert(changed: DataFrame, number: int) -> None:
-        table = newest_step(changed.sparkSession, root, schema, below=number)
-        if table is not None:
-            kept = table.join(changed, table[key].eqNullSafe(changed[key]), "left_anti")
-            changed = kept.unionByName(changed)
-        # Few keys: one file per version.
-        put_step(changed.coalesce(1), root, number)
+        # Counted and used twice, and worked out once. Gathering it without a shuffle would
+        # make one task sort all partitions of the state.
+        changed = changed.persist()
+        try:
+            version, size = changed, changed.count()
+            table = newest_step(changed.sparkSession, root, schema, below=number)
+            if table is not None:
+                size += table.count()
+                kept = table.join(changed, table[key].eqNullSafe(changed[key]), "left_anti")
+                version = kept.unionByName(changed)
+            # Few keys: one file per version.
+            put_step(version.repartition(max(1, ceil(size / FILE_ROWS)), key), root, number)
+        finally:
+            changed.unpersist()
 
     return (
         last.writeStream.outputMode("update")
